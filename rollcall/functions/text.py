@@ -30,8 +30,7 @@ def blank_missing(c: Column) -> Column:
 
 def key_text(c: Column) -> Column:
     """Comparable form of an identity field: trimmed, lower case, blank when missing."""
-    t = clean(c)
-    return F.when(c.isNull() | (t == "nan"), "").otherwise(t)
+    return F.coalesce(F.nullif(clean(c), F.lit("nan")), F.lit(""))
 
 
 def has_letter(c: Column) -> Column:

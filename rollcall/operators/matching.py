@@ -148,6 +148,7 @@ def link(source: DataFrame, registry: DataFrame, reserved_from: int | None = Non
     Records withdrawn upstream vanish because every candidate comes from the source.
     New ids lie above all old ones, so they need no choice.
     """
+    registry = cut(registry)  # five lookups follow, the fields are few
     tagged = cut(tag_steps(source, registry))
     old = known_candidates(tagged, registry).unionByName(
         rule_winners(tagged, registry, [BY_LAB, BY_ADULT, BY_CHILD]).drop("n_records")

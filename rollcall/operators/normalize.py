@@ -109,9 +109,11 @@ def collapse(df: DataFrame, names: list[str], key: str = RECORD) -> DataFrame:
     is a value and wins over a later filled one. The aggregate combines before the
     shuffle, so a record with very many repeats costs one partial row per input split.
     """
-    place = F.struct(
-        F.coalesce(F.col(INSTRUMENT), F.lit("")).alias("instrument"),
-        to_number_or_zero(F.col(INSTANCE).cast("string")).alias("instance"),
+    # one sortable text: comparing it is cheaper than comparing a struct per column
+    place = F.concat(
+        F.coalesce(F.col(INSTRUMENT), F.lit("")),
+        F.lit("\u0001"),
+        F.lpad(to_number_or_zero(F.col(INSTANCE).cast("string")).cast("string"), 20, "0"),
     )
     rows = df.select(key, *[n for n in names if n != key], place.alias("_at"))
     return rows.groupBy(key).agg(
@@ -131,8 +133,9 @@ def index_registry(snapshot: DataFrame, names: list[str] = REGISTRY_MATCH_FIELDS
 
 def index_source(snapshot: DataFrame) -> DataFrame:
     """One cleaned row per source record with integer age and update time in seconds."""
-    one = collapse(snapshot.withColumn(RECORD, key_text(F.col(RECORD))), SOURCE_MATCH_FIELDS)
-    typed = normalize_text(one, keep=["age", UPDATED]).select(
+    rows = snapshot.withColumn(RECORD, key_text(F.col(RECORD))).filter(F.col(RECORD) != "")
+    one = collapse(rows, SOURCE_MATCH_FIELDS)
+    typed = normalize_text(one, keep=[RECORD, "age", UPDATED]).select(
         RECORD,
         *FOREIGN,
         *FOREIGN_CHILD,
@@ -140,7 +143,7 @@ def index_source(snapshot: DataFrame) -> DataFrame:
         to_age(F.col("age")).alias("age"),
         to_seconds(F.col(UPDATED)).alias("updated"),
     )
-    return typed.filter(F.col("age").isNotNull() & (F.col(RECORD) != ""))
+    return typed.filter(F.col("age").isNotNull())
 
 
 def registry_quarantine(snapshot: DataFrame) -> DataFrame:
