@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.operators.publish import BATCH, in_batch_order
+from rollcall.operators.publish import in_batch_order
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -19,8 +19,8 @@ def write_report(df: DataFrame, path: str, order_by: list[str] | None = None) ->
 
 
 def write_batches(lines: DataFrame, path: str, parts: int | None = None) -> None:
-    """Payload lines in batch order, readable batch by batch through the batch column."""
-    in_batch_order(lines, parts).select(BATCH, "line").write.mode("overwrite").parquet(path)
+    """Payload lines in batch order; filters on the batch column skip files."""
+    in_batch_order(lines, parts).write.mode("overwrite").parquet(path)
 
 
 def write_dictionary(df: DataFrame, path: str, kind: str = "json", order_by: str = "position") -> None:
