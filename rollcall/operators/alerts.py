@@ -20,7 +20,7 @@ def schedule(
     due: DataFrame, sent: DataFrame, every_days: int, sends: int = SENDS_PER_ALERT, key: str = RECORD
 ) -> DataFrame:
     """Send dates for people not alerted before: ``sends`` mails, ``every_days`` apart from the run date."""
-    fresh = due.join(sent.select(key).distinct(), key, "left_anti")
+    fresh = due.join(sent.select(key), key, "left_anti")
     return (
         fresh.withColumn("send_no", F.explode(F.sequence(F.lit(0), F.lit(sends - 1))))
         .withColumn("send_date", F.date_add("run_date", F.col("send_no") * every_days))
@@ -35,8 +35,8 @@ def reset(
 
     All three come from one state of the ledgers, so the log rows of removed sends go too.
     """
-    ids = alerts.filter(F.col("project_id") == project_id).select("alert_id").distinct()
-    sends = sent.join(ids, "alert_id", "left_semi").select("alert_sent_id").distinct()
+    ids = alerts.filter(F.col("project_id") == project_id).select("alert_id")
+    sends = sent.join(ids, "alert_id", "left_semi").select("alert_sent_id")
     split = lambda df, keys, on: (df.join(keys, on, "left_semi"), df.join(keys, on, "left_anti"))
     return {
         "sent": split(sent, ids, "alert_id"),

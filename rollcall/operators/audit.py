@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.operators.lookup import attach
 from rollcall.operators.normalize import differing
 from rollcall.schema import FOREIGN, KEY, LAB, MRN, OWN, RECORD
 
@@ -14,7 +15,7 @@ def name_mismatches(source: DataFrame, mapping: DataFrame, registry: DataFrame)
 
     Blank lab ids equal each other here, and a blank name counts as a value.
     """
-    mapped = mapping.select(RECORD, KEY).join(source.select(RECORD, LAB, *FOREIGN), RECORD)
+    mapped = attach(mapping.select(RECORD, KEY), source.select(RECORD, LAB, *FOREIGN), [RECORD], "inner")
     both = mapped.join(registry.select(KEY, LAB, *OWN), [KEY, LAB])
     return differing(both, "first_local", "first_name").select(
         RECORD, KEY, LAB, "first_name", "last_name", "first_local", "last_local"
@@ -56,7 +57,7 @@ def verified_lookup(requests: DataFrame, registry: DataFrame) -> DataFrame:
         & (F.col("dob") == F.col("_dob"))
     )
     status = F.when(F.col("_n").isNull(), "not_one").when(same, "verified").otherwise("mismatch")
-    joined = requests.join(one, MRN, "left").withColumn("status", status)
+    joined = attach(requests, one, [MRN]).withColumn("status", status)
     ok = F.col("status") == "verified"
     return joined.select(
         *requests.columns,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.operators.lookup import attach
 from rollcall.schema import EMPI, FACILITIES, KEY, MRN
 
 
@@ -36,7 +37,7 @@ def crosswalk(registry: DataFrame, patient_map: DataFrame) -> DataFrame:
     rows = registry.select(KEY, MRN, EMPI, skip.alias("_skip"))
     alone = F.concat(F.lit("\u0000"), F.col(KEY).cast("string"))
     rows = rows.withColumn("number", F.when(F.col("_skip").isNull(), F.col(MRN)).otherwise(alone))
-    found = rows.join(lookup_table(patient_map), "number", "left")
+    found = attach(rows, lookup_table(patient_map), ["number"])
     status = (
         F.when(F.col("_skip").isNotNull(), F.col("_skip"))
         .when(F.col("low").isNull(), "not_found")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.casts import to_age, to_day, to_key
 from rollcall.functions.text import all_filled, key_text
+from rollcall.operators.lookup import attach
 from rollcall.operators.normalize import any_code, normalize_text
 from rollcall.schema import ADULT_AGE, DECLINED, FOREIGN, KEY, LAB, OUTCOMES, OWN, OWN_CHILD, RECORD
 from rollcall.session import cut
@@ -49,7 +50,7 @@ def find_duplicates(registry: DataFrame, protect_children: bool = False) -> Data
         .select(*GROUP)
     )
     members = parents if protect_children else registry
-    return members.join(groups, GROUP).select(*MEMBER)
+    return attach(members, groups, GROUP, "inner").select(*MEMBER)
 
 
 def verdicts(duplicates: DataFrame) -> DataFrame:
@@ -70,7 +71,7 @@ def verdicts(duplicates: DataFrame) -> DataFrame:
     )
     members = cut(flags)
     linked_groups = members.filter("linked").select(*GROUP).distinct()
-    linked_ids = members.join(linked_groups, GROUP, "left_semi").select(KEY).distinct()
+    linked_ids = attach(members, linked_groups, GROUP, "left_semi").select(KEY).distinct()
     refused_ids = members.filter("refused").select(KEY).distinct().withColumn("declined", F.lit(True))
     free = cut(
         members.join(linked_ids, KEY, "left_anti")
@@ -78,7 +79,7 @@ def verdicts(duplicates: DataFrame) -> DataFrame:
         .select(*GROUP, KEY, F.coalesce("declined", F.lit(False)).alias("declined"))
     )
     refused_groups = free.filter("declined").groupBy(*GROUP).agg(F.max(KEY).alias("_top"))
-    settled = free.join(refused_groups.select(*GROUP), GROUP, "left_semi").select(KEY).distinct()
+    settled = attach(free, refused_groups.select(*GROUP), GROUP, "left_semi").select(KEY).distinct()
     open_groups = free.join(settled, KEY, "left_anti").groupBy(*GROUP).agg(F.max(KEY).alias("_top"))
     rank = lambda ids, verdict: ids.select(F.col(ids.columns[-1]).alias(KEY), F.lit(verdict).alias("verdict"))
     keep = (
@@ -90,10 +91,9 @@ def verdicts(duplicates: DataFrame) -> DataFrame:
         .agg(F.min("verdict").alias("verdict"))
     )
     refused_free = free.filter("declined").select(KEY).distinct().withColumn("declined", F.lit(True))
+    judged = attach(attach(duplicates, keep, [KEY]), refused_free, [KEY])
     return (
-        duplicates.join(keep, KEY, "left")
-        .join(refused_free, KEY, "left")
-        .join(linked_groups.withColumn("group_linked", F.lit(True)), GROUP, "left")
+        attach(judged, linked_groups.withColumn("group_linked", F.lit(True)), GROUP)
         .select(
             *MEMBER,
             F.coalesce("verdict", F.lit("delete")).alias("verdict"),
@@ -146,4 +146,4 @@ def cross_source_groups(registry: DataFrame, source: DataFrame) -> DataFrame:
         )
         .filter("n_registry > 0 AND n_source > 0")
     )
-    return members.join(groups, GROUP)
+    return attach(members, groups, GROUP, "inner")

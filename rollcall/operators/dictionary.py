@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.operators.lookup import attach
 from rollcall.operators.numbering import number_rows
 from rollcall.schema import CALC_TAG, RECORD
 
@@ -24,7 +25,7 @@ def merge(registry: DataFrame, source: DataFrame, from_source: list[str] | None
     side = F.when(F.col("origin") == "registry", 0).otherwise(1)
     fields = fields.withColumn("_side", side)
     forms = fields.groupBy("form_name").agg(F.min(F.struct("_side", "seq")).alias("_form"))
-    placed = fields.join(forms, "form_name").withColumns(
+    placed = attach(fields, forms, ["form_name"], "inner").withColumns(
         {"_form_side": F.col("_form._side"), "_form_seq": F.col("_form.seq")}
     )
     order = ["_form_side", "_form_seq", "_side", "seq"]

@@ -12,6 +12,6 @@ def pending(snapshot: DataFrame, stored: DataFrame, fields: list[str] = FILE_FIE
     """(record, field, file name) for every named file not in the store yet."""
     long = snapshot.unpivot([RECORD], fields, "field", "file_name")
     named = long.filter(F.coalesce(F.col("file_name"), F.lit("")) != "")
-    return named.join(stored.select("file_name").distinct(), "file_name", "left_anti").select(
+    return named.join(stored.select("file_name"), "file_name", "left_anti").select(
         RECORD, "field", "file_name"
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.casts import day_text, to_day, to_key
 from rollcall.functions.text import key_text
+from rollcall.operators.lookup import attach
 from rollcall.operators.matching import top_id
 from rollcall.operators.normalize import rename_columns
 from rollcall.operators.numbering import number_rows
@@ -56,7 +57,7 @@ def judge(upload: DataFrame, registry: DataFrame) -> DataFrame:
 
     mrns = registry.filter(F.coalesce(F.col(MRN), F.lit("")) != "").select(F.col(MRN).alias("_mrn")).distinct()
     rows = rows.withColumn("_mrn", F.when(asks, F.col(MRN)).otherwise(alone))
-    rows = rows.join(mrns.withColumn("_known_mrn", F.lit(True)), "_mrn", "left")
+    rows = attach(rows, mrns.withColumn("_known_mrn", F.lit(True)), ["_mrn"])
 
     clean = {
         n: F.date_format(dates[n], ISO_DATE) if n in dates else key_text(F.col(n)) for n in PERSON
@@ -65,7 +66,7 @@ def judge(upload: DataFrame, registry: DataFrame) -> DataFrame:
     rows = rows.withColumns({f"_{n}": F.coalesce(c, F.lit("")) for n, c in clean.items()})
     rows = rows.withColumn(probe[0], F.when(asks, F.col(probe[0])).otherwise(alone))
     people = rename_columns(existing_names(registry), dict(zip(PERSON, probe)))
-    rows = rows.join(people.withColumn("_known_person", F.lit(True)), probe, "left")
+    rows = attach(rows, people.withColumn("_known_person", F.lit(True)), probe)
 
     late = F.when(asks & F.col("_known_mrn"), "known_mrn").when(asks & F.col("_known_person"), "known_person")
     return rows.select(*INTAKE_FIELDS, F.coalesce("_early", late).alias("reason"))
@@ -113,4 +114,4 @@ def repeats_inside(upload: DataFrame) -> DataFrame:
         }
     )
     several = rows.groupBy(*probe).agg(F.count("*").alias("n_rows")).filter("n_rows > 1")
-    return rows.join(several, probe).select(*INTAKE_FIELDS, "n_rows")
+    return attach(rows, several, probe, "inner").select(*INTAKE_FIELDS, "n_rows")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.text import all_filled
+from rollcall.operators.lookup import attach
 from rollcall.operators.normalize import named_child
 from rollcall.operators.numbering import number_rows
 from rollcall.schema import ADULT_AGE, FOREIGN, FOREIGN_CHILD, KEY, LAB, OWN, OWN_CHILD, RECORD
@@ -66,7 +67,7 @@ def tag_steps(source: DataFrame, registry: DataFrame) -> DataFrame:
 
     asks_lab = ~F.col("_known") & (F.col(LAB) != "")
     t = t.withColumn("_lab", F.when(asks_lab, F.col(LAB)).otherwise(alone))
-    t = t.join(labs.withColumn("_hit", F.lit(True)), "_lab", "left")
+    t = attach(t, labs.withColumn("_hit", F.lit(True)), ["_lab"])
     t = t.withColumn("_by_lab", asks_lab & F.coalesce("_hit", F.lit(False))).drop("_lab", "_hit")
 
     adult = F.col("age") >= ADULT_AGE
@@ -81,7 +82,7 @@ def tag_steps(source: DataFrame, registry: DataFrame) -> DataFrame:
             "k3": own[2],
         }
     )
-    t = t.join(persons.withColumn("_hit", F.lit(True)), ["_kind", *_NAME_KEY], "left")
+    t = attach(t, persons.withColumn("_hit", F.lit(True)), ["_kind", *_NAME_KEY])
     named = F.col("_asks") & F.coalesce("_hit", F.lit(False))
 
     step = (
@@ -110,7 +111,7 @@ def rule_winners(tagged: DataFrame, registry: DataFrame, steps: list[int]) -> Da
         .agg(F.min(F.struct(_recency().alias("recency"), RECORD)).alias("top"), F.count("*").alias("n_records"))
     )
     keys = registry_keys(registry).filter(F.col("step").isin(steps))
-    return keys.join(newest, ["step", *_NAME_KEY]).select(
+    return attach(keys, newest, ["step", *_NAME_KEY], "inner").select(
         KEY, "step", F.col(f"top.{RECORD}").alias(RECORD), F.col("top.recency").alias("recency"), "n_records"
     )
 
@@ -165,4 +166,4 @@ def conflicts(registry: DataFrame) -> DataFrame:
     """
     pairs = known_pairs(registry)
     several = pairs.groupBy(RECORD).agg(F.count("*").alias("n_ids")).filter("n_ids > 1")
-    return pairs.join(several, RECORD)
+    return attach(pairs, several, [RECORD], "inner")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.names import first_last, name_tokens
 from rollcall.functions.text import key_text
+from rollcall.operators.lookup import attach
 from rollcall.schema import KEY, NPI, PROVIDER
 
 
@@ -55,7 +56,7 @@ def find_npi(parsed: DataFrame, npi_registry: DataFrame) -> DataFrame:
     alone = F.concat(F.lit("\u0000"), F.col(KEY).cast("string"))
     probe = parsed.withColumns({"_f": first, "_l": F.when(asks, last).otherwise(alone), "_asks": asks})
     found = hits(npi_registry).select(F.col("first").alias("_f"), F.col("last").alias("_l"), "npi", "single")
-    joined = probe.join(found, ["_f", "_l"], "left")
+    joined = attach(probe, found, ["_f", "_l"])
     status = (
         F.when(~F.col("_asks"), "no_name")
         .when(F.col("single").isNull(), "none")

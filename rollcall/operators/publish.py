@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.casts import to_number_or_zero
 from rollcall.functions.text import key_text
+from rollcall.operators.lookup import attach
 from rollcall.operators.normalize import blank_nulls, drop_columns, is_base, keep_columns
 from rollcall.operators.numbering import number_rows
 from rollcall.schema import (
@@ -30,7 +31,7 @@ def add_links(mapping: DataFrame, source: DataFrame) -> DataFrame:
         .select(key_text(F.col(RECORD)).alias(RECORD), F.col(SOURCE_LINK).alias(REGISTRY_LINK))
         .distinct()
     )
-    return mapping.join(links, RECORD, "left")
+    return attach(mapping, links, [RECORD])
 
 
 def plan_batches(mapping: DataFrame, keys_per_batch: int = KEYS_PER_BATCH) -> DataFrame:
@@ -74,7 +75,7 @@ def superseded(source: DataFrame, mapping: DataFrame) -> DataFrame:
     """Rows of source records that are nobody's current record; they are not published."""
     return (
         source.withColumn("_record", key_text(F.col(RECORD)))
-        .join(mapping.select(F.col(RECORD).alias("_record")).distinct(), "_record", "left_anti")
+        .join(mapping.select(F.col(RECORD).alias("_record")), "_record", "left_anti")
         .drop("_record")
         .withColumn("reason", F.lit("superseded"))
     )

@@ -71,7 +71,7 @@ def one_per_key(payload: DataFrame, keys: list[str], order_by: str) -> DataFrame
 
 def delete_keys(table: DataFrame, ids: DataFrame, key: str = KEY) -> DataFrame:
     """Table without the listed keys."""
-    return table.join(ids.select(key).distinct(), key, "left_anti")
+    return table.join(ids.select(key), key, "left_anti")
 
 
 def delete_receipt(table: DataFrame, ids: DataFrame, key: str = KEY) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.functions.text import key_text
+from rollcall.operators.lookup import attach
 from rollcall.operators.normalize import blank_nulls
 from rollcall.schema import RECORD, all_strings
 
@@ -22,7 +23,7 @@ def newest_rows(rows: DataFrame) -> DataFrame:
     """
     keyed = rows.withColumn("_record", key_text(F.col(RECORD)))
     latest = keyed.groupBy("_record").agg(F.max(SNAPSHOT).alias("_latest"))
-    return keyed.join(latest, "_record").filter(F.col(SNAPSHOT) == F.col("_latest")).drop("_record", "_latest", SNAPSHOT)
+    return attach(keyed, latest, ["_record"], "inner").filter(F.col(SNAPSHOT) == F.col("_latest")).drop("_record", "_latest", SNAPSHOT)
 
 
 def sync_arrivals(
