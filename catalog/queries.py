@@ -24,7 +24,7 @@ from rollcall.operators import (
     publish,
     upsert,
 )
-from rollcall.schema import DECLINED, EMPI, INSTANCE, INSTRUMENT, KEY, LAB, MRN, NPI, OUTCOMES, RECORD
+from rollcall.schema import DECLINED, EMPI, INSTANCE, INSTRUMENT, KEY, MRN, NPI, OUTCOMES, RECORD
 from rollcall.session import cut
 from rollcall.sources import snapshots
 

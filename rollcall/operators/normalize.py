@@ -15,7 +15,6 @@ from rollcall.schema import (
     INSTRUMENT,
     KEY,
     LAB,
-    OWN,
     OWN_CHILD,
     RECORD,
     REGISTRY_MATCH_FIELDS,
@@ -161,7 +160,3 @@ def source_quarantine(snapshot: DataFrame) -> DataFrame:
 
 def named_child() -> Column:
     return has_letter(F.col(OWN_CHILD[1]))
-
-
-def own_identity() -> list[Column]:
-    return [F.col(n) for n in OWN]

@@ -1,4 +1,4 @@
-"""The four jobs: sync, duplicate review, intake, mapping audit.
+"""The jobs: sync, duplicate review, intake, mapping audit, id crosswalks.
 
 Each takes frames and an output folder, writes its tables there and returns their paths.
 Stage counts are taken from what was written, so nothing wide is computed twice.
@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.operators import audit, dedupe, intake, matching, normalize, publish, upsert
-from rollcall.schema import INSTANCE, INSTRUMENT, KEY, KEYS_PER_BATCH, RECORD
+from rollcall.operators import audit, crosswalk, dedupe, intake, matching, normalize, providers, publish, upsert
+from rollcall.schema import INSTANCE, INSTRUMENT, KEY, KEYS_PER_BATCH, NPI, PROVIDER, RECORD
 from rollcall.session import cut
 from rollcall.sources.sinks import write_batches, write_report, write_table
 from rollcall.sources.snapshots import one_record
@@ -116,3 +116,26 @@ def audit_mapping(registry: DataFrame, source: DataFrame, out: str) -> dict[str,
         paths[name] = f"{out}/{name}"
         write_report(rows, paths[name], order)
     return paths
+
+
+def fill_enterprise_ids(registry: DataFrame, patient_map: DataFrame, out: str) -> dict[str, str]:
+    """Registry with the enterprise ids found, and the rows without one with their reason."""
+    paths = {n: f"{out}/{n}" for n in ("registry", "issues")}
+    walked = cut(crosswalk.crosswalk(registry, patient_map))
+    write_table(upsert.upsert(registry, crosswalk.filled(walked), fill=True, patch=True), paths["registry"])
+    write_report(crosswalk.issues(walked), paths["issues"], [KEY])
+    return paths
+
+
+def fill_provider_ids(registry: DataFrame, named: DataFrame, npi_registry: DataFrame, out: str) -> dict[str, str]:
+    """Registry with the provider ids found, and every name with what the search gave.
+
+    An id named in several rows takes the id found for the last name in text order.
+    """
+    paths = {n: f"{out}/{n}" for n in ("registry", "searches")}
+    found = cut(providers.find_npi(providers.parse(named), npi_registry))
+    hits = found.filter("status = 'one'").select(KEY, PROVIDER, NPI)
+    payload = upsert.one_per_key(hits, [KEY], PROVIDER).select(KEY, NPI)
+    write_table(upsert.upsert(registry, payload, fill=True, patch=True), paths["registry"])
+    write_report(found, paths["searches"], [KEY, PROVIDER])
+    return paths

@@ -122,13 +122,16 @@ def range_of_records(source: DataFrame, boundaries: DataFrame) -> DataFrame:
     return found.select(F.col("lo").alias("id"), F.coalesce("range_no", F.lit(-1)).alias("range_no"))
 
 
-def range_predicates(boundaries: DataFrame, column: str = RECORD) -> list[str]:
+def range_predicates(boundaries: DataFrame, column: str = RECORD, most: int = 10_000) -> list[str]:
     """One predicate per range for a JDBC read, with one more for ids below the first.
 
-    A predicate is a read task, so their number is that of the tasks wanted; take
-    ``ids_per_range`` large enough.
+    A predicate is a read task and lives on the driver, so more than ``most`` of them is an
+    error: take wider ranges.
     """
-    rows = sorted((r.lo, r.hi) for r in boundaries.select("lo", "hi").toLocalIterator())
+    n = boundaries.count()
+    if n > most:
+        raise ValueError(f"{n} ranges are too many read tasks; raise ids_per_range")
+    rows = sorted((r.lo, r.hi) for r in boundaries.select("lo", "hi").collect())
     if not rows:
         return ["1 = 1"]
     out = [f"{column} < {rows[0][0]}"]

@@ -87,6 +87,19 @@ def test_review_intake_and_audit_jobs(spark, tmp_path):
     assert csv(paths["current_mapping"]).count() == 2465
 
 
+def test_crosswalk_jobs(spark, tmp_path):
+    registry = spark.createDataFrame([(1, "m1", "", ""), (2, "m2", "", "")], f"{KEY} long, mrn string, cuimc_empi string, provider_npi string")
+    pmap = spark.createDataFrame([("e1", "m1", "P")], "empi string, local_pt_id string, facility_code string")
+    paths = jobs.fill_enterprise_ids(registry, pmap, str(tmp_path / "e"))
+    assert {r[KEY]: r.cuimc_empi for r in spark.read.parquet(paths["registry"]).collect()} == {1: "e1", 2: ""}
+    assert spark.read.option("header", True).csv(paths["issues"]).first().status == "not_found"
+
+    named = spark.createDataFrame([(1, "Dr Ana Diaz"), (1, "Bo Ng"), (2, "Cy")], f"{KEY} long, provider_name string")
+    npi = spark.createDataFrame([(7, "ana", "diaz"), (8, "bo", "ng")], "npi long, first_name string, last_name string")
+    paths = jobs.fill_provider_ids(registry, named, npi, str(tmp_path / "p"))
+    assert {r[KEY]: r.provider_npi for r in spark.read.parquet(paths["registry"]).collect()} == {1: "7", 2: ""}
+
+
 def test_match_checksums_per_step(spark):
     from catalog.queries import QUERIES
 
@@ -153,6 +166,8 @@ def test_ranges_cover_every_id(spark):
     assert rows == {0: (100, 135), 1: (135, 170), 2: (170, 205), 3: (205, 240), 4: (240, None)}
     assert snapshots.range_predicates(cuts)[:2] == ["record_id < 100", "record_id >= 100 AND record_id < 135"]
     assert snapshots.range_predicates(cuts)[-1] == "record_id >= 240"
+    with pytest.raises(ValueError, match="too many"):
+        snapshots.range_predicates(cuts, most=4)
     source = spark.createDataFrame([(str(i),) for i in (1, 100, 134, 135, 999)], f"{RECORD} string")
     got = {r.id: r.range_no for r in snapshots.range_of_records(source, cuts).collect()}
     assert got == {1: -1, 100: 0, 134: 0, 135: 1, 999: 4}
