@@ -108,11 +108,11 @@ def collapse(df: DataFrame, names: list[str], key: str = RECORD) -> DataFrame:
     is a value and wins over a later filled one. The aggregate combines before the
     shuffle, so a record with very many repeats costs one partial row per input split.
     """
-    # one sortable text: comparing it is cheaper than comparing a struct per column
-    place = F.concat(
-        F.coalesce(F.col(INSTRUMENT), F.lit("")),
-        F.lit("\u0001"),
-        F.lpad(to_number_or_zero(F.col(INSTANCE).cast("string")).cast("string"), 20, "0"),
+    # One sortable text per row: cheaper to compare than a struct, and empty on base rows,
+    # where it travels once per column without adding bytes.
+    number = to_number_or_zero(F.col(INSTANCE).cast("string"))
+    place = F.when(is_base() & (number == 0), "").otherwise(
+        F.concat(F.coalesce(F.col(INSTRUMENT), F.lit("")), F.lit("\u0001"), F.lpad(number.cast("string"), 20, "0"))
     )
     rows = df.select(key, *[n for n in names if n != key], place.alias("_at"))
     return rows.groupBy(key).agg(

@@ -31,18 +31,20 @@ def sync(
     record_id: str | None = None,
     keys_per_batch: int = KEYS_PER_BATCH,
     reserved_from: int | None = None,
+    apply: bool = False,
 ) -> dict[str, str]:
     """Link the source to the registry and prepare its batches.
 
-    Writes ``mapping``, ``batches`` (payload lines in batch order), ``receipts``,
-    ``quarantine`` (source rows not published, registry keys not readable) and ``stages``.
-    ``record_id`` limits the run to one source record.
+    Writes ``mapping``, ``rows`` (what is published, with its batch), ``batches`` (the same
+    as payload lines in batch order), ``receipts``, ``quarantine`` (source rows not
+    published, registry keys not readable) and ``stages``. With ``apply`` also ``registry``,
+    the full registry snapshot after the import. ``record_id`` limits the run to one record.
     """
     if registry.isEmpty():
         raise ValueError("the registry snapshot is empty")
     if record_id is not None:
         source = one_record(source, record_id)
-    paths = {n: f"{out}/{n}" for n in ("mapping", "batches", "receipts", "quarantine", "stages")}
+    paths = {n: f"{out}/{n}" for n in ("mapping", "rows", "batches", "receipts", "quarantine", "stages")}
 
     people = normalize.index_registry(registry)
     records = normalize.index_source(source)
@@ -50,7 +52,8 @@ def sync(
     write_table(publish.plan_batches(publish.add_links(cut(linked), source), keys_per_batch), paths["mapping"])
     mapping = _back(registry, paths["mapping"])
 
-    rows = publish.publish_rows(source, mapping.drop("step"), ignored, allowed, stamp)
+    write_table(publish.publish_rows(source, mapping.drop("step"), ignored, allowed, stamp), paths["rows"])
+    rows = _back(registry, paths["rows"])
     write_batches(publish.payload_lines(rows), paths["batches"])
     batches = _back(registry, paths["batches"])
     write_table(publish.receipts(batches), paths["receipts"])
@@ -69,12 +72,16 @@ def sync(
         "quarantine": _back(registry, paths["quarantine"]),
     }
     write_table(audit.stage_counts(counts), paths["stages"])
+    if apply:
+        paths["registry"] = f"{out}/registry"
+        write_table(apply_rows(registry, rows), paths["registry"])
     return paths
 
 
 def apply_rows(table: DataFrame, rows: DataFrame) -> DataFrame:
     """Registry table after an overwriting import of published rows, base and repeats."""
-    return upsert.upsert(table, rows.drop(publish.BATCH), [KEY, INSTRUMENT, INSTANCE])
+    payload = rows.drop(publish.BATCH).withColumn(KEY, F.col(KEY).cast(table.schema[KEY].dataType))
+    return upsert.upsert(table, payload, [KEY, INSTRUMENT, INSTANCE])
 
 
 def review_duplicates(registry: DataFrame, out: str, protect_children: bool = False) -> dict[str, str]:

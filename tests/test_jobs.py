@@ -48,6 +48,22 @@ def test_sync_writes_mapping_batches_receipts_and_quarantine(spark, tmp_path):
     assert (stages["mapping"], stages["published_rows"]) == (len(best), len(lines))
 
 
+def test_sync_applied_to_the_registry_is_safe_to_repeat(spark, tmp_path):
+    registry, source = random_case(5)
+    extra = ["first_name", "r4_survey_queue_link", "last_r4_pull", INSTRUMENT, INSTANCE]
+    table = registry_frame(spark, registry).withColumns({c: F.lit("") for c in extra})
+    snapshot = wide(source_frame(spark, source))
+    paths = jobs.sync(table, snapshot, [], ALLOWED, "now", str(tmp_path / "a"), apply=True)
+    once = spark.read.parquet(paths["registry"])
+    base = once.filter(F.col(INSTRUMENT) == "")
+    _, best = by_hand(registry, source)
+    linked = {int(r[KEY]): r[RECORD] for r in base.filter("last_r4_pull = 'now'").collect()}
+    assert linked == {k: rid for k, (rid, _) in best.items()}
+    assert base.count() == len({r[KEY] for r in registry} | set(best))
+    again = jobs.apply_rows(once, spark.read.parquet(paths["rows"]))
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, once.collect()))
+
+
 def test_sync_of_one_record_and_of_nothing(spark, tmp_path):
     registry, source = random_case(3)
     one = source[0]["record_id"]
