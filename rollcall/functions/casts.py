@@ -34,21 +34,14 @@ def to_number_or_zero(c: Column) -> Column:
     return F.coalesce(to_key(c), F.lit(0).cast("bigint"))
 
 
-def to_stamp(c: Column) -> Column:
-    """Timestamp without zone for ``yyyy-MM-dd HH:mm:ss`` text, null for anything else."""
-    t = strip(c)
-    return F.when(t.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"), t.try_cast("timestamp_ntz"))
-
-
 def to_seconds(c: Column) -> Column:
-    """Seconds since 1970 of such a text, independent of the session's zone."""
-    ts = to_stamp(c)
-    return (
-        F.unix_date(ts.cast("date")).cast("bigint") * 86400
-        + F.hour(ts) * 3600
-        + F.minute(ts) * 60
-        + F.second(ts)
-    )
+    """Seconds since 1970 of ``yyyy-MM-dd HH:mm:ss`` text, null for anything else.
+
+    Read as UTC whatever the session's zone, so that no hour is skipped or met twice.
+    """
+    t = strip(c)
+    instant = F.concat(t, F.lit("Z")).try_cast("timestamp")
+    return F.when(t.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"), F.unix_seconds(instant))
 
 
 def to_day(c: Column, formats: list[str] = DATE_FORMATS) -> Column:

@@ -128,9 +128,12 @@ def test_collapse_takes_first_non_null_in_explicit_order(spark):
         person("1", **{"first_name": None, "age": ""}),
         person("2", **{INSTRUMENT: "b", INSTANCE: "1", "first_name": "b"}),
         person("2", **{INSTRUMENT: "a", INSTANCE: "2", "first_name": "a"}),
+        person("3", **{INSTRUMENT: "a", INSTANCE: "1", "first_name": "late", "age": "9"}),
+        person("3", **{"first_name": "", "age": "8"}),
+        person("4", **{"first_name": None, "age": None}),
     ]
     got = {r[RECORD]: (r.first_name, r.age) for r in normalize.collapse(source_frame(spark, rows), [RECORD, "first_name", "age"]).collect()}
-    assert got == {"1": ("two", ""), "2": ("a", "")}
+    assert got == {"1": ("two", ""), "2": ("a", ""), "3": ("", "8"), "4": (None, None)}
 
 
 @pytest.mark.parametrize("parts", [1, 3, 16])
