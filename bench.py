@@ -12,6 +12,7 @@ import os
 import re
 import time
 
+from catalog.fixtures import view
 from catalog.queries import QUERIES
 from rollcall import session
 
@@ -63,7 +64,7 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
 
-    records = spark.read.parquet(f"{sf_dir}/orders.parquet").count()
+    records = view(spark, sf_dir, "fx_source").count()
     sync = times["match_mapping"] + times["publish_rows"]
     sf = re.search(r"sf([\d.]+)", sf_dir)
     print(
