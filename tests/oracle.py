@@ -4,16 +4,16 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 
-from catalog.fixtures import BASE
-
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    for t in BASE:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    for path in sorted(Path(sf_dir).glob("*.parquet")):
+        files = f"{path}/*.parquet" if path.is_dir() else path
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{files}')")
     return con
 
 
