@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import chat_grammar, exact_dedup
+from rollcall.llm import chat_grammar, cross_parse, exact_dedup, nbsvm
 from rollcall.llm.common import table
 
 #: Generations that the table of documents is dealt into: two snapshots and one incoming batch.
@@ -27,6 +27,31 @@ FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op4_cross_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = nbsvm.fold(F.col("doc_id"), 4) == 2
+    sample = cross_parse.learn(docs.filter(~held_out))
+    return cross_parse.predict(docs.select("doc_id", "text"), sample).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+    )
+
+
+#: Score from which a document counts as good.
+GOOD = 0.3
+
+
+def op8_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = nbsvm.fold(F.col("doc_id"), 5) == 0
+    model = nbsvm.fit(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    return nbsvm.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted")
+    )
+
+
 def op9_chat_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.range(2).select(
@@ -76,6 +101,8 @@ FROM sized GROUP BY conv_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_cross_parse": op4_cross_parse,
+    "op8_quality_nbsvm": op8_quality_nbsvm,
     "op9_chat_grammar": op9_chat_grammar,
 }
 
