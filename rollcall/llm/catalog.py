@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import chat_grammar, cross_parse, exact_dedup, nbsvm
+from rollcall.llm import chat_grammar, cross_parse, exact_dedup, jaccard_join, nbsvm
 from rollcall.llm.common import table
 
 #: Generations that the table of documents is dealt into: two snapshots and one incoming batch.
@@ -99,14 +99,48 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.components(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+SHINGLES_SQL = r"""
+words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS s
+  FROM words
+)"""
+
+OP10_SQL = f"""
+WITH RECURSIVE {SHINGLES_SQL}, sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id
+  GROUP BY x.doc_id, y.doc_id
+), links AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 75 * (p.n + q.n - c)
+), reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT r.a, l.b FROM reached r JOIN (SELECT a, b FROM links UNION ALL SELECT b, a FROM links) l ON l.a = r.b
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+JOIN (SELECT a, min(b) AS component_id FROM reached GROUP BY a) r ON r.a = d.doc_id
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_cross_parse": op4_cross_parse,
     "op8_quality_nbsvm": op8_quality_nbsvm,
     "op9_chat_grammar": op9_chat_grammar,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
-_SQL = {"op3_exact_dedup": OP3_SQL, "op9_chat_grammar": OP9_SQL}
+_SQL = {"op3_exact_dedup": OP3_SQL, "op9_chat_grammar": OP9_SQL, "op10_jaccard_join": OP10_SQL}
 
 
 def oracle_sql() -> dict[str, str]:
