@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import chat_grammar, cross_parse, exact_dedup, jaccard_join, nbsvm
+from rollcall.llm import chat_grammar, cross_parse, decontaminate, exact_dedup, jaccard_join, nbsvm
 from rollcall.llm.common import table
 
 #: Generations that the table of documents is dealt into: two snapshots and one incoming batch.
@@ -132,7 +132,27 @@ FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
 JOIN (SELECT a, min(b) AS component_id FROM reached GROUP BY a) r ON r.a = d.doc_id
 """
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("containment", F.col("n_shared") / F.col("n_item"))
+
+
+OP1_SQL = f"""
+WITH {SHINGLES_SQL}, item_words AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM benchmark
+), items AS (
+  SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) AS s
+  FROM item_words WHERE len(w) >= 5
+), sizes AS (SELECT item_id, count(*)::INT AS n_item FROM items GROUP BY item_id)
+SELECT d.doc_id, i.item_id, z.n_item, count(*)::INT AS n_shared, count(*) / z.n_item AS containment
+FROM items i JOIN shingles d ON d.s = i.s JOIN sizes z ON z.item_id = i.item_id
+GROUP BY d.doc_id, i.item_id, z.n_item HAVING 4 * count(*) >= 3 * z.n_item
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_cross_parse": op4_cross_parse,
     "op8_quality_nbsvm": op8_quality_nbsvm,
@@ -140,7 +160,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_jaccard_join": op10_jaccard_join,
 }
 
-_SQL = {"op3_exact_dedup": OP3_SQL, "op9_chat_grammar": OP9_SQL, "op10_jaccard_join": OP10_SQL}
+_SQL = {"op1_decontaminate": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op9_chat_grammar": OP9_SQL, "op10_jaccard_join": OP10_SQL}
 
 
 def oracle_sql() -> dict[str, str]:
