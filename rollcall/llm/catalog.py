@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import chat_grammar, cross_parse, decontaminate, exact_dedup, jaccard_join, nbsvm
-from rollcall.llm.common import table
+from rollcall.llm import bitplanes, chat_grammar, cross_parse, decontaminate, exact_dedup, jaccard_join, nbsvm
+from rollcall.llm.common import shared_dir, table
 
 #: Generations that the table of documents is dealt into: two snapshots and one incoming batch.
 GENERATIONS = 3
@@ -39,6 +41,12 @@ def op4_cross_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_bitplanes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/token-ids/{uuid.uuid4().hex}"
+    bitplanes.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return bitplanes.digests(spark, path)
+
+
 #: Score from which a document counts as good.
 GOOD = 0.3
 
@@ -155,6 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_cross_parse": op4_cross_parse,
+    "op6_bitplanes": op6_bitplanes,
     "op8_quality_nbsvm": op8_quality_nbsvm,
     "op9_chat_grammar": op9_chat_grammar,
     "op10_jaccard_join": op10_jaccard_join,

@@ -16,13 +16,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """Folder that driver and executors share."""
+    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Store ``df`` in the shared checkpoint folder and forget its lineage."""
     spark = df.sparkSession
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(shared or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
+        sc.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
 
 
