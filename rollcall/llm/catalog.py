@@ -9,13 +9,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import bitplanes, chat_grammar, cross_parse, decontaminate, exact_dedup, jaccard_join, nbsvm
+from rollcall.llm import bitplanes, chat_grammar, cross_parse, decontaminate, exact_dedup, jaccard_join, license_scan, nbsvm, piece_viterbi, surrogates
 from rollcall.llm.common import shared_dir, table
 
 #: Generations that the table of documents is dealt into: two snapshots and one incoming batch.
 GENERATIONS = 3
 
 
+#: Key of the surrogates in the registered query; a real run brings its own.
+KEY = b"registered query"
+
+
+def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace(docs, KEY)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = exact_dedup.mark(docs, exact_dedup.by_range(docs, GENERATIONS), with_text=False)
@@ -41,12 +50,20 @@ def op4_cross_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_bitplanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/token-ids/{uuid.uuid4().hex}"
     bitplanes.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
     return bitplanes.digests(spark, path)
 
 
+def op7_piece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_viterbi.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 #: Score from which a document counts as good.
 GOOD = 0.3
 
@@ -161,9 +178,12 @@ GROUP BY d.doc_id, i.item_id, z.n_item HAVING 4 * count(*) >= 3 * z.n_item
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_surrogates": op2_surrogates,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_cross_parse": op4_cross_parse,
+    "op5_license_scan": op5_license_scan,
     "op6_bitplanes": op6_bitplanes,
+    "op7_piece_viterbi": op7_piece_viterbi,
     "op8_quality_nbsvm": op8_quality_nbsvm,
     "op9_chat_grammar": op9_chat_grammar,
     "op10_jaccard_join": op10_jaccard_join,
