@@ -26,6 +26,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from rollcall.llm.common import shuffle_parts, slices
 
@@ -44,7 +46,10 @@ BYTE, BIT = 0, 1
 REMEMBERED = 200_000
 _HEAD = struct.Struct("<4sBBHII")
 #: A piece that ends in punctuation after a Latin letter or digit: where the tokenizer divides as well.
-_TAIL = re.compile(r"(.*[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f])([.,;:!?|]*)", re.S)
+_TAIL = re.compile(r"(.*[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])([.,;:!?|]*)", re.S)
+#: Lower-case letters that no normalisation changes.
+_LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+_PLAIN = re.compile(f"[{_LETTERS}]+")
 _LOW = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 _GAP = re.compile(r"[ \t\n\r\x0b\x0c]+")
 
@@ -77,11 +82,33 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.split = split
         self.pieces, self.stems = _Memory(REMEMBERED), _Memory(REMEMBERED)
-
-    def _ask(self, pieces: list[str]) -> list[bytes]:
+        to_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {ord(c): to_bytes.pre_tokenize_str(c)[0][0] for c in _LETTERS}
+        self.model = self.tokenizer.model
+        self.direct = split and self._is_direct()
+
+    def _is_direct(self) -> bool:
+        """Whether words of lower-case letters go to the model as they are, tried on words of all letters."""
+        draw = np.random.default_rng(5)
+        tried = ["".join(draw.choice(list(_LETTERS), n)) for n in range(1, 13) for _ in range(40)] + list(_LETTERS)
+        return self._spelled(tried) == self._whole(tried)
+
+    def _spelled(self, words: list[str]) -> list[bytes]:
+        ask, letters = self.model.tokenize, self.letters
+        return [struct.pack(f"<{len(t)}I", *[x.id for x in t]) for t in (ask(w.translate(letters)) for w in words)]
+
+    def _whole(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _ask(self, pieces: list[str]) -> list[bytes]:
+        if not self.direct:
+            return self._whole(pieces)
+        plain = [bool(_PLAIN.fullmatch(p)) for p in pieces]
+        spelled = iter(self._spelled([p for p, yes in zip(pieces, plain, strict=True) if yes]))
+        whole = iter(self._whole([p for p, yes in zip(pieces, plain, strict=True) if not yes]))
+        return [next(spelled if yes else whole) for yes in plain]
+
     def _learn(self, keys: set[str]) -> None:
         new = self.pieces.missing(keys)
         parts = {}
@@ -104,6 +131,12 @@ class Encoder:
         return out
 
 
+@lru_cache(maxsize=2)
+def _encoder(path: str, split: bool) -> Encoder:
+    """A worker's encoder: what one task learnt serves the next."""
+    return Encoder(path, split)
+
+
 def pack(ids: np.ndarray, kind: int = BYTE) -> bytes:
     """A block of ids."""
     raw = ids.astype("<u4").tobytes()
@@ -156,7 +189,7 @@ def write(
     id_kind = dict(rows.dtypes)["id"]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = Encoder(tokenizer, split), TaskContext.get().partitionId()
+        encoder, part = _encoder(tokenizer, split), TaskContext.get().partitionId()
         end = np.array([END], "<u4").tobytes()
         buffer, done, number = bytearray(), 0, 0
         begun: list[tuple[object, int, int]] = []  # documents not yet in a block: id, first, length
@@ -245,14 +278,27 @@ def _blocks(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, str]:
     return ordered, F.broadcast(starts), files.schema["doc_ids"].dataType.elementType.simpleString()
 
 
+def _noting(batches: Iterator[pa.RecordBatch], kinds: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
+    """The batches; ``kinds`` gets the type of the document ids."""
+    for b in batches:
+        kinds[:] = [b.column("doc_ids").type.value_type]
+        yield b
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id``, ``start`` (ids of all documents before it), ``ids``."""
     ordered, starts, kind = _blocks(spark, path)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, part, first, _, ids in _documents(batches):
-            row = {"doc_id": [name], "part": [part], "first": [first], "ids": [np.concatenate(ids).astype(np.int64)]}
-            yield pa.RecordBatch.from_pydict(row)
+        kinds: list[pa.DataType] = []
+        for name, part, first, _, ids in _documents(_noting(batches, kinds)):
+            row = {
+                "doc_id": pa.array([name], kinds[0]),
+                "part": pa.array([part], pa.int32()),
+                "first": pa.array([first], pa.int64()),
+                "ids": pa.array([np.concatenate(ids).astype(np.int64)], pa.list_(pa.int64())),
+            }
+            yield pa.record_batch(row)
 
     found = ordered.mapInArrow(decode, f"doc_id {kind}, part int, first long, ids array<long>")
     return found.join(starts, "part").select("doc_id", (F.col("_before") + F.col("first")).alias("start"), "ids")
@@ -263,31 +309,22 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
     ordered, starts, kind = _blocks(spark, path)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds: list[pa.DataType] = []
         rows: list[tuple] = []
 
         def out() -> pa.RecordBatch:
-            cols = list(zip(*rows, strict=True))
-            return pa.record_batch(
-                {"doc_id": pa.array(cols[0], pa_kind), "part": pa.array(cols[1], pa.int32())}
-                | {k: pa.array(v, pa.int64()) for k, v in zip(("first", "n_tokens", "ids_crc32"), cols[2:], strict=True)}
-            )
-
-        pa_kind = None
-
-        def noted() -> Iterator[pa.RecordBatch]:
-            nonlocal pa_kind
-            for b in batches:
-                pa_kind = b.column("doc_ids").type.value_type
-                yield b
+            types = (kinds[0], pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            names = ("doc_id", "part", "first", "n_tokens", "ids_crc32")
+            return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
-        for name, part, first, n, ids in _documents(noted()):
+        for name, part, first, n, ids in _documents(_noting(batches, kinds)):
             crc = 0
             for piece in ids:
                 crc = zlib.crc32(piece.tobytes(), crc)
             rows.append((name, part, first, n, crc))
             if len(rows) == 10_000:
                 yield out()
-                rows = []
+                rows.clear()
         if rows:
             yield out()
 
