@@ -25,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -185,6 +186,18 @@ def matches(
     return out.select(F.col("id").alias(id_col), F.col("item").alias(item_id_col), "n_item", "n_shared")
 
 
+def _holds(held: Broadcast):
+    @F.pandas_udf("boolean")
+    def holds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        index = Search(held.value)
+        for s in batches:
+            hit = np.zeros(len(s), bool)
+            hit[[m[0] for m in index.find(pa.array(s, pa.large_string(), from_pandas=True))]] = True
+            yield pd.Series(hit)
+
+    return holds
+
+
 def without_items(
     docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text"
 ) -> DataFrame:
@@ -192,15 +205,6 @@ def without_items(
     flag = free_name(docs.columns, "_held")
     out = docs
     for _, texts in _item_blocks(items, item_id_col, item_text_col):
-        held = docs.sparkSession.sparkContext.broadcast(texts)
-
-        @F.pandas_udf("boolean")
-        def holds(batches: Iterator[pd.Series], held=held) -> Iterator[pd.Series]:
-            index = Search(held.value)
-            for s in batches:
-                hit = np.zeros(len(s), bool)
-                hit[[m[0] for m in index.find(pa.array(s, pa.large_string(), from_pandas=True))]] = True
-                yield pd.Series(hit)
-
+        holds = _holds(docs.sparkSession.sparkContext.broadcast(texts))
         out = out.withColumn(flag, holds(F.coalesce(F.col(text_col), F.lit("")))).filter(~F.col(flag)).drop(flag)
     return out

@@ -13,22 +13,15 @@ columns of the input are kept; helper columns take names that the input does not
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.llm import fuse
+from rollcall.llm import fuse, screen
 from rollcall.llm.common import cut, free_name
 
-#: Distinct digests of a shard, on average; what one task holds while building or screening.
-SHARD_KEYS = 1 << 17
-#: Suspect filters up to this size are broadcast to the text scan; beyond it the scan is joined to the suspect digests.
-BROADCAST_BYTES = 64 << 20
-
 
 def digest(text_col: str) -> Column:
     """SHA-256 of the text in UTF-8, as bytes."""
@@ -39,19 +32,7 @@ def key_of(digest_col: Column) -> Column:
     return F.xxhash64(digest_col)
 
 
-def snapshot_filters(entries: DataFrame) -> DataFrame:
-    """One filter per snapshot and shard of ``entries`` (generation, shard, key)."""
-
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        seed, length, begins, table = fuse.build(pdf["key"].to_numpy().view(np.uint64))
-        row = (pdf["generation"].iat[0], pdf["shard"].iat[0], seed, length, begins, table)
-        return pd.DataFrame([row], columns=["generation", "shard", "seed", "length", "begins", "table"])
-
-    schema = "generation int, shard int, seed int, length int, begins int, table binary"
-    return entries.select("generation", "shard", "key").groupBy("generation", "shard").applyInPandas(build, schema)
-
-
-def screen(entries: DataFrame, filters: DataFrame) -> DataFrame:
+def ask_snapshots(entries: DataFrame, filters: DataFrame) -> DataFrame:
     """Keys and digests of ``entries`` that a filter of an earlier generation may hold."""
 
     def ask(incoming: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
@@ -70,7 +51,7 @@ def screen(entries: DataFrame, filters: DataFrame) -> DataFrame:
     )
 
 
-def suspects(docs: DataFrame, text_col: str, generation: Column, shard_keys: int = SHARD_KEYS) -> DataFrame:
+def suspects(docs: DataFrame, text_col: str, generation: Column, shard_keys: int = screen.SHARD_KEYS) -> DataFrame:
     """Digests that occur in more than one row, each once, with ``key``; stored."""
     entries = cut(
         docs.select(digest(text_col).alias("digest"), F.coalesce(generation.cast("int"), F.lit(0)).alias("generation"))
@@ -83,7 +64,7 @@ def suspects(docs: DataFrame, text_col: str, generation: Column, shard_keys: int
     entries = entries.withColumn("shard", F.pmod(F.col("key"), F.lit(shards)).cast("int"))
     inside = entries.filter(F.col("size") > 1).select("digest")
     snapshots = entries.filter(F.col("generation") < F.lit(facts["newest"]))
-    positives = screen(entries, snapshot_filters(snapshots)).select("digest", F.col("generation").alias("_later"))
+    positives = ask_snapshots(entries, screen.filters(snapshots, ["generation", "shard"])).select("digest", F.col("generation").alias("_later"))
     across = (
         positives.join(snapshots.select("digest", "generation"), "digest")
         .filter(F.col("generation") < F.col("_later"))
@@ -92,40 +73,12 @@ def suspects(docs: DataFrame, text_col: str, generation: Column, shard_keys: int
     return cut(inside.union(across).distinct().withColumn("key", key_of(F.col("digest"))))
 
 
-def _suspect_flag(docs: DataFrame, found: DataFrame, digest_col: str, flag: str, most: int) -> DataFrame:
-    """``docs`` with ``flag``: false only where the digest is in no more than one row."""
-    n = found.count()
-    if n * 9 // 8 * 1.5 > most:
-        named = found.select(F.col("digest").alias(digest_col), F.lit(True).alias(flag))
-        return docs.join(named, digest_col, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
-    shards = max(1, -(-n // SHARD_KEYS))
-    parts = (
-        found.select(F.lit(0).alias("generation"), F.pmod("key", F.lit(shards)).cast("int").alias("shard"), "key")
-        .transform(snapshot_filters)
-        .collect()
-    )
-    held = docs.sparkSession.sparkContext.broadcast({r["shard"]: tuple(r)[2:] for r in parts})
-
-    @F.pandas_udf("boolean")
-    def ask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            raw = s.to_numpy()
-            out = np.zeros(len(raw), bool)
-            shard = raw % shards
-            for k, (seed, length, begins, table) in held.value.items():
-                own = np.flatnonzero(shard == k)
-                out[own] = fuse.might_hold(raw[own].view(np.uint64), seed, length, begins, bytes(table))
-            yield pd.Series(out)
-
-    return docs.withColumn(flag, ask(key_of(F.col(digest_col))))
-
-
 def mark(
     docs: DataFrame,
     generation: Column,
     id_col: str = "doc_id",
     text_col: str = "text",
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int = screen.BROADCAST_BYTES,
     with_text: bool = True,
 ) -> DataFrame:
     """``docs`` with ``keep_id``, ``group_size``, ``kept`` and ``text_sha256`` in a struct column ``dedup``.
@@ -136,7 +89,8 @@ def mark(
     col = {x: free_name(docs.columns, f"_{x}") for x in ("digest", "suspect", "tag", "top", "size", "n")}
     out = free_name(docs.columns, "dedup")
     found = suspects(docs, text_col, generation)
-    flagged = _suspect_flag(docs.withColumn(col["digest"], digest(text_col)), found, col["digest"], col["suspect"], broadcast_bytes)
+    hashed = docs.withColumn(col["digest"], digest(text_col))
+    flagged = screen.flag(hashed, found, key_of(F.col(col["digest"])), col["suspect"], broadcast_bytes)
     kept_cols = docs.columns if with_text else [id_col]
 
     def struct(keep: Column, size: Column, kept: Column) -> Column:

@@ -30,19 +30,21 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollcall.llm import fuse, words
-from rollcall.llm.common import cut, shuffle_parts, slices, utf8
+from rollcall.llm import fuse, screen, words
+from rollcall.llm.common import cut, free_name, shuffle_parts, slices, utf8
 from rollcall.llm.components import stars
 
 SHINGLE = 5
 #: Threshold 3/4; the tests below use whole numbers.
-SKETCH_BITS = 18
-SKETCH_PARTS = 16
+SKETCH_BITS = 20
+SKETCH_PARTS = 64
 SHORT = 8
 BLOCK = 1024
 ROUNDS = 3
-#: Filter of proposed classes up to this size is broadcast; beyond it all sets go to the join.
-BROADCAST_BYTES = 64 << 20
+#: Pairs to test (two longs each) up to this number are broadcast to the stored sets.
+BROADCAST_PAIRS = 200_000
+#: Sets of the ends with most pairs are broadcast if they take no more bytes; each pair then moves no set at all.
+BROADCAST_HUBS = 16 << 20
 _ENTRY = "token long, cid long, n int, pos int"
 
 
@@ -214,6 +216,17 @@ def block_pairs(blocks: DataFrame, labelled: bool) -> DataFrame:
     return a.join(b, open_).select("a.token", F.col("a.block").alias("one"), F.col("b.block").alias("two"))
 
 
+def partnered(blocks: DataFrame, opened: DataFrame) -> DataFrame:
+    """Entries that pass the tests with some entry of a block they meet."""
+    ways = F.array(F.struct("one", "two"), F.struct(F.col("two").alias("one"), F.col("one").alias("two")))
+    meets = opened.select("token", F.explode(ways).alias("way")).select("token", "way.*").distinct()
+    own = F.struct("cid", "n", "pos")
+    a = blocks.join(meets.withColumnRenamed("one", "block"), ["token", "block"]).withColumn("x", own)
+    b = blocks.select(F.col("token").alias("tok"), F.col("block").alias("other"), own.alias("y"))
+    some = a.join(b, F.expr("token = tok AND two = other AND x.cid <> y.cid") & _can_link("x", "y"), "left_semi")
+    return some.drop("two", "x").distinct()
+
+
 def chain_pairs(blocks: DataFrame, turn: int) -> DataFrame:
     """Neighbours of different labels in a random order of each block row of one size class."""
     share = F.pmod(F.xxhash64("cid", F.lit(turn)), F.ceil(F.col("cnt") / BLOCK))
@@ -244,24 +257,14 @@ def open_pairs(blocks: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Stored (cid, tokens) of the ``wanted`` classes (cid, k1, k2), laid out by cid."""
+    """Stored (cid, tokens) of the ``wanted`` classes (cid, k1, k2)."""
     spark = docs.sparkSession
     filters = None
-    if (n := wanted.count()) * 9 // 8 * 1.5 <= BROADCAST_BYTES:
-        shards = max(1, -(-n // (1 << 17)))
-
-        def build(pdf):
-            import pandas as pd
-
-            return pd.DataFrame([(int(pdf["shard"].iat[0]), *fuse.build(pdf["k1"].to_numpy().view(np.uint64)))], columns=["shard", "seed", "length", "begins", "table"])
-
-        made = (
-            wanted.select("k1", F.pmod("k1", F.lit(shards)).cast("int").alias("shard"))
-            .groupBy("shard")
-            .applyInPandas(build, "shard int, seed int, length int, begins int, table binary")
-            .collect()
-        )
-        filters = spark.sparkContext.broadcast((shards, {r["shard"]: (*tuple(r)[1:4], bytes(r["table"])) for r in made}))
+    if (n := wanted.count()) * 9 // 8 * 1.5 <= screen.BROADCAST_BYTES:
+        shards = max(1, -(-n // screen.SHARD_KEYS))
+        keys = wanted.select(F.col("k1").alias("key"), F.pmod("k1", F.lit(shards)).cast("int").alias("shard"))
+        made = {r["shard"]: (*tuple(r)[1:4], bytes(r["table"])) for r in screen.filters(keys, ["shard"]).collect()}
+        filters = spark.sparkContext.broadcast((shards, made))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -278,7 +281,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.record_batch({"k1": pa.array(k1, pa.int64()), "k2": pa.array(k2, pa.int64()), "tokens": pa.array(tokens, pa.binary())})
 
     read_sets = docs.mapInArrow(read, "k1 long, k2 long, tokens binary").groupBy("k1", "k2").agg(F.first("tokens").alias("tokens"))
-    return cut(read_sets.join(wanted, ["k1", "k2"]).select("cid", "tokens").repartition(shuffle_parts(spark), "cid").sortWithinPartitions("cid"))
+    return cut(read_sets.join(wanted, ["k1", "k2"]).select("cid", "tokens"))
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -294,9 +297,30 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             keep = pa.array(yes, pa.bool_())
             yield pa.record_batch({"u": b.column("a").filter(keep), "v": b.column("b").filter(keep)})
 
-    one = pairs.join(sets.select(F.col("cid").alias("a"), F.col("tokens").alias("x")), "a")
-    two = one.join(sets.select(F.col("cid").alias("b"), F.col("tokens").alias("y")), "b")
-    return two.select("a", "b", "x", "y").mapInArrow(test, "u long, v long")
+    pairs = cut(pairs)
+    n = pairs.count()
+    ends = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).groupBy("cid").agg(F.count("*").alias("deg"))
+    deg = [ends.select(F.col("cid").alias(c), F.col("deg").alias(f"deg_{c}")) for c in ("a", "b")]
+    both = pairs.join(deg[0], "a").join(deg[1], "b")
+    more = F.expr("deg_a > deg_b OR deg_a = deg_b AND a < b")
+    turned = cut(both.select(F.when(more, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(more, F.col("b")).otherwise(F.col("a")).alias("b")))
+    hubs = sets.join(F.broadcast(turned.select(F.col("a").alias("cid")).distinct()) if n <= BROADCAST_PAIRS else turned.select(F.col("a").alias("cid")).distinct(), "cid", "left_semi")
+    if n <= BROADCAST_PAIRS and (hubs.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0) <= BROADCAST_HUBS:
+        held = pairs.sparkSession.sparkContext.broadcast({r["cid"]: bytes(r["tokens"]) for r in hubs.collect()})
+
+        def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                x = pa.array([held.value[c] for c in b.column("a").to_pylist()], pa.binary())
+                yield from test([pa.record_batch([b.column("a"), b.column("b"), x, b.column("y")], ["a", "b", "x", "y"])])
+
+        spokes = sets.select(F.col("cid").alias("b"), F.col("tokens").alias("y")).join(F.broadcast(turned), "b")
+        return cut(spokes.select("a", "b", "y").mapInArrow(look_up, "u long, v long"))
+    x, y = (sets.select(F.col("cid").alias(c), F.col("tokens").alias(t)) for c, t in (("a", "x"), ("b", "y")))
+    if n <= BROADCAST_PAIRS:  # then only the sets that take part move
+        met = x.join(F.broadcast(turned), "a").join(y.join(F.broadcast(turned), "b"), ["a", "b"])
+    else:
+        met = turned.join(x, "a").join(y, "b")
+    return cut(met.select("a", "b", "x", "y").mapInArrow(test, "u long, v long"))
 
 
 def _label(blocks: DataFrame, star: DataFrame | None) -> DataFrame:
@@ -313,10 +337,9 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     found = classes(docs, counts)
     index = entries(found)
     direct = cut(short_pairs(index))
-    long_ = in_blocks(index)
+    long_ = cut(in_blocks(index))
     opened = block_pairs(long_, labelled=False)
-    partners = opened.select("token", F.col("one").alias("block")).union(opened.select("token", "two")).distinct()
-    blocks = cut(long_.join(partners, ["token", "block"], "left_semi"))
+    blocks = cut(partnered(long_, opened))
     named = direct.select(F.col("a").alias("cid")).union(direct.select("b")).union(blocks.select("cid")).distinct()
     sets = sets_of(docs, cut(found.select("cid", "k1", "k2").join(named, "cid", "left_semi")))
 
@@ -336,3 +359,25 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     n = F.col("n").cast("long").alias("n_shingles")
     empty = rows.filter("n = 0").select("id", n, F.col("id").alias("component_id"))
     return rows.filter("n > 0").join(answer, ["k1", "k2"]).select("id", n, "component_id").union(empty)
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: the one of the smallest id (null first), then of the smallest text digest.
+
+    Rows that must not stay are few: their keys screen the table, and only rows that the filter holds are looked up. Of rows
+    equal in id and text one stays. Texts without shingles all stay.
+    """
+    key, flag, tag = (free_name(docs.columns, x) for x in ("_key", "_suspect", "_tag"))
+    own = F.struct(F.col(id_col).alias("id"), F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256).alias("digest"))
+    keyed = docs.withColumn(key, own)
+    found = cut(components(keyed, key, text_col))
+    stay = found.filter("id <=> component_id OR n_shingles = 0").groupBy("id").agg(F.count("*").alias("n"), F.max("n_shingles").alias("size"))
+    go = found.filter("NOT id <=> component_id AND n_shingles > 0").select("id").union(stay.filter("n > 1 AND size > 0").select("id"))
+    keys = cut(go.select(F.xxhash64("id").alias("key")).distinct())
+    flagged = screen.flag(keyed, keys, F.xxhash64(F.col(key)), flag)
+    rows = cut(flagged.filter(flag).withColumn(tag, F.monotonically_increasing_id()))
+    kept = stay.select(F.col("id").alias(key), F.col("size").alias("_size"))
+    judged = rows.select(key, tag).join(kept, key)
+    first = judged.groupBy(key).agg(F.max(tag).alias(tag)).select(tag).union(judged.filter("_size = 0").select(tag)).distinct()
+    again = rows.join(first, tag, "left_semi").select(*docs.columns)
+    return flagged.filter(~F.col(flag)).select(*docs.columns).unionByName(again)

@@ -22,6 +22,7 @@ from functools import lru_cache
 
 import ahocorasick
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -151,8 +152,6 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
 
 def decode(rows: DataFrame, model: str, ids_col: str = "ids", name: str = "text") -> DataFrame:
     """``rows`` with the text of ``ids_col`` in column ``name``; null ids give an empty text."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         pieces = _pieces(model)
