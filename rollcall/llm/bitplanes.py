@@ -43,14 +43,13 @@ BLOCK = 1 << 14
 END = 1
 BYTE, BIT = 0, 1
 #: Distinct pieces whose ids a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 _HEAD = struct.Struct("<4sBBHII")
 #: A piece that ends in punctuation after a Latin letter or digit: where the tokenizer divides as well.
-_TAIL = re.compile(r"(.*[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])([.,;:!?|]*)", re.S)
+_TAIL = re.compile(r"([\x00-;=-\xff]*[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])([.,;:!?|]*)", re.S)
 #: Lower-case letters that no normalisation changes.
 _LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
 _PLAIN = re.compile(f"[{_LETTERS}]+")
-_LOW = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 _GAP = re.compile(r"[ \t\n\r\x0b\x0c]+")
 
 
@@ -95,7 +94,8 @@ class Encoder:
 
     def _spelled(self, words: list[str]) -> list[bytes]:
         ask, letters = self.model.tokenize, self.letters
-        return [struct.pack(f"<{len(t)}I", *[x.id for x in t]) for t in (ask(w.translate(letters)) for w in words)]
+        found = (ask(w if w.isascii() else w.translate(letters)) for w in words)
+        return [np.fromiter([x.id for x in t], "<u4", len(t)).tobytes() for t in found]
 
     def _whole(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
@@ -113,8 +113,8 @@ class Encoder:
         new = self.pieces.missing(keys)
         parts = {}
         for k in new:
-            m = None if "<" in k else _TAIL.fullmatch(k)
-            parts[k] = (m[1].translate(_LOW), m[2]) if m else (k, "")
+            m = _TAIL.fullmatch(k)  # Latin-1 throughout, where lower() is what the tokenizer does; no "<" of a special token
+            parts[k] = (m[1].lower(), m[2]) if m else (k, "")
         stems = self.stems
         asked = stems.missing({x for pair in parts.values() for x in pair})
         stems.new.update(zip(asked, self._ask(asked), strict=True))
