@@ -2,7 +2,8 @@
 
 Every view is computed from whole tables. A remainder test inside a view decides which
 branch of an operator a row takes (withdrawn upstream, no lab id, a child, ...); it is
-never there to make a table smaller.
+never there to make a table smaller. Left out are only the people whom the registry does not know (``c_custkey%10 = 9``
+in ``fx_registry``) and the records that a registry row points to but the source has withdrawn (``o_orderkey%4 = 3``).
 """
 
 from __future__ import annotations
@@ -46,18 +47,21 @@ SELECT CAST(o_orderkey AS STRING) AS record_id,
  CASE WHEN c_custkey%5=3 THEN concat('fam',CAST(c_custkey%40 AS STRING)) ELSE '' END AS last_name_child,
  CASE WHEN c_custkey%5=3 THEN '2015-06-01' ELSE '' END AS date_of_birth_child,
  o_orderdate AS last_update_timestamp, concat('http://q/',CAST(o_orderkey AS STRING)) AS survey_queue_link
-FROM orders JOIN customer ON o_custkey=c_custkey WHERE o_orderkey%4<>3
+FROM orders JOIN customer ON o_custkey=c_custkey
+ LEFT JOIN (SELECT min(o_orderkey) AS linked FROM orders GROUP BY o_custkey) f ON f.linked=o_orderkey
+WHERE f.linked IS NULL OR o_orderkey%4<>3
 """
 
 FX["fx_source_raw"] = """
 SELECT CAST(o_orderkey AS STRING) AS record_id, '' AS redcap_repeat_instrument, 0 AS redcap_repeat_instance,
  CASE WHEN o_orderkey%7=0 THEN '' ELSE ' 40 ' END AS age, concat('  ', upper(o_orderpriority), ' ') AS first_name,
  concat('http://q/',CAST(o_orderkey AS STRING)) AS survey_queue_link, CASE WHEN o_orderkey%9=0 THEN 'NaN' ELSE 'x' END AS note, '' AS finding
-FROM orders WHERE o_orderkey%4<>3
+FROM orders LEFT JOIN (SELECT min(o_orderkey) AS linked FROM orders GROUP BY o_custkey) f ON f.linked=o_orderkey
+WHERE f.linked IS NULL OR o_orderkey%4<>3
 UNION ALL
-SELECT CAST(l_orderkey AS STRING), 'visit',
- CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_shipdate) AS INT), '', '', '', '', concat('p',CAST(l_partkey AS STRING))
-FROM lineitem WHERE l_linenumber=1 AND l_orderkey%4<>3
+SELECT CAST(l_orderkey AS STRING), CASE WHEN l_linenumber%3=0 THEN 'labs' ELSE 'visit' END,
+ CAST(row_number() OVER (PARTITION BY l_orderkey, l_linenumber%3=0 ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice) AS INT), '', '', '', '', concat('p',CAST(l_partkey AS STRING))
+FROM lineitem
 """
 
 FX["fx_dates"] = """
@@ -72,7 +76,7 @@ SELECT CAST(1000000+c_custkey AS STRING) AS cuimc_id,
  CASE WHEN c_custkey%21=0 THEN '' WHEN c_custkey%9=0 THEN concat('FAM',CAST(c_custkey%40 AS STRING)) ELSE concat('New',CAST(c_custkey AS STRING)) END AS last_local,
  CASE WHEN c_custkey%33=0 THEN '' ELSE concat(CAST(1950+c_custkey%13 AS STRING),'-01-15') END AS dob,
  '' AS last_child, '' AS child_first, '' AS dob_child
-FROM customer WHERE c_custkey%3=0
+FROM customer
 """
 
 FX["fx_patient_map"] = """
@@ -108,7 +112,7 @@ UNION ALL SELECT 'record_id', 'enrol', -1, ''
 """
 
 FX["fx_ignore"] = """
-SELECT concat('f',CAST(p_partkey AS STRING)) AS field_name, CASE WHEN p_partkey%20=0 THEN '1' ELSE '0' END AS flag FROM part WHERE p_partkey%10=0
+SELECT concat('f',CAST(p_partkey AS STRING)) AS field_name, CASE WHEN p_partkey%20=0 THEN '1' ELSE '0' END AS flag FROM part
 UNION ALL SELECT 'gone_upstream', '1'
 """
 

@@ -82,7 +82,8 @@ WHERE (rn-1) % 50 = 0
 """
 O["range_boundaries"] = "SELECT range_no, lo, hi FROM o_ranges"
 O["range_records"] = """
-SELECT s.id, coalesce(r.range_no, -1) AS range_no FROM (SELECT CAST(record_id AS BIGINT) AS id FROM fx_source) s
+SELECT s.record_id, CASE WHEN s.id IS NULL THEN -2 ELSE coalesce(r.range_no, -1) END AS range_no
+FROM (SELECT record_id, TRY_CAST(record_id AS BIGINT) AS id FROM fx_source) s
 LEFT JOIN o_ranges r ON s.id >= r.lo AND (r.hi IS NULL OR s.id < r.hi)
 """
 O["ignore_list"] = "SELECT DISTINCT field_name FROM fx_ignore WHERE flag = '1'"
@@ -190,6 +191,12 @@ O["publish_quarantine"] = """
 SELECT record_id, redcap_repeat_instrument, redcap_repeat_instance, 'superseded' AS reason FROM fx_source_raw r
 WHERE NOT EXISTS (SELECT 1 FROM o_mapping m WHERE m.record_id = r.record_id)
 """
+O["quarantine_all"] = """
+SELECT record_id, redcap_repeat_instrument, redcap_repeat_instance,
+ CASE WHEN trim(record_id) = '' THEN 'blank_id' WHEN record_id IN (SELECT record_id FROM fx_source_raw WHERE redcap_repeat_instrument = ''
+   AND trim(age) <> '' AND lower(trim(age)) <> 'nan' AND TRY_CAST(trim(age) AS DOUBLE) IS NULL) THEN 'bad_age' ELSE 'superseded' END AS reason
+FROM fx_source_raw r WHERE NOT EXISTS (SELECT 1 FROM o_mapping m WHERE m.record_id = r.record_id)
+"""
 V["o_lines"] = """
 SELECT batch_id, cuimc_id, redcap_repeat_instrument AS instrument, CAST(redcap_repeat_instance AS BIGINT) AS instance,
  CAST(to_json({'record_id': record_id, 'redcap_repeat_instrument': redcap_repeat_instrument, 'redcap_repeat_instance': redcap_repeat_instance,
@@ -203,8 +210,10 @@ SELECT batch_id, count(*) AS n_rows, count(DISTINCT cuimc_id) AS n_keys, CAST(su
 """
 O["batch_lines"] = "SELECT * FROM o_lines"
 O["batch_payload"] = """
-SELECT batch_id, '[' || string_agg(line, ',' ORDER BY cuimc_id, instrument, instance) || ']' AS payload, count(*) AS n_rows,
- min(cuimc_id) AS first_key, max(cuimc_id) AS last_key FROM o_lines GROUP BY batch_id
+SELECT batch_id, cuimc_id, instrument, instance,
+ CASE WHEN rn = 1 THEN '[' ELSE ',' END || line || CASE WHEN rn = n THEN ']' ELSE '' END AS framed
+FROM (SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY cuimc_id, instrument, instance, line) AS rn,
+ count(*) OVER (PARTITION BY batch_id) AS n FROM o_lines) f
 """
 
 # --- upserts and deletes ---------------------------------------------------------------------------------

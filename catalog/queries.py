@@ -274,6 +274,13 @@ def publish_quarantine(spark, d):
     return rows.select(RECORD, INSTRUMENT, INSTANCE, "reason")
 
 
+@query
+def quarantine_all(spark, d):
+    raw = view(spark, d, "fx_source_raw")
+    held = publish.held_rows(raw, _mapping(spark, d), normalize.source_quarantine(raw))
+    return held.select(RECORD, INSTRUMENT, INSTANCE, "reason")
+
+
 @query
 def publish_batches(spark, d):
     return publish.receipts(publish.payload_lines(_published(spark, d)))
@@ -286,8 +293,8 @@ def batch_lines(spark, d):
 
 @query
 def batch_payload(spark, d):
-    arrays, _ = publish.payload_arrays(cut(publish.payload_lines(_published(spark, d))))
-    return arrays
+    framed = publish.framed_lines(publish.payload_lines(_published(spark, d)))
+    return framed.select("batch_id", KEY, "instrument", "instance", "framed")
 
 
 # --- upserts and deletes -------------------------------------------------------------------------------

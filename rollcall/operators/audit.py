@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.operators.lookup import attach
-from rollcall.operators.normalize import differing
+from rollcall.operators.normalize import base_rows, differing
 from rollcall.schema import FOREIGN, KEY, LAB, MRN, OWN, RECORD
 
 
@@ -16,7 +16,7 @@ def name_mismatches(source: DataFrame, mapping: DataFrame, registry: DataFrame)
     Blank lab ids equal each other here, and a blank name counts as a value.
     """
     mapped = attach(mapping.select(RECORD, KEY), source.select(RECORD, LAB, *FOREIGN), [RECORD], "inner")
-    both = mapped.join(registry.select(KEY, LAB, *OWN), [KEY, LAB])
+    both = mapped.join(base_rows(registry).select(KEY, LAB, *OWN), [KEY, LAB])
     return differing(both, "first_local", "first_name").select(
         RECORD, KEY, LAB, "first_name", "last_name", "first_local", "last_local"
     )
@@ -27,7 +27,7 @@ def id_mismatches(mapping: DataFrame, registry: DataFrame) -> DataFrame:
 
     ``kind``: ``first_link`` when nothing was stored, else ``changed``.
     """
-    stored = registry.select(KEY, F.col(RECORD).alias("stored_record_id"))
+    stored = base_rows(registry).select(KEY, F.col(RECORD).alias("stored_record_id"))
     both = stored.join(mapping.select(KEY, RECORD), KEY)
     kind = F.when(F.col("stored_record_id") == "", "first_link").otherwise("changed")
     return differing(both, "stored_record_id", RECORD).select(KEY, RECORD, "stored_record_id", kind.alias("kind"))
@@ -41,7 +41,7 @@ def verified_lookup(requests: DataFrame, registry: DataFrame) -> DataFrame:
     """
     identity = ["first_local", "last_local", "dob"]
     one = (
-        registry.filter(F.col(MRN) != "")
+        base_rows(registry).filter(F.col(MRN) != "")
         .groupBy(MRN)
         .agg(
             F.count("*").alias("_n"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.operators.lookup import attach
+from rollcall.operators.normalize import base_rows
 from rollcall.schema import EMPI, FACILITIES, KEY, MRN
 
 
@@ -28,13 +29,14 @@ def lookup_table(patient_map: DataFrame) -> DataFrame:
 
 
 def crosswalk(registry: DataFrame, patient_map: DataFrame) -> DataFrame:
-    """(key, mrn, enterprise id, status) for every registry row.
+    """(key, mrn, enterprise id, status) for every base row of the registry; null counts as blank.
 
     Status: ``skip_has_empi``, ``skip_no_mrn``, ``not_found``, ``not_unique`` or ``filled``;
     only ``filled`` carries an id found now.
     """
+    base = base_rows(registry).select(KEY, *[F.coalesce(c, F.lit("")).alias(c) for c in (MRN, EMPI)])
     skip = F.when(F.col(EMPI) != "", "skip_has_empi").when(F.col(MRN) == "", "skip_no_mrn")
-    rows = registry.select(KEY, MRN, EMPI, skip.alias("_skip"))
+    rows = base.select(KEY, MRN, EMPI, skip.alias("_skip"))
     alone = F.concat(F.lit("\u0000"), F.col(KEY).cast("string"))
     rows = rows.withColumn("number", F.when(F.col("_skip").isNull(), F.col(MRN)).otherwise(alone))
     found = attach(rows, lookup_table(patient_map), ["number"])

@@ -39,7 +39,7 @@ def existing_names(registry: DataFrame) -> DataFrame:
 def judge(upload: DataFrame, registry: DataFrame) -> DataFrame:
     """Upload rows with ``reason``: the first failing rule, or null when accepted.
 
-    Medical record numbers are compared as they are, people by six cleaned fields with
+    All columns of the upload are kept. Medical record numbers are compared as they are, people by six cleaned fields with
     dates as ISO text, where blank equals blank. Rows that failed already look nothing up.
     """
     dates = {n: to_day(F.col(n)) for n in ("dob", "dob_child")}
@@ -51,7 +51,8 @@ def judge(upload: DataFrame, registry: DataFrame) -> DataFrame:
         .when(empty("dob"), "blank_dob")
         .when(unread("dob") | unread("dob_child"), "bad_date")
     )
-    rows = upload.select(*INTAKE_FIELDS, early.alias("_early"))
+    others = [c for c in upload.columns if c not in INTAKE_FIELDS]
+    rows = upload.select(*INTAKE_FIELDS, *others, early.alias("_early"))
     asks = F.col("_early").isNull()
     alone = F.concat(F.lit("\u0000"), F.col(KEY).cast("string"))
 
@@ -69,7 +70,7 @@ def judge(upload: DataFrame, registry: DataFrame) -> DataFrame:
     rows = attach(rows, people.withColumn("_known_person", F.lit(True)), probe)
 
     late = F.when(asks & F.col("_known_mrn"), "known_mrn").when(asks & F.col("_known_person"), "known_person")
-    return rows.select(*INTAKE_FIELDS, F.coalesce("_early", late).alias("reason"))
+    return rows.select(*INTAKE_FIELDS, *others, F.coalesce("_early", late).alias("reason"))
 
 
 def rejects(judged: DataFrame) -> DataFrame:
@@ -79,8 +80,10 @@ def rejects(judged: DataFrame) -> DataFrame:
 def accept(judged: DataFrame, registry: DataFrame, reserved_from: int | None = None) -> DataFrame:
     """Accepted rows ready for import: cleaned text, next free ids, upload flag, US dates.
 
-    Ids follow the six person fields in text order, then the id the row came with.
+    Ids follow the six person fields in text order, then the id the row came with. Further columns of the upload follow
+    as they are.
     """
+    others = [c for c in judged.columns if c not in [*INTAKE_FIELDS, "reason", "upload_id", UPLOAD_FLAG]]
     rows = judged.filter(F.col("reason").isNull())
     sort_text = lambda n: F.coalesce(F.date_format(to_day(F.col(n)), ISO_DATE), F.lit(""))
     tidy = rows.select(
@@ -88,6 +91,7 @@ def accept(judged: DataFrame, registry: DataFrame, reserved_from: int | None = N
         to_key(F.col(KEY).cast("string")).alias("_from_no"),
         key_text(F.col(MRN)).alias(MRN),
         *[(sort_text(n) if n.startswith("dob") else key_text(F.col(n))).alias(n) for n in PERSON],
+        *others,
     )
     keys = registry.select(to_key(F.col(KEY).cast("string")).alias(KEY))
     numbered = number_rows(
@@ -99,6 +103,7 @@ def accept(judged: DataFrame, registry: DataFrame, reserved_from: int | None = N
         MRN,
         *[(day_text(to_day(F.col(n))) if n.startswith("dob") else F.col(n)).alias(n) for n in PERSON],
         F.lit("1").alias(UPLOAD_FLAG),
+        *others,
     )
 
 

@@ -80,6 +80,11 @@ def is_base() -> Column:
     return F.coalesce(F.col(INSTRUMENT), F.lit("")) == ""
 
 
+def base_rows(df: DataFrame) -> DataFrame:
+    """Base rows of a table with repeats; all rows of a table that has none."""
+    return df.filter(is_base()) if INSTRUMENT in df.columns else df
+
+
 def adults(df: DataFrame) -> DataFrame:
     return df.filter(F.col("age") >= ADULT_AGE)
 
@@ -104,7 +109,7 @@ def any_code(df: DataFrame, code: str, names: list[str]) -> Column:
 def collapse(df: DataFrame, names: list[str], key: str = RECORD) -> DataFrame:
     """One row per key with the first non-null value of each column.
 
-    Order is explicit: the base row, then repeats by instrument and instance. A blank
+    Order is explicit: the base row, then repeats by instrument and instance, then the values themselves. A blank
     is a value and wins over a later filled one. The aggregate combines before the
     shuffle, so a record with very many repeats costs one partial row per input split.
 
@@ -115,14 +120,14 @@ def collapse(df: DataFrame, names: list[str], key: str = RECORD) -> DataFrame:
     values = [n for n in names if n != key]
     number = to_number_or_zero(F.col(INSTANCE).cast("string"))
     on_base = is_base() & (number == 0)
-    # one sortable text is cheaper to compare than a struct
     place = F.when(on_base, "").otherwise(
         F.concat(F.coalesce(F.col(INSTRUMENT), F.lit("")), F.lit("\u0001"), F.lpad(number.cast("string"), 20, "0"))
     )
     whole = on_base
     for n in values:
         whole = whole & F.col(n).isNotNull()
-    rows = df.select(key, *values, place.alias("_at"), whole.alias("_whole"))
+    # rows of one place are ordered by their values, so the answer never follows row order
+    rows = df.select(key, *values, F.struct(place, *[F.col(n) for n in values]).alias("_at"), whole.alias("_whole"))
     fields = ", ".join(f"`{n}`" for n in values)
     grouped = rows.groupBy(key).agg(
         F.expr(f"min_by(struct({fields}), _at) FILTER (WHERE _whole)").alias("_base"),

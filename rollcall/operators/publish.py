@@ -20,16 +20,21 @@ from rollcall.schema import (
     REGISTRY_LINK,
     SOURCE_LINK,
 )
+from rollcall.session import cut
 
 BATCH = "batch_id"
 
 
 def add_links(mapping: DataFrame, source: DataFrame) -> DataFrame:
-    """Survey link of each mapped record, taken from base rows; none gives null."""
+    """Survey link of each mapped record, taken from base rows; none gives null.
+
+    Of several base rows the one of the lowest instance counts, as in ``collapse``; then the first link in text order.
+    """
+    number = to_number_or_zero(F.col(INSTANCE).cast("string"))
     links = (
         source.filter(is_base())
-        .select(key_text(F.col(RECORD)).alias(RECORD), F.col(SOURCE_LINK).alias(REGISTRY_LINK))
-        .distinct()
+        .groupBy(key_text(F.col(RECORD)).alias(RECORD))
+        .agg(F.min_by(SOURCE_LINK, F.struct(number, SOURCE_LINK)).alias(REGISTRY_LINK))
     )
     return attach(mapping, links, [RECORD])
 
@@ -81,6 +86,19 @@ def superseded(source: DataFrame, mapping: DataFrame) -> DataFrame:
     )
 
 
+def held_rows(source: DataFrame, mapping: DataFrame, unread: DataFrame) -> DataFrame:
+    """Every source row that is not published, once, with the reason: ``blank_id``, ``bad_age`` or ``superseded``.
+
+    ``unread`` is ``source_quarantine`` of the source; a record of unreadable age is held with all its rows, repeats included.
+    """
+    bad = unread.filter("reason = 'bad_age'").select(F.col(RECORD).alias("_record"), F.lit(True).alias("_bad"))
+    left = source.withColumn("_record", key_text(F.col(RECORD))).join(
+        mapping.select(F.col(RECORD).alias("_record")), "_record", "left_anti"
+    )
+    reason = F.when(F.col("_record") == "", "blank_id").when(F.col("_bad"), "bad_age").otherwise("superseded")
+    return attach(left, bad, ["_record"]).withColumn("reason", reason).drop("_record", "_bad")
+
+
 def _row_order() -> list[Column]:
     """Base row of an id first, then its repeats by instrument and instance."""
     return [
@@ -114,28 +132,22 @@ def receipts(lines: DataFrame) -> DataFrame:
     )
 
 
-def payload_arrays(lines: DataFrame, max_bytes: int = 64 << 20) -> tuple[DataFrame, DataFrame]:
-    """(arrays, oversize): one JSON array per batch where it fits, the lines of the others.
+def framed_lines(lines: DataFrame) -> DataFrame:
+    """Lines with their framing: those of a batch, in the order of ``place``, are one JSON array of any size.
 
-    The size of each batch is measured first. A batch beyond ``max_bytes`` is never gathered
-    in one task; its lines come back whole, for a sink that writes them as ordered files.
+    ``[`` stands before the first line, ``,`` before the others, ``]`` after the last. First and last come from one
+    aggregate row per batch, so no batch is ever gathered. Equal lines of one place differ by ``copy``.
     """
-    sizes = lines.groupBy(BATCH).agg((F.sum(F.octet_length("line").cast("bigint"))).alias("_bytes"))
-    fits = sizes.filter(F.col("_bytes") <= max_bytes).select(BATCH)
-    ordered = F.sort_array(F.collect_list(F.struct(KEY, "instrument", "instance", "line")))
-    arrays = (
-        lines.join(fits, BATCH, "left_semi")
-        .groupBy(BATCH)
-        .agg(
-            F.concat(
-                F.lit("["), F.array_join(F.transform(ordered, lambda r: r["line"]), ","), F.lit("]")
-            ).alias("payload"),
-            F.count("*").alias("n_rows"),
-            F.min(KEY).alias("first_key"),
-            F.max(KEY).alias("last_key"),
-        )
+    place = F.struct(KEY, "instrument", "instance", "line", F.col("_copy").alias("copy"))
+    placed = cut(lines.withColumn("_copy", F.monotonically_increasing_id())).withColumn("place", place)
+    ends = placed.groupBy(BATCH).agg(F.min("place").alias("_first"), F.max("place").alias("_last"))
+    framed = F.concat(
+        F.when(F.col("place") == F.col("_first"), "[").otherwise(","),
+        F.col("line"),
+        F.when(F.col("place") == F.col("_last"), "]").otherwise(""),
     )
-    return arrays, lines.join(fits, BATCH, "left_anti")
+    both = attach(placed, ends, [BATCH])
+    return both.select(BATCH, KEY, "instrument", "instance", "place", framed.alias("framed"))
 
 
 def in_batch_order(lines: DataFrame, parts: int | None = None) -> DataFrame:

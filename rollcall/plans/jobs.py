@@ -58,10 +58,9 @@ def sync(
     batches = _back(registry, paths["batches"])
     write_table(publish.receipts(batches), paths["receipts"])
 
-    unread = normalize.source_quarantine(source).select(RECORD, F.lit("").alias(INSTRUMENT), F.lit("").alias(INSTANCE), "reason")
-    late = publish.superseded(source, mapping).join(unread.select(RECORD), RECORD, "left_anti")
+    late = publish.held_rows(source, mapping, normalize.source_quarantine(source))
     keys = normalize.registry_quarantine(registry).select(F.col(KEY).cast("string").alias(KEY), "reason")
-    held = late.select(RECORD, INSTRUMENT, INSTANCE, "reason").unionByName(unread)
+    held = late.select(RECORD, INSTRUMENT, INSTANCE, "reason")
     write_table(held.unionByName(keys, allowMissingColumns=True), paths["quarantine"])
 
     counts = {
@@ -84,6 +83,22 @@ def apply_rows(table: DataFrame, rows: DataFrame) -> DataFrame:
     return upsert.upsert(table, payload, [KEY, INSTRUMENT, INSTANCE])
 
 
+def _on_base(registry: DataFrame, payload: DataFrame) -> DataFrame:
+    """Registry after a filling import by id: base rows take part, repeat rows stay as they are."""
+    done = upsert.upsert(normalize.base_rows(registry), payload, fill=True, patch=True)
+    if INSTRUMENT not in registry.columns:
+        return done
+    return done.unionByName(registry.filter(~normalize.is_base()))
+
+
+def delete_ids(registry: DataFrame, ids: DataFrame, out: str) -> dict[str, str]:
+    """Registry without the listed ids, and a receipt with the rows that each id removes."""
+    paths = {n: f"{out}/{n}" for n in ("registry", "receipt")}
+    write_table(upsert.delete_keys(registry, ids), paths["registry"])
+    write_report(upsert.delete_receipt(registry, ids), paths["receipt"], [KEY])
+    return paths
+
+
 def review_duplicates(registry: DataFrame, out: str, protect_children: bool = False) -> dict[str, str]:
     """Four CSV reports: declined, linked to the source, to delete, kept."""
     found = dedupe.find_duplicates(dedupe.index_for_dedupe(registry), protect_children)
@@ -108,9 +123,9 @@ def take_in(upload: DataFrame, registry: DataFrame, out: str, reserved_from: int
 
 def audit_mapping(registry: DataFrame, source: DataFrame, out: str) -> dict[str, str]:
     """Mapping, both indexed sides, first-name mismatches and changed record ids as CSV."""
-    people = cut(normalize.index_registry(registry))
+    people = cut(normalize.index_registry(normalize.base_rows(registry)))
     records = cut(normalize.index_source(source))
-    mapping = cut(matching.link(records, people))
+    mapping = cut(matching.link(records, normalize.index_registry(registry)))
     tables = {
         "current_mapping": (mapping.select(RECORD, KEY), [KEY]),
         "registry": (people, [KEY]),
@@ -129,7 +144,7 @@ def fill_enterprise_ids(registry: DataFrame, patient_map: DataFrame, out: str) -
     """Registry with the enterprise ids found, and the rows without one with their reason."""
     paths = {n: f"{out}/{n}" for n in ("registry", "issues")}
     walked = cut(crosswalk.crosswalk(registry, patient_map))
-    write_table(upsert.upsert(registry, crosswalk.filled(walked), fill=True, patch=True), paths["registry"])
+    write_table(_on_base(registry, crosswalk.filled(walked)), paths["registry"])
     write_report(crosswalk.issues(walked), paths["issues"], [KEY])
     return paths
 
@@ -143,6 +158,6 @@ def fill_provider_ids(registry: DataFrame, named: DataFrame, npi_registry: DataF
     found = cut(providers.find_npi(providers.parse(named), npi_registry))
     hits = found.filter("status = 'one'").select(KEY, PROVIDER, NPI)
     payload = upsert.one_per_key(hits, [KEY], PROVIDER).select(KEY, NPI)
-    write_table(upsert.upsert(registry, payload, fill=True, patch=True), paths["registry"])
+    write_table(_on_base(registry, payload), paths["registry"])
     write_report(found, paths["searches"], [KEY, PROVIDER])
     return paths

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the operators rely on. Sizes (memory, cores, shuffle partitions) stay with the cluster.
@@ -32,15 +30,12 @@ def build(app: str = "rollcall", master: str | None = None, **conf: str) -> Spar
 
 
 def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """The folder of ``spark.checkpoint.dir``, else one in the warehouse, which executors share as well."""
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="rollcall-ckpt-")
-    sc.setCheckpointDir(shared)
+    sc.setCheckpointDir(shared or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -8,9 +8,11 @@ from pyspark.sql import types as T
 
 from rollcall.functions.casts import to_key
 from rollcall.functions.text import key_text
+from rollcall.operators.lookup import attach
 from rollcall.operators.normalize import blank_nulls
 from rollcall.operators.numbering import last_at_or_before, number_rows
 from rollcall.schema import IDS_PER_RANGE, INTAKE_FIELDS, KEY, RECORD, all_strings
+from rollcall.session import cut
 
 
 def read_export(
@@ -61,10 +63,11 @@ def one_record(snapshot: DataFrame, record_id: str) -> DataFrame:
 def read_intake(spark: SparkSession, path: str) -> DataFrame:
     """Upload file: header, text columns, blanks for missing. Dates stay text until judged.
 
-    Columns are found by their header, in whatever order the file has them.
+    Columns are found by their header, in whatever order the file has them; further ones follow.
     """
     rows = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
-    return blank_nulls(rows.select(*[F.col(n).cast("string") for n in INTAKE_FIELDS]))
+    others = [c for c in rows.columns if c not in INTAKE_FIELDS]
+    return blank_nulls(rows.select(*[F.col(f"`{n}`").cast("string") for n in [*INTAKE_FIELDS, *others]]))
 
 
 def read_ids(spark: SparkSession, path: str, key: str = KEY) -> DataFrame:
@@ -96,13 +99,18 @@ def read_flags(spark: SparkSession, path: str) -> DataFrame:
 # --- range-partitioned extracts ----------------------------------------------------------
 
 
-def range_boundaries(registry: DataFrame, ids_per_range: int = IDS_PER_RANGE) -> DataFrame:
+def range_boundaries(registry: DataFrame, ids_per_range: int = IDS_PER_RANGE, tasks: int | None = None) -> DataFrame:
     """Ranges [lo, hi) that hold so many known record ids each; the last one is open.
 
+    With ``tasks``, the number of read tasks wanted, the ids are dealt into so many ranges at most.
+
     ``range_no`` counts from 0. The upper end of a range is its successor's lower end,
     joined by number, so no window runs over all ranges.
     """
     ids = registry.select(to_key(key_text(F.col(RECORD))).alias("lo")).filter("lo IS NOT NULL").distinct()
+    if tasks:
+        ids = cut(ids)
+        ids_per_range = max(1, -(-ids.count() // tasks))
     marks = (
         number_rows(ids, ["lo"], "_n", start=0)
         .filter(F.col("_n") % ids_per_range == 0)
@@ -112,27 +120,36 @@ def range_boundaries(registry: DataFrame, ids_per_range: int = IDS_PER_RANGE) ->
     return marks.join(successor, "range_no", "left")
 
 
+#: Range of ids below the first known one, and of those that are no integer (blank ones included).
+BELOW, UNREADABLE = -1, -2
+
+
 def range_of_records(source: DataFrame, boundaries: DataFrame) -> DataFrame:
-    """(record id as integer, range_no) of every source record; -1 below the first range.
+    """(record id, range_no) of every source row, repeats included.
 
-    An ordered look-back instead of a join on lo <= id < hi.
+    An ordered look-back over the distinct ids instead of a join on lo <= id < hi, attached to the rows.
     """
-    ids = source.select(to_key(key_text(F.col(RECORD))).alias("lo")).filter("lo IS NOT NULL")
+    rows = source.select(RECORD, to_key(key_text(F.col(RECORD))).alias("lo"))
+    ids = rows.select("lo").filter("lo IS NOT NULL")
     found = last_at_or_before(ids, boundaries.select("lo", "range_no"), "lo", "range_no")
-    return found.select(F.col("lo").alias("id"), F.coalesce("range_no", F.lit(-1)).alias("range_no"))
+    number = F.when(F.col("lo").isNull(), UNREADABLE).otherwise(F.coalesce("range_no", F.lit(BELOW))).cast("bigint")
+    return attach(rows, found, ["lo"]).select(RECORD, number.alias("range_no"))
 
 
-def range_predicates(boundaries: DataFrame, column: str = RECORD, most: int = 10_000) -> list[str]:
-    """One predicate per range for a JDBC read, with one more for ids below the first.
+def range_predicates(boundaries: DataFrame, column: str = RECORD, unreadable: str | None = None) -> list[str]:
+    """Predicates of a JDBC read, one per read task, that together cover every row once.
 
-    A predicate is a read task and lives on the driver, so more than ``most`` of them is an
-    error: take wider ranges.
+    One per range, one for ids below the first and one for missing ids; ``unreadable`` adds what the database calls an id
+    that is no integer, for columns of text. The list is as long as the caller asked for with ``tasks``.
     """
-    n = boundaries.count()
-    if n > most:
-        raise ValueError(f"{n} ranges are too many read tasks; raise ids_per_range")
     rows = sorted((r.lo, r.hi) for r in boundaries.select("lo", "hi").collect())
+    rest = f"{column} IS NULL" + (f" OR {unreadable}" if unreadable else "")
     if not rows:
-        return ["1 = 1"]
-    out = [f"{column} < {rows[0][0]}"]
+        return [rest, f"NOT ({rest})"]
+    out = [rest, f"{column} < {rows[0][0]}"]
     return out + [f"{column} >= {lo}" + ("" if hi is None else f" AND {column} < {hi}") for lo, hi in rows]
+
+
+def read_ranges(spark: SparkSession, url: str, table: str, boundaries: DataFrame, column: str = RECORD, **options: str) -> DataFrame:
+    """Source table read range by range and united; feeds ``jobs.sync``."""
+    return read_jdbc(spark, url, table, range_predicates(boundaries, column), **options)

@@ -180,13 +180,14 @@ def test_ranges_cover_every_id(spark):
     cuts = snapshots.range_boundaries(registry, ids_per_range=5)
     rows = {r.range_no: (r.lo, r.hi) for r in cuts.collect()}
     assert rows == {0: (100, 135), 1: (135, 170), 2: (170, 205), 3: (205, 240), 4: (240, None)}
-    assert snapshots.range_predicates(cuts)[:2] == ["record_id < 100", "record_id >= 100 AND record_id < 135"]
+    first = ["record_id IS NULL", "record_id < 100", "record_id >= 100 AND record_id < 135"]
+    assert snapshots.range_predicates(cuts)[:3] == first
     assert snapshots.range_predicates(cuts)[-1] == "record_id >= 240"
-    with pytest.raises(ValueError, match="too many"):
-        snapshots.range_predicates(cuts, most=4)
-    source = spark.createDataFrame([(str(i),) for i in (1, 100, 134, 135, 999)], f"{RECORD} string")
-    got = {r.id: r.range_no for r in snapshots.range_of_records(source, cuts).collect()}
-    assert got == {1: -1, 100: 0, 134: 0, 135: 1, 999: 4}
+    assert snapshots.range_boundaries(registry, tasks=3).count() == 3
+    source = spark.createDataFrame([(i,) for i in ("1", "100", "134", "135", "999", "7", "7", "abc", "", None)], f"{RECORD} string")
+    got = sorted(((r[RECORD], r.range_no) for r in snapshots.range_of_records(source, cuts).collect()), key=str)
+    want = [("1", -1), ("100", 0), ("134", 0), ("135", 1), ("999", 4), ("7", -1), ("7", -1), ("abc", -2), ("", -2), (None, -2)]
+    assert got == sorted(want, key=str)
 
 
 def test_sorted_report(spark, tmp_path):

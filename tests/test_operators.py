@@ -148,9 +148,9 @@ def test_batches_hold_whole_ids_and_big_ones_stay_lines(spark):
     receipt = {r.batch_id: r for r in publish.receipts(lines).collect()}
     assert {b: r.n_rows for b, r in receipt.items()} == {1: 25, 2: 80, 3: 25, 4: 25, 5: 15}
     assert (receipt[2].first_key, receipt[2].last_key, receipt[2].n_keys) == (6, 10, 5)
-    arrays, big = publish.payload_arrays(lines, max_bytes=receipt[1].n_bytes + 400)
-    parsed = {r.batch_id: json.loads(r.payload) for r in arrays.collect()}
-    assert set(parsed) == {1, 3, 4, 5} and big.count() == 80
+    framed = publish.framed_lines(lines).orderBy("batch_id", "place").collect()
+    parsed = {b: json.loads("".join(r.framed for r in framed if r.batch_id == b)) for b in receipt}
+    assert {b: len(p) for b, p in parsed.items()} == {1: 25, 2: 80, 3: 25, 4: 25, 5: 15}
     assert [p[INSTANCE] for p in parsed[1][:5]] == ["1", "2", "3", "4", "5"]
     ordered = publish.in_batch_order(lines, 6).select("batch_id", KEY, F.spark_partition_id().alias("p"))
     assert ordered.filter(F.col(KEY) == 7).select("p").distinct().count() > 1
