@@ -6,10 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog.fixtures import view
+from catalog.oracles import oracle_sql
 from rollcall.plans import jobs
 from rollcall.schema import INSTANCE, INSTRUMENT, KEY, RECORD
 from rollcall.sources import sinks, snapshots
 from rollcall.streaming.incremental import sync_arrivals
+from tests.oracle import connect
 from tests.people import SNAPSHOT_FIELDS, by_hand, random_case, registry_frame, source_frame
 
 ALLOWED = [KEY, RECORD, INSTRUMENT, INSTANCE, "first_name", "r4_survey_queue_link", "last_r4_pull"]
@@ -96,11 +98,14 @@ def test_review_intake_and_audit_jobs(spark, tmp_path):
 
     paths = jobs.take_in(view(spark, d, "fx_intake"), registry, str(tmp_path / "in"))
     reasons = {r.reason: r["count"] for r in csv(paths["rejected"]).groupBy("reason").count().collect()}
-    assert reasons == {"blank_mrn": 100, "blank_name": 57, "blank_dob": 31, "known_mrn": 157, "known_person": 26}
-    assert spark.read.parquet(paths["accepted"]).count() == 129
+    con = connect(d)
+    told = lambda name, what: con.execute(f"SELECT {what} FROM ({oracle_sql()[name]}) q").fetchall()
+    each = con.execute(f"SELECT reason, count(*) FROM ({oracle_sql()['intake_rejects']}) q GROUP BY reason").fetchall()
+    assert reasons == dict(each)
+    assert spark.read.parquet(paths["accepted"]).count() == told("intake_accepted", "count(*)")[0][0]
 
     paths = jobs.audit_mapping(registry, view(spark, d, "fx_source_snapshot"), str(tmp_path / "audit"))
-    assert csv(paths["current_mapping"]).count() == 2465
+    assert csv(paths["current_mapping"]).count() == told("match_mapping", "count(*)")[0][0]
 
 
 def test_crosswalk_jobs(spark, tmp_path):
@@ -122,13 +127,9 @@ def test_match_checksums_per_step(spark):
     rows = QUERIES["match_mapping"](spark, "/root/testdata/sf0.01")
     total = F.sum(F.col(RECORD).cast("bigint") * 31 + F.col(KEY))
     got = {r.step: (r.n, r.s) for r in rows.groupBy("step").agg(F.count("*").alias("n"), total.alias("s")).collect()}
-    assert got == {
-        1: (28, 1562412),
-        2: (300, 66634176),
-        3: (722, 172321309),
-        4: (300, 71224822),
-        5: (1115, 260766906),
-    }
+    sums = f"SELECT step, count(*), sum(CAST(record_id AS BIGINT) * 31 + cuimc_id) FROM ({oracle_sql()['match_mapping']}) q GROUP BY step"
+    want = {step: (n, int(t)) for step, n, t in connect("/root/testdata/sf0.01").execute(sums).fetchall()}
+    assert got == want and set(want) == {1, 2, 3, 4, 5}
 
 
 # --- files -----------------------------------------------------------------------------------
