@@ -87,9 +87,12 @@ def format_conversations(
     )
     told = rows.groupBy(F.col(id_col).alias("id")).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
     source = F.transform("turns", lambda t: F.struct(t["role"], t["text"]))
-    told = told.withColumn("turns", source).withColumn(
-        "conflict", F.transform("turns", lambda t: ~_parse_turn(F.substr(_render(t, t["text"]), F.lit(1), F.length(_render(t, t["text"])) - 4)).eqNullSafe(t) | F.regexp_like(t["text"], F.lit(CONTROL)))
-    )
+
+    def comes_back(t: Column) -> Column:
+        whole = _render(t, t["text"])
+        return _parse_turn(F.substr(whole, F.lit(1), F.length(whole) - 4)).eqNullSafe(t)
+
+    told = told.withColumn("turns", source).withColumn("conflict", F.transform("turns", lambda t: ~comes_back(t)))
     first = F.array_join(F.transform("turns", lambda t: _render(t, t["text"])), "")
     escaped = F.array_join(
         F.zip_with("turns", "conflict", lambda t, bad: _render(t, F.when(bad, escape(t["text"])).otherwise(t["text"]))), ""

@@ -285,7 +285,11 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose sets link, as edges (u, v)."""
+    """Those of ``pairs`` (a, b) whose sets link, as stored edges (u, v).
+
+    Each pair is turned so that ``a`` is the end with more pairs. If few sets stand on that side, they are broadcast; else, for
+    few pairs, only the sets that take part are shuffled; else all proposed sets are.
+    """
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -303,8 +307,10 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     deg = [ends.select(F.col("cid").alias(c), F.col("deg").alias(f"deg_{c}")) for c in ("a", "b")]
     both = pairs.join(deg[0], "a").join(deg[1], "b")
     more = F.expr("deg_a > deg_b OR deg_a = deg_b AND a < b")
-    turned = cut(both.select(F.when(more, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(more, F.col("b")).otherwise(F.col("a")).alias("b")))
-    hubs = sets.join(F.broadcast(turned.select(F.col("a").alias("cid")).distinct()) if n <= BROADCAST_PAIRS else turned.select(F.col("a").alias("cid")).distinct(), "cid", "left_semi")
+    first = F.when(more, F.struct("a", "b")).otherwise(F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    turned = cut(both.select(first.alias("pair")).select("pair.*"))
+    named = turned.select(F.col("a").alias("cid")).distinct()
+    hubs = sets.join(F.broadcast(named) if n <= BROADCAST_PAIRS else named, "cid", "left_semi")
     if n <= BROADCAST_PAIRS and (hubs.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0) <= BROADCAST_HUBS:
         held = pairs.sparkSession.sparkContext.broadcast({r["cid"]: bytes(r["tokens"]) for r in hubs.collect()})
 
