@@ -30,6 +30,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def snug(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """A stored frame in no more partitions than its rows need, so that small ones do not shuffle in many tiny files."""
+    return df.coalesce(max(1, -(-df.count() // rows)))
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

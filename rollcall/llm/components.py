@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import cut
+from rollcall.llm.common import cut, snug
 
 
 def _settled(now: DataFrame) -> bool:
@@ -17,7 +17,7 @@ def _settled(now: DataFrame) -> bool:
 
 def stars(edges: DataFrame) -> DataFrame:
     """``edges`` (u, v; longs) as (u, v): each node that is not its component's smallest, with the smallest. Stored."""
-    now = cut(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    now = snug(cut(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()))
     while not _settled(now):
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -26,5 +26,5 @@ def stars(edges: DataFrame) -> DataFrame:
         )
         root = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(root, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = cut(small.union(root.select("u", F.col("m").alias("v"))).distinct())
+        now = snug(cut(small.union(root.select("u", F.col("m").alias("v"))).distinct()))
     return now

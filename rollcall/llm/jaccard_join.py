@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.llm import fuse, screen, words
-from rollcall.llm.common import cut, free_name, shuffle_parts, slices, utf8
+from rollcall.llm.common import cut, free_name, shuffle_parts, slices, snug, utf8
 from rollcall.llm.components import stars
 
 SHINGLE = 5
@@ -301,7 +301,7 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             keep = pa.array(yes, pa.bool_())
             yield pa.record_batch({"u": b.column("a").filter(keep), "v": b.column("b").filter(keep)})
 
-    pairs = cut(pairs)
+    pairs = snug(cut(pairs))
     n = pairs.count()
     ends = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).groupBy("cid").agg(F.count("*").alias("deg"))
     deg = [ends.select(F.col("cid").alias(c), F.col("deg").alias(f"deg_{c}")) for c in ("a", "b")]
