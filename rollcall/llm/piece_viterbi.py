@@ -1,14 +1,22 @@
-"""SentencePiece encoding by a single-pass Viterbi over an Aho-Corasick automaton of the pieces, and decoding.
+"""SentencePiece encoding over an Aho-Corasick automaton of the pieces, and decoding.
 
-The automaton reads a text once. At each position it reports every piece that ends there, following its output links, and
-each of them relaxes the best score of that position: best score where the piece begins plus the piece's score. A
-character that is no piece by itself may be passed at ``UNKNOWN`` below the lowest score and is written as its UTF-8 bytes
-(byte pieces). The ids are read back from the end. Equal sums go to the longer last piece.
+The automaton reads a text once and reports every piece that ends at each position, following its output links. What is made
+of these matches depends on the kind of model.
+
+* *Unigram* (``Pieces``): scores are log probabilities. A single-pass Viterbi: each match relaxes the best score of its end:
+  best score where the piece begins plus the piece's score. A character that is no piece by itself may be passed at
+  ``UNKNOWN`` below the lowest score. The ids are read back from the end. Equal sums go to the longer last piece.
+* *BPE* (``Merges``): scores are ranks of merges, whose sum means nothing. The merges are replayed: of all neighbours
+  that make up a match together, those of the best score (of equal ones the leftmost) become one, until none are left. These
+  are the ids of ``SentencePieceProcessor.encode``.
+
+In both, a character that is in no piece is written as its UTF-8 bytes (byte pieces).
 
 A space is written ``\\u2581`` and the text gets one in front, as the model files ask for. If in no piece that sign
-follows another character (checked against the file), the best path passes between a word and the space after it, so a
+follows another character (checked against the file), no piece passes between a word and the space after it, so a
 text is encoded word by word and words met before are remembered; the result is that of the whole text. Line feeds divide in the
-same way if no piece holds one. The sign itself in a source text is written as bytes, so decoding gives back every text.
+same way if no piece holds one. The sign itself in a source text is written as bytes, so decoding gives back every text; this
+alone differs from the library, which takes it for a space.
 
 Cases: null and empty texts have no ids. Repeated rows are encoded each. An empty table gives an empty result. Other columns
 are ignored.
@@ -17,8 +25,10 @@ are ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
+from itertools import pairwise
 
 import ahocorasick
 import numpy as np
@@ -27,6 +37,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from sentencepiece import sentencepiece_model_pb2
 
 from rollcall.llm.common import slices
 
@@ -34,6 +45,10 @@ SPACE = "▁"
 UNKNOWN = 10.0
 #: Words whose ids a worker remembers.
 REMEMBERED = 200_000
+#: Characters of a text up to which its merges are found without a heap.
+SHORT = 64
+#: Stands for no match: size, score, id.
+_NONE = (0, float("-inf"), -1)
 
 
 class Pieces:
@@ -73,7 +88,9 @@ class Pieces:
         if sign >= 0:
             here = [self.byte_id[b] for b in SPACE.encode()]
             return self.best_path(text[:sign]) + here + self.best_path(text[sign + 1 :])
-        text = text.replace(" ", SPACE)
+        return self._path(text.replace(" ", SPACE))
+
+    def _path(self, text: str) -> list[int]:
         n = len(text)
         best, back = [0.0] * (n + 1), [(0, -1)] * (n + 1)
         reached = 0
@@ -121,9 +138,71 @@ class Pieces:
         return b"".join(map(self.bytes_of.__getitem__, ids))[1:]
 
 
+class Merges(Pieces):
+    """The same for a BPE model."""
+
+    def _path(self, text: str) -> list[int]:
+        # a stretch of the text is named by the places of the character before it and of its last one
+        n = len(text)
+        found = {(last - match[0]) * n + last: match for last, match in self.automaton.iter(text)}
+        cuts = self._by_list(n, found.get) if n <= SHORT else self._by_heap(n, found.get)
+        out = []
+        for a, last in pairwise(cuts):
+            match = found.get(a * n + last)
+            if match:
+                out.append(match[2])
+            else:
+                out += [self.byte_id[b] for b in text[last].encode()]
+        return out
+
+    @staticmethod
+    def _by_list(n: int, match: Callable[[int, tuple], tuple]) -> list[int]:
+        """Where the pieces end, -1 in front; looks through all neighbours for each merge."""
+        cuts = list(range(-1, n))
+        score = [match(k * n + k + 2, _NONE)[1] for k in range(-1, n - 2)]
+        while score and (best := max(score)) > _NONE[1]:
+            k = score.index(best)
+            del cuts[k + 1], score[k]
+            if k:
+                score[k - 1] = match(cuts[k - 1] * n + cuts[k + 1], _NONE)[1]
+            if k < len(score):
+                score[k] = match(cuts[k] * n + cuts[k + 2], _NONE)[1]
+        return cuts
+
+    @staticmethod
+    def _by_heap(n: int, match: Callable[[int, tuple], tuple]) -> list[int]:
+        """The same for long texts."""
+        after, before = [*range(1, n + 1), n], list(range(-1, n))  # cuts by number (place + 1); after is 0 for one taken away
+        todo = [(-match(k * n + k + 2, _NONE)[1], k + 1, k + 2, k + 3) for k in range(-1, n - 2)]
+        heapify(todo)
+        while todo:
+            worse, a, middle, b = heappop(todo)
+            if worse == -_NONE[1]:
+                break
+            if after[a] != middle or after[middle] != b:  # one of them was merged meanwhile
+                continue
+            after[a], after[middle], before[b] = b, 0, a
+            if a:
+                heappush(todo, (-match((before[a] - 1) * n + b - 1, _NONE)[1], before[a], a, b))
+            if b < n:
+                heappush(todo, (-match((a - 1) * n + after[b] - 1, _NONE)[1], a, b, after[b]))
+        cuts, at = [-1], 0
+        while at < n:
+            at = after[at]
+            cuts.append(at - 1)
+        return cuts
+
+
 @lru_cache(maxsize=1)
 def _pieces(path: str) -> Pieces:
-    return Pieces(path)
+    model = sentencepiece_model_pb2.ModelProto()
+    model.ParseFromString(sentencepiece.SentencePieceProcessor(model_file=path).serialized_model_proto())
+    if model.trainer_spec.model_type != model.trainer_spec.BPE:
+        return Pieces(path)
+    kind = sentencepiece_model_pb2.ModelProto.SentencePiece
+    if any(p.type in (kind.USER_DEFINED, kind.UNUSED) for p in model.pieces):
+        raise ValueError("user-defined and unused pieces of a BPE model are not covered")
+    return Merges(path)
 
 
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -9,8 +9,10 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from sentencepiece import sentencepiece_model_pb2
 
 import corpus_pipeline
 from rollcall.llm import (
@@ -345,6 +347,26 @@ def test_viterbi_is_best(rows):
         assert total == pytest.approx(best_score(p, scores, f" {t}"), abs=1e-3)
 
 
+def test_ids_equal_the_library(spark, docs):
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    odd = ["international government", "  a  b \n\n c" + " " * 40, "日本🎉語 x", "\t tab\r\n", "a" * 500, " ", "<s> </s> <0x41> <unk>", "é e\u0301 \x00\x07", "ลักษณะ" * 9, "ลักษณะ" * 90, "international" * 40]
+    given = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    more = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(odd)], "doc_id long, text string")
+    whole = docs.select("doc_id", "text").union(more).union(given)
+    texts = {(r["doc_id"], tuple(library.encode(r["text"] or ""))) for r in whole.collect()}
+    assert texts == {(r["doc_id"], tuple(r["ids"])) for r in piece_viterbi.encode(whole, PIECES).collect()}
+
+
+def test_kind_of_model(tmp_path):
+    assert type(piece_viterbi._pieces(PIECES)) is piece_viterbi.Merges
+    model = sentencepiece_model_pb2.ModelProto()
+    with open(PIECES, "rb") as f:
+        model.ParseFromString(f.read())
+    model.trainer_spec.model_type = model.trainer_spec.UNIGRAM
+    (tmp_path / "unigram.model").write_bytes(model.SerializeToString())
+    assert type(piece_viterbi._pieces(str(tmp_path / "unigram.model"))) is piece_viterbi.Pieces
+
+
 def test_pieces_round_trip(spark, docs, rows, empty):
     more = spark.createDataFrame([(9001, "x▁y ▁"), (9002, "  two  \n\n\t🎉")], "doc_id long, text string")
     got = piece_viterbi.encode(docs.select("doc_id", "text").union(more), PIECES)
