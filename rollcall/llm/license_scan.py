@@ -2,7 +2,7 @@
 
 A candidate block is a run of lines, up to ``RUN`` of them, that each hold a cue word. A block is compressed by zstandard
 alone and with each template as raw dictionary; the templates are ranked by how many bytes that saves. From the best down,
-while a template saves anything at all, the wording is compared: the words of block and template are aligned, and a template is
+while a template saves anything at all, the wording is compared: the words of block and template, without punctuation, are aligned, and a template is
 confirmed when at least ``WORDS`` of its words stand in the block in order and no number or negation differs inside the aligned stretch. A
 block gives one row for its best confirmed template, and then again for what lies outside the aligned stretch, so several
 statements in one block are all found. The row says which words of the template are missing and which were put in between.
@@ -31,7 +31,7 @@ RUN = 40
 #: Share of a template's words that must stand in a block.
 WORDS = 0.85
 LEVEL = 3
-_WORD = re.compile(r"[\w.]*\w|[^\s\w]")
+_WORD = re.compile(r"[\w.]*\w")
 _LINE = re.compile(r"[^\n]*\n?")
 
 #: Fixed wordings of common notices.
@@ -81,6 +81,7 @@ class Scanner:
     def __init__(self, templates: tuple[tuple[str, str], ...] = TEMPLATES):
         self.templates = templates
         self.words = [[w for w, _, _ in _words(t)] for _, t in templates]
+        self.tails = [t[max((m.end() for m in _WORD.finditer(t)), default=len(t)) :] for _, t in templates]
         self.plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
         self.given = []
         for _, text in templates:
@@ -140,6 +141,8 @@ class Scanner:
                 if (found := self.wording(words, k)) is not None:
                     first, last, missing, added = found
                     a, b = begin + words[first][1], begin + words[last - 1][2]
+                    if text.startswith(self.tails[k], b):
+                        b += len(self.tails[k])
                     out.append((a, b, self.templates[k][0], k, saved, missing, added))
                     todo += [(x, y) for x, y in ((begin, a), (b, end)) if self.cue.search(text[x:y])]
                     break

@@ -274,6 +274,18 @@ def test_license_scan(spark):
     assert texts[0][r["start"] : r["start"] + r["length"]] == "Licensed under CC BY-NC 4.0."
 
 
+def test_short_notices_without_full_stop():
+    scanner = license_scan.Scanner()
+    for k, (name, notice) in enumerate(license_scan.TEMPLATES):
+        bare = notice.rstrip(".")
+        if len(bare.split()) > 8:
+            continue
+        for text in (bare, f"# {bare}\nText", f"(c) 2020 Someone, {bare} and so on, as the page says"):
+            found = scanner.scan(text)
+            assert [(x[2], x[3]) for x in found] == [(name, k)]
+            assert text[found[0][0] : found[0][1]] == bare
+
+
 # --- 6 --------------------------------------------------------------------------------
 
 
