@@ -1,24 +1,27 @@
 """Licence statements in documents by conditional compression against templates, confirmed on their wording.
 
-A candidate block is a run of lines, up to ``RUN`` of them, that each hold a cue word. A block is compressed by zstandard
-alone and with each template as raw dictionary; the templates are ranked by how many bytes that saves. From the best down,
-while a template saves anything at all, the wording is compared: the words of block and template, without punctuation, are aligned, and a template is
-confirmed when at least ``WORDS`` of its words stand in the block in order and no number or negation differs inside the aligned stretch. A
-block gives one row for its best confirmed template, and then again for what lies outside the aligned stretch, so several
-statements in one block are all found. The row says which words of the template are missing and which were put in between.
+A cue word opens a candidate block that reaches as many words before and after it as a confirmed notice may have, over line
+ends; blocks that overlap are one. A block is compressed by zstandard alone and with each template as raw dictionary. For each
+template that saves bytes, the wording is compared: the words of template and block, without punctuation, are aligned in every stretch that holds enough
+words of the template, and a template is confirmed when at least ``WORDS`` of its words stand there in order and no number or
+negation differs inside the aligned stretch. Of confirmed stretches that overlap, the one with most words in common, less those
+missing and put in between, gives the row, so all statements of a block are found. The row says which words of the
+template are missing and which were put in between.
 
 Templates are given as (licence, text). ``TEMPLATES`` holds notices in common use. Scanning is one pass without a shuffle; texts
 without a cue never leave the JVM.
 
-Cases: null and empty texts give no row. Repeated documents and repeated statements give a row each. Equal savings go to the
-longer template, then to the first in order. An empty table gives an empty result. Other columns are ignored.
+Cases: null and empty texts give no row. Repeated documents and repeated statements give a row each. Of equal stretches the template
+that saves more counts, then the longer one, then the first in order. Of an SPDX expression the first identifier is reported. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -26,13 +29,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words, one of which any notice holds; the same pattern for Java and Python.
-CUE = r"(?i)licen[cs]e|copyright|©|all rights reserved|creative commons|\bCC[ -](?:BY|0)|spdx|permission is hereby granted|redistribution and use|public domain|unlicense"
-RUN = 40
+CUE = r"(?i)licen[cs]e|copyright|©|all\W+rights\W+reserved|creative\W+commons|\bCC\W*(?:BY|0)|spdx|permission\W+is\W+hereby\W+granted|redistribution\W+and\W+use|public\W+domain|unlicense"
 #: Share of a template's words that must stand in a block.
 WORDS = 0.85
 LEVEL = 3
 _WORD = re.compile(r"[\w.]*\w")
-_LINE = re.compile(r"[^\n]*\n?")
+#: What shows that an identifier goes on.
+_MORE = re.compile(r"-\w")
+#: Identifiers of SPDX tags, by the licence they stand for.
+SPDX = {
+    "MIT": ("MIT",),
+    "MIT-0": ("MIT-0",),
+    "ISC": ("ISC",),
+    "Apache-2.0": ("Apache-2.0",),
+    "BSD": ("BSD-2-Clause", "BSD-3-Clause", "0BSD"),
+    "MPL-2.0": ("MPL-2.0",),
+    "Unlicense": ("Unlicense",),
+    "CC0-1.0": ("CC0-1.0",),
+    **{f"CC-{x}-4.0": (f"CC-{x}-4.0",) for x in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND")},
+    **{x: (x, f"{x}-only", f"{x}-or-later") for x in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")},
+}
+TAG = "SPDX-License-Identifier: "
 
 #: Fixed wordings of common notices.
 TEMPLATES = (
@@ -70,6 +87,7 @@ TEMPLATES = (
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work. CC0"),
     ("proprietary", "All rights reserved."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    *((name, TAG + x) for name, ids in SPDX.items() for x in ids),
 )
 
 
@@ -77,6 +95,11 @@ def _words(text: str) -> list[tuple[str, int, int]]:
     return [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text)]
 
 
+def _room(n: int) -> int:
+    """Words that may be put into a template of ``n`` words."""
+    return int(n * (1 - WORDS) + 3)
+
+
 class Scanner:
     def __init__(self, templates: tuple[tuple[str, str], ...] = TEMPLATES):
         self.templates = templates
@@ -88,23 +111,25 @@ class Scanner:
             held = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             held.precompute_compress(level=LEVEL)
             self.given.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=held, write_content_size=False, write_dict_id=False))
+        self.sets = [frozenset(w) for w in self.words]
+        self.reach = max((len(w) + _room(len(w)) for w in self.words), default=0)
         self.cue = re.compile(CUE)
 
-    def blocks(self, text: str) -> Iterator[tuple[int, int]]:
-        """Begin and end of each candidate block."""
-        begin = end = lines = 0
-        for m in _LINE.finditer(text):
-            if m[0] and self.cue.search(m[0]):
-                if not lines:
-                    begin = m.start()
-                end, lines = m.end(), lines + 1
-                if lines < RUN:
-                    continue
-            if lines:
-                yield begin, end
-            lines = 0
-        if lines:
-            yield begin, end
+    def blocks(self, text: str) -> Iterator[list[tuple[str, int, int]]]:
+        """Words of each candidate block."""
+        words = _words(text)
+        begins = [x for _, x, _ in words]
+        lo = hi = 0
+        for m in self.cue.finditer(text):
+            first = max(0, bisect_right(begins, m.start()) - 1 - self.reach)
+            if hi and first > hi:
+                yield words[lo:hi]
+                lo, hi = first, 0
+            elif not hi:
+                lo = first
+            hi = min(len(words), bisect_right(begins, m.end()) + self.reach)
+        if hi:
+            yield words[lo:hi]
 
     def ranked(self, block: str) -> list[tuple[int, int]]:
         """(bytes saved, template) from the best down, those that save anything."""
@@ -113,42 +138,66 @@ class Scanner:
         saved = [(alone - len(c.compress(raw)), k) for k, c in enumerate(self.given)]
         return sorted((x for x in saved if x[0] > 0), key=lambda x: (-x[0], -len(self.words[x[1]]), x[1]))
 
-    def wording(self, words: list[tuple[str, int, int]], template: int) -> tuple[int, int, list[str], list[str]] | None:
-        """First and last aligned word, missing words, added words; None if not confirmed."""
-        want, have = self.words[template], [w for w, _, _ in words]
+    def wording(self, have: list[str], template: int) -> tuple[int, int, list[str], list[str]] | None:
+        """First and last aligned word, missing words, added words of the best confirmed part; None if there is none."""
+        want, best = self.words[template], None
         spans = [m for m in SequenceMatcher(None, have, want, autojunk=False).get_matching_blocks() if m.size]
-        held = sum(m.size for m in spans)
-        if held < WORDS * len(want):
-            return None
-        first, last = spans[0].a, spans[-1].a + spans[-1].size
-        here, there = set(), set()
-        for m in spans:
-            here.update(range(m.a, m.a + m.size))
-            there.update(range(m.b, m.b + m.size))
-        added = [have[i] for i in range(first, last) if i not in here]
-        missing = [w for i, w in enumerate(want) if i not in there]
-        if len(added) > len(want) * (1 - WORDS) + 3 or any(w == "not" or w[0].isdigit() for w in added + missing):
-            return None
-        return first, last, missing, added
+        for i in range(len(spans)):
+            for j in range(len(spans), i, -1):
+                part = spans[i:j]
+                held = sum(m.size for m in part)
+                if held < WORDS * len(want):
+                    break
+                first, last = part[0].a, part[-1].a + part[-1].size
+                if last - first - held > _room(len(want)):
+                    continue
+                here, there = set(), set()
+                for m in part:
+                    here.update(range(m.a, m.a + m.size))
+                    there.update(range(m.b, m.b + m.size))
+                added = [have[k] for k in range(first, last) if k not in here]
+                missing = [w for k, w in enumerate(want) if k not in there]
+                if any(w == "not" or w[0].isdigit() for w in added + missing):
+                    continue
+                if best is None or len(missing) + len(added) < len(best[2]) + len(best[3]):
+                    best = first, last, missing, added
+        return best
+
+    def stretches(self, have: list[str], template: int) -> Iterator[tuple[int, int, list[str], list[str]]]:
+        """Confirmed parts of a block for one template, wherever enough of its words stand close together."""
+        want, known = self.words[template], self.sets[template]
+        size = len(want) + _room(len(want))
+        held = [0, *accumulate(w in known for w in have)]
+        for k, w in enumerate(have):
+            end = min(len(have), k + size)
+            if w in known and held[end] - held[k] >= WORDS * len(want):
+                if len(known.difference(have[k:end])) <= (1 - WORDS) * len(want) and (found := self.wording(have[k:end], template)) is not None:
+                    yield k + found[0], k + found[1], found[2], found[3]
 
     def scan(self, text: str) -> list[tuple[int, int, str, int, int, list[str], list[str]]]:
         """(begin, end, licence, template, bytes saved, missing, added) of all statements, in order."""
-        out, todo = [], list(self.blocks(text))
-        while todo:
-            begin, end = todo.pop()
-            words = _words(text[begin:end])
-            for saved, k in self.ranked(text[begin:end]):
-                if (found := self.wording(words, k)) is not None:
-                    first, last, missing, added = found
-                    a, b = begin + words[first][1], begin + words[last - 1][2]
-                    if text.startswith(self.tails[k], b):
-                        b += len(self.tails[k])
-                    out.append((a, b, self.templates[k][0], k, saved, missing, added))
-                    todo += [(x, y) for x, y in ((begin, a), (b, end)) if self.cue.search(text[x:y])]
-                    break
-            else:  # two notices in a row can hide each other: line by line
-                lines = [(begin + m.start(), begin + m.end()) for m in _LINE.finditer(text[begin:end]) if m[0].strip()]
-                todo += [x for x in lines if len(lines) > 1 and self.cue.search(text[slice(*x)])]
+        out = []
+        for words in self.blocks(text):
+            have = [w for w, _, _ in words]
+            if not words:
+                continue
+            found = []
+            for rank, (saved, k) in enumerate(self.ranked(text[words[0][1] : words[-1][2]])):
+                for first, last, missing, added in self.stretches(have, k):
+                    end = words[last - 1][2]
+                    if self.templates[k][1].startswith(TAG) and _MORE.match(text, end):
+                        continue
+                    common = len(self.words[k]) - len(missing)
+                    found.append((len(missing) + len(added) - common, rank, first, last, k, saved, missing, added))
+            taken = bytearray(len(words))
+            for _, _, first, last, k, saved, missing, added in sorted(found):
+                if any(taken[first:last]):
+                    continue
+                taken[first:last] = b"\1" * (last - first)
+                end = words[last - 1][2]
+                if text.startswith(self.tails[k], end):
+                    end += len(self.tails[k])
+                out.append((words[first][1], end, self.templates[k][0], k, saved, missing, added))
         return sorted(out)
 
 

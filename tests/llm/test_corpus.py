@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -274,6 +275,25 @@ def test_license_scan(spark):
     assert texts[0][r["start"] : r["start"] + r["length"]] == "Licensed under CC BY-NC 4.0."
 
 
+@pytest.mark.parametrize("mark", ["", "# ", " * "])
+def test_wrapped_notices(mark):
+    scanner = license_scan.Scanner()
+    for name in ("MIT", "BSD", "GPL-3.0"):
+        notice = max((t for n, t in license_scan.TEMPLATES if n == name), key=len)
+        for width in (40, 72, 80):
+            wrapped = "\n".join(mark + x for x in textwrap.wrap(notice, width))
+            found = scanner.scan(f"{mark}Some words before.\n{mark}\n{wrapped}\n{mark}\n{mark}And some after.\n")
+            assert [(x[2], x[5], x[6]) for x in found] == [(name, [], [])]
+    both = [max((t for n, t in license_scan.TEMPLATES if n == name), key=len) for name in ("BSD", "MIT", "BSD")]
+    assert [x[2] for x in scanner.scan("\n\n".join(mark + textwrap.fill(x, 60) for x in both))] == ["BSD", "MIT", "BSD"]
+
+
+def test_license_tags():
+    for tag, name in (("MIT", "MIT"), ("Apache-2.0", "Apache-2.0"), ("GPL-3.0-or-later", "GPL-3.0"), ("MIT-0", "MIT-0"), ("BSD-3-Clause", "BSD")):
+        assert [x[2] for x in license_scan.Scanner().scan(f"// SPDX-License-Identifier: {tag}\nint x;\n")] == [name]
+    assert license_scan.Scanner().scan("SPDX-License-Identifier: MIT-Modern-Variant") == []
+
+
 def test_short_notices_without_full_stop():
     scanner = license_scan.Scanner()
     for k, (name, notice) in enumerate(license_scan.TEMPLATES):
