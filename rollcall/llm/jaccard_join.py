@@ -11,6 +11,8 @@
    carry one label, and no pair of one label is looked at again. ``ROUNDS`` passes over the long lists test each set with
    one neighbour in a random order, which joins the groups of near copies after a linear number of tests. Then all
    block pairs that still hold two labels are opened, so that no link is lost.
+   ``components`` works so: the links inside a group that has one label are not looked for. ``links`` and ``link_counts``
+   leave this step out and test every pair of the opened blocks, so they give all links, at a cost of up to the square of a group.
 5. A tested pair is decided on the whole sets: 100 * intersection >= 75 * union.
 
 Blocks and their pairs have bounded size (``BLOCK``), so a token that a third of all rows share is many small tasks. Sets are
@@ -367,6 +369,42 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return rows.filter("n > 0").join(answer, ["k1", "k2"]).select("id", n, "component_id").union(empty)
 
 
+def _class_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stored rows, classes and all links (u, v) between classes, each once; no pair is passed over for its label."""
+    rows, counts = facts(docs)
+    found = classes(docs, counts)
+    index = entries(found)
+    long_ = cut(in_blocks(index))
+    blocks = cut(_label(partnered(long_, block_pairs(long_, labelled=False)), None))
+    pairs = cut(short_pairs(index).union(open_pairs(blocks)).distinct())
+    named = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
+    sets = sets_of(docs, cut(found.select("cid", "k1", "k2").join(named, "cid", "left_semi")))
+    return rows, found, linked(pairs, sets)
+
+
+def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The join itself: one row (``id_a``, ``id_b``) for each two different sets that link, each named by the smallest id of
+    its documents (null, and then in ``id_b``, if none has one). Its size is that of the answer, quadratic in a group of near copies."""
+    _, found, edges = _class_links(_scan(docs, id_col, text_col))
+    a, b = (found.select(F.col("cid").alias(c), F.col("id").alias(f"id_{n}")) for c, n in (("u", "a"), ("v", "b")))
+    one, two = F.least("id_a", "id_b"), F.greatest("id_a", "id_b")
+    ends = edges.join(a, "u").join(b, "v")
+    return ends.select(one.alias("id_a"), F.when(F.col("id_a").isNotNull() & F.col("id_b").isNotNull(), two).alias("id_b"))
+
+
+def link_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: ``id``, ``n_shingles`` and ``n_links``, the number of other documents it links with (copies too)."""
+    rows, found, edges = _class_links(_scan(docs, id_col, text_col))
+    sizes = cut(rows.filter("n > 0").groupBy("k1", "k2").agg(F.count("*").alias("m")).join(found.select("k1", "k2", "cid"), ["k1", "k2"]))
+    ends = edges.select(F.col("u").alias("cid"), F.col("v").alias("other")).union(edges.select("v", "u"))
+    more = ends.join(sizes.select(F.col("cid").alias("other"), "m"), "other").groupBy("cid").agg(F.sum("m").alias("more"))
+    total = (F.col("m") - 1 + F.coalesce("more", F.lit(0))).cast("long").alias("n_links")
+    answer = sizes.join(more, "cid", "left").select("k1", "k2", total)
+    n = F.col("n").cast("long").alias("n_shingles")
+    empty = rows.filter("n = 0").select("id", n, F.lit(0).cast("long").alias("n_links"))
+    return rows.filter("n > 0").join(answer, ["k1", "k2"]).select("id", n, "n_links").union(empty)
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component: the one of the smallest id (null first), then of the smallest text digest.
 

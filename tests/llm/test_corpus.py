@@ -490,6 +490,21 @@ def test_jaccard_brute(spark, docs, rows, monkeypatch):
         assert {r["id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
 
 
+@pytest.mark.parametrize("short, block", [(8, 1024), (2, 4)])
+def test_all_links(spark, rows, monkeypatch, short, block):
+    monkeypatch.setattr(jaccard_join, "SHORT", short)
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    texts = [t for _, t in rows] + [f"{sentence(random.Random(5), 60)} {x}" for x in range(20)]
+    sets = [frozenset(brute.shingles(t)) for t in texts]
+    first = {s: sets.index(s) for s in sets if s}
+    link = {(a, b) for a in first for b in first if first[a] < first[b] and 100 * len(a & b) >= 75 * len(a | b)}
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = jaccard_join.links(table).collect()
+    assert len(got) == len(link) > 190 and {(r["id_a"], r["id_b"]) for r in got} == {(first[a], first[b]) for a, b in link}
+    each = {i: sum(k != i and bool(t) and (t == s or (s, t) in link or (t, s) in link) for k, t in enumerate(sets)) for i, s in enumerate(sets)}
+    assert {r["id"]: r["n_links"] for r in jaccard_join.link_counts(table).collect()} == each
+
+
 def test_keep_one(docs, rows, empty):
     left = jaccard_join.keep_one(docs)
     assert left.columns == docs.columns
