@@ -6,13 +6,15 @@ count as empty throughout and stay (they are the copies of each other, of which
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.llm import decontaminate, exact_dedup, jaccard_join, nbsvm, piece_viterbi
 from rollcall.llm.catalog import GENERATIONS, GOOD
-from rollcall.llm.common import free_name, table
+from rollcall.llm.common import free_name, shared_dir, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,6 +57,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    path = f"{shared_dir(spark)}/pipeline/{uuid.uuid4().hex}"
+    for k, (_, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{path}/{k}")
+        docs = spark.read.parquet(f"{path}/{k}")
     return docs

@@ -550,6 +550,18 @@ def test_pipeline_stages(spark, tmp_path):
     assert docs.filter("NOT round_trip").count() == 0 and docs.count() > 0
 
 
+def test_pipeline_rereads_each_stage(spark):
+    sf = "/root/testdata/sf0.001"
+    out = corpus_pipeline.run(spark, sf)
+    files = out.inputFiles()
+    assert files and all(f"/{len(corpus_pipeline.STAGES) - 1}/part-" in f for f in files)
+    path = files[0].rsplit("/", 2)[0]
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    scored = nbsvm.score(docs, nbsvm.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))).collect()
+    rejected = {r["doc_id"] for r in scored if r["score"] < corpus_pipeline.GOOD}
+    assert rejected and {r["doc_id"] for r in scored} - {r["doc_id"] for r in spark.read.parquet(f"{path}/0").collect()} == rejected
+
+
 def test_pipeline_of_nothing(spark, empty, tmp_path):
     sf = "/root/testdata/sf0.001"
     docs = empty.select("doc_id", "text", "lang", "source", "n_chars")
