@@ -140,16 +140,19 @@ def range_predicates(boundaries: DataFrame, column: str = RECORD, unreadable: st
     """Predicates of a JDBC read, one per read task, that together cover every row once.
 
     One per range, one for ids below the first and one for missing ids; ``unreadable`` adds what the database calls an id
-    that is no integer, for columns of text. The list is as long as the caller asked for with ``tasks``.
+    that is no integer, for columns of text, and keeps such ids out of the ranges. The list is as long as the caller asked for with ``tasks``.
     """
     rows = sorted((r.lo, r.hi) for r in boundaries.select("lo", "hi").collect())
     rest = f"{column} IS NULL" + (f" OR {unreadable}" if unreadable else "")
     if not rows:
         return [rest, f"NOT ({rest})"]
-    out = [rest, f"{column} < {rows[0][0]}"]
-    return out + [f"{column} >= {lo}" + ("" if hi is None else f" AND {column} < {hi}") for lo, hi in rows]
+    own = f"NOT ({unreadable}) AND " if unreadable else ""
+    out = [rest, f"{own}{column} < {rows[0][0]}"]
+    return out + [f"{own}{column} >= {lo}" + ("" if hi is None else f" AND {column} < {hi}") for lo, hi in rows]
 
 
-def read_ranges(spark: SparkSession, url: str, table: str, boundaries: DataFrame, column: str = RECORD, **options: str) -> DataFrame:
-    """Source table read range by range and united; feeds ``jobs.sync``."""
-    return read_jdbc(spark, url, table, range_predicates(boundaries, column), **options)
+def read_ranges(
+    spark: SparkSession, url: str, table: str, boundaries: DataFrame, column: str = RECORD, unreadable: str | None = None, **options: str
+) -> DataFrame:
+    """Source table read range by range and united; ``unreadable`` as in ``range_predicates``. No job calls it."""
+    return read_jdbc(spark, url, table, range_predicates(boundaries, column, unreadable), **options)

@@ -224,3 +224,13 @@ def test_arrivals_take_the_newest_snapshot_once(spark, tmp_path):
         (0, [("1", "new", ""), ("1", "new", "1"), ("2", "two", "")]),
         (1, [("3", "three", "")]),
     ]
+
+
+def test_read_ranges_names_unreadable_ids(spark, monkeypatch):
+    monkeypatch.setattr(snapshots, "read_jdbc", lambda spark, url, table, predicates, **options: (predicates, options))
+    cuts = spark.createDataFrame([(5, 9), (9, None)], "lo long, hi long")
+    odd = "record_id LIKE '%x%'"
+    got, options = snapshots.read_ranges(spark, "jdbc:none", "t", cuts, unreadable=odd, fetchsize="10")
+    own = f"NOT ({odd}) AND record_id"
+    assert got == [f"record_id IS NULL OR {odd}", f"{own} < 5", f"{own} >= 5 AND record_id < 9", f"{own} >= 9"]
+    assert options == {"fetchsize": "10"}
