@@ -9,7 +9,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import bitplanes, chat_grammar, cross_parse, decontaminate, exact_dedup, jaccard_join, license_scan, nbsvm, piece_viterbi, surrogates
+from rollcall.llm import (
+    bitplanes,
+    chat_grammar,
+    cross_parse,
+    decontaminate,
+    exact_dedup,
+    importance,
+    jaccard_join,
+    license_scan,
+    nbsvm,
+    piece_viterbi,
+    surrogates,
+)
 from rollcall.llm.common import shared_dir, table
 
 #: Generations that the table of documents is dealt into: two snapshots and one incoming batch.
@@ -176,6 +188,55 @@ FROM items i JOIN shingles d ON d.s = i.s JOIN sizes z ON z.item_id = i.item_id
 GROUP BY d.doc_id, i.item_id, z.n_item HAVING 4 * count(*) >= 3 * z.n_item
 """
 
+#: Share of the documents that is drawn, in percent, and the seed of the noise.
+DRAWN, SEED = 25, 7
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), DRAWN, SEED)
+    return found.withColumnRenamed("id", "doc_id")
+
+
+OP12_SQL = r"""
+WITH RECURSIVE bits(i, k, v) AS (
+  SELECT i, 0, i::BIGINT FROM range(256) r(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8
+), crc AS MATERIALIZED (SELECT list(v ORDER BY i) AS crc_table FROM bits WHERE k = 8),
+texts AS (SELECT 0 AS side, doc_id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+words AS (
+  SELECT side, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM texts
+), runs AS (
+  SELECT side, doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM words
+), counted AS MATERIALIZED (SELECT side, doc_id, f, count(*) AS n FROM runs GROUP BY side, doc_id, f),
+bytes AS (
+  SELECT f, list_prepend(4294967295::BIGINT, list_transform(range(0, octet_length(encode(f))),
+    lambda i: ('0x' || substr(hex(encode(f)), (2 * i + 1)::INT, 2))::BIGINT)) AS b FROM (SELECT DISTINCT f FROM counted)
+), buckets AS MATERIALIZED (
+  SELECT f, xor(list_reduce(b, lambda c, x: xor(list_extract(crc_table, (xor(c, x) & 255) + 1), c >> 8)), 4294967295) % 10000 AS bucket
+  FROM bytes, crc
+), sums AS (
+  SELECT bucket, coalesce(sum(n) FILTER (side = 0), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (side = 1), 0)::DOUBLE AS t
+  FROM counted JOIN buckets USING (f) GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM sums) + 10000) / ((s + 1) * ((SELECT sum(t) FROM sums) + 10000)))) AS gain
+  FROM sums
+), weights AS (
+  SELECT doc_id, sum(n)::BIGINT AS n_features, floor(sum(n * gain) / sum(n))::BIGINT AS weight
+  FROM counted JOIN buckets USING (f) JOIN gains USING (bucket) WHERE side = 0 GROUP BY doc_id
+), scored AS (
+  SELECT d.doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || d.doc_id), 1, 8))::BIGINT + 0.5) / 4294967296.0::DOUBLE)))::BIGINT AS score
+  FROM documents d LEFT JOIN weights w ON w.doc_id = d.doc_id
+), ranked AS (
+  SELECT *, n_features >= 39 AS able, row_number() OVER (PARTITION BY n_features >= 39 ORDER BY score DESC, doc_id) AS r FROM scored
+)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN able AND r <= 25 * (SELECT count(*) FROM ranked WHERE able) // 100 THEN r END AS rank
+FROM ranked
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_surrogates": op2_surrogates,
@@ -187,9 +248,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_nbsvm": op8_quality_nbsvm,
     "op9_chat_grammar": op9_chat_grammar,
     "op10_jaccard_join": op10_jaccard_join,
+    "op12_importance": op12_importance,
 }
 
-_SQL = {"op1_decontaminate": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op9_chat_grammar": OP9_SQL, "op10_jaccard_join": OP10_SQL}
+_SQL = {"op1_decontaminate": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op9_chat_grammar": OP9_SQL, "op10_jaccard_join": OP10_SQL, "op12_importance": OP12_SQL}
 
 
 def oracle_sql() -> dict[str, str]:
