@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from rollcall.llm import (
     bitplanes,
     chat_grammar,
+    conversation_repair,
     cross_parse,
     decontaminate,
     exact_dedup,
@@ -22,7 +23,7 @@ from rollcall.llm import (
     piece_viterbi,
     surrogates,
 )
-from rollcall.llm.common import shared_dir, table
+from rollcall.llm.common import cut, shared_dir, table
 
 #: Generations that the table of documents is dealt into: two snapshots and one incoming batch.
 GENERATIONS = 3
@@ -188,6 +189,93 @@ FROM items i JOIN shingles d ON d.s = i.s JOIN sizes z ON z.item_id = i.item_id
 GROUP BY d.doc_id, i.item_id, z.n_item HAVING 4 * count(*) >= 3 * z.n_item
 """
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    fixed = conversation_repair.repair(conversation_repair.damage(rows))
+    edits = cut(fixed.edits)
+    found = fixed.facts.join(conversation_repair.digests(edits), "key").drop("key", "n", "first")
+    asked = rows.select(F.col("conv_id").alias("asked")).distinct()
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return asked.join(found, F.col("asked").eqNullSafe(F.col("conv")), "left").select(
+        F.col("asked").alias("conv_id"),
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def _least_edits(q: int) -> str:
+    """Cheapest first edit before state ``q``, and the rest: (cost, letters, text)."""
+    after = {0: 2, 1: 2, 2: 3, 3: 2}[q]
+    role = "assistant" if after == 3 else "user"
+    keep = lambda v: f"struct_pack(c := v{v}.c + late, l := 'K' || v{v}.l, t := role || ':' || text || chr(10) || v{v}.t)"
+    ways = [f"struct_pack(c := v{q}.c + 3, l := 'D' || v{q}.l, t := v{q}.t)"]
+    other = f"struct_pack(c := v{after}.c + 2 + late, l := 'R' || v{after}.l, t := '{role}:' || text || chr(10) || v{after}.t)"
+    stay = [other, f"CASE WHEN i = '{role[0]}' THEN {keep(after)} END"]
+    if q == 0:
+        stay.append(f"CASE WHEN i = 's' THEN {keep(1)} END")
+    ways += [f"CASE WHEN fault NOT IN (1, 2) THEN {x} END" for x in stay]
+    return f"list_min([{', '.join(ways)}])"
+
+
+def _with_inserts(q: int) -> str:
+    after = {0: 2, 1: 2, 2: 3, 3: 2}
+    one, two = after[q], after[after[q]]
+    name = {2: "user", 3: "assistant"}
+    return (
+        f"list_min([w{q}, struct_pack(c := w{one}.c + 2, l := 'I' || w{one}.l, t := '{name[one]}:' || chr(10) || w{one}.t),"
+        f" struct_pack(c := w{two}.c + 4, l := 'II' || w{two}.l, t := '{name[one]}:' || chr(10) || '{name[two]}:' || chr(10) || w{two}.t)])"
+    )
+
+
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, octet_length(encode({0}))),
+    lambda i: ('0x' || substr(hex(encode({0})), (2 * i + 1)::INT, 2))::BIGINT)),
+    lambda c, x: xor(list_extract(crc_table, (xor(c, x) & 255) + 1), c >> 8)), 4294967295)"""
+_CRC_TABLE = """bits(i, k, v) AS (
+  SELECT i, 0, i::BIGINT FROM range(256) r(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8
+), crc AS MATERIALIZED (SELECT list(v ORDER BY i) AS crc_table FROM bits WHERE k = 8)"""
+_INK = r"[^\x20\x09-\x0D]"
+_ENDS = [f"struct_pack(c := {c}::BIGINT, l := '', t := '')" for c in (0, 1000000000, 1000000000, 0)]
+
+#: The dynamic program row after row from the end, with the letters and the text of each state.
+OP11_SQL = fr"""
+WITH RECURSIVE {_CRC_TABLE}, keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations
+), fates AS (SELECT *, {_CRC32.format("k")} % 20 AS fate FROM keyed, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM fates
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS r, left(role, 1) AS i FROM damaged
+), judged AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '{_INK}') THEN 1
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY r) > 1 THEN 2
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 3 ELSE 0 END AS fault,
+    lag(i) OVER (PARTITION BY conv_id ORDER BY r) AS before FROM placed
+), facts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id
+), ended AS (
+  SELECT conv_id, n AS r, {", ".join(f"{x} AS w{q}" for q, x in enumerate(_ENDS))} FROM facts
+), steps AS (
+  SELECT conv_id, r, {", ".join(f"{_with_inserts(q)} AS v{q}" for q in range(4))} FROM ended
+  UNION ALL
+  SELECT conv_id, r, {", ".join(f"{_with_inserts(q)} AS v{q}" for q in range(4))} FROM (
+    SELECT s.conv_id, s.r - 1 AS r, {", ".join(f"{_least_edits(q)} AS w{q}" for q in range(4))}
+    FROM steps s JOIN (SELECT *, (fault = 3)::INT AS late FROM judged) j ON j.conv_id IS NOT DISTINCT FROM s.conv_id AND j.r = s.r
+  )
+), done AS (SELECT conv_id, v0 FROM steps WHERE r = 0)
+SELECT a.conv_id, {", ".join(f"coalesce({c}, 0)::BIGINT AS {c}" for c in ("gaps", "blank", "duplicate", "truncated", "illegal"))},
+  coalesce(v0.c, 0)::BIGINT AS cost, coalesce(v0.l, '') AS audit,
+  sha256(coalesce(left(v0.t, length(v0.t) - 1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
+
 #: Share of the documents that is drawn, in percent, and the seed of the noise.
 DRAWN, SEED = 25, 7
 
@@ -197,11 +285,8 @@ def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
-OP12_SQL = r"""
-WITH RECURSIVE bits(i, k, v) AS (
-  SELECT i, 0, i::BIGINT FROM range(256) r(i)
-  UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8
-), crc AS MATERIALIZED (SELECT list(v ORDER BY i) AS crc_table FROM bits WHERE k = 8),
+OP12_SQL = fr"""
+WITH RECURSIVE {_CRC_TABLE},
 texts AS (SELECT 0 AS side, doc_id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
 words AS (
   SELECT side, doc_id, regexp_extract_all(
@@ -210,12 +295,7 @@ words AS (
 ), runs AS (
   SELECT side, doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM words
 ), counted AS MATERIALIZED (SELECT side, doc_id, f, count(*) AS n FROM runs GROUP BY side, doc_id, f),
-bytes AS (
-  SELECT f, list_prepend(4294967295::BIGINT, list_transform(range(0, octet_length(encode(f))),
-    lambda i: ('0x' || substr(hex(encode(f)), (2 * i + 1)::INT, 2))::BIGINT)) AS b FROM (SELECT DISTINCT f FROM counted)
-), buckets AS MATERIALIZED (
-  SELECT f, xor(list_reduce(b, lambda c, x: xor(list_extract(crc_table, (xor(c, x) & 255) + 1), c >> 8)), 4294967295) % 10000 AS bucket
-  FROM bytes, crc
+buckets AS MATERIALIZED (SELECT f, {_CRC32.format("f")} % 10000 AS bucket FROM (SELECT DISTINCT f FROM counted), crc
 ), sums AS (
   SELECT bucket, coalesce(sum(n) FILTER (side = 0), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (side = 1), 0)::DOUBLE AS t
   FROM counted JOIN buckets USING (f) GROUP BY bucket
@@ -248,10 +328,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_nbsvm": op8_quality_nbsvm,
     "op9_chat_grammar": op9_chat_grammar,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_importance": op12_importance,
 }
 
-_SQL = {"op1_decontaminate": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op9_chat_grammar": OP9_SQL, "op10_jaccard_join": OP10_SQL, "op12_importance": OP12_SQL}
+_SQL = {"op1_decontaminate": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op9_chat_grammar": OP9_SQL, "op10_jaccard_join": OP10_SQL, "op11_conversation_repair": OP11_SQL, "op12_importance": OP12_SQL}
 
 
 def oracle_sql() -> dict[str, str]:
