@@ -21,6 +21,7 @@ from rollcall.llm import (
     license_scan,
     nbsvm,
     piece_viterbi,
+    setsketch,
     surrogates,
 )
 from rollcall.llm.common import cut, shared_dir, table
@@ -317,6 +318,15 @@ SELECT doc_id, n_features, weight, score,
 FROM ranked
 """
 
+def op13_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.components(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+OP13_SQL = (
+    OP10_SQL.replace("100 * c >= 75 *", "100 * c >= 85 *")
+    .replace("r.component_id\nFROM documents", "r.component_id, d.doc_id = r.component_id AS kept\nFROM documents")
+)
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_surrogates": op2_surrogates,
@@ -330,9 +340,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_jaccard_join": op10_jaccard_join,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_importance": op12_importance,
+    "op13_setsketch": op13_setsketch,
 }
 
-_SQL = {"op1_decontaminate": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op9_chat_grammar": OP9_SQL, "op10_jaccard_join": OP10_SQL, "op11_conversation_repair": OP11_SQL, "op12_importance": OP12_SQL}
+_SQL = {"op1_decontaminate": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op9_chat_grammar": OP9_SQL, "op10_jaccard_join": OP10_SQL, "op11_conversation_repair": OP11_SQL, "op12_importance": OP12_SQL, "op13_setsketch": OP13_SQL}
 
 
 def oracle_sql() -> dict[str, str]:
