@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.common import cut, snug
+from rollcall.operators.lookup import attach
 
 
 def _settled(now: DataFrame) -> bool:
@@ -21,10 +22,10 @@ def stars(edges: DataFrame) -> DataFrame:
     while not _settled(now):
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").filter("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
+        large = attach(both, least, ["u"], "inner").filter("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             least.filter("u <> m").select("u", F.col("m").alias("v"))
         )
         root = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(root, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = attach(large, root, ["u"], "inner").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = snug(cut(small.union(root.select("u", F.col("m").alias("v"))).distinct()))
     return now
