@@ -46,7 +46,9 @@ ROUNDS = 2
 BLOCK = 256
 FAN = 512
 #: Up to this many pairs (two longs each) are broadcast to the stored sets.
-BROADCAST_PAIRS = 200_000
+BROADCAST_PAIRS = 100_000
+#: Pairs whose likelihood is worked out at once.
+JUDGED = 1 << 15
 #: Shingles that are hashed at once.
 _IN_STEP = 1 << 17
 
@@ -76,7 +78,7 @@ def _tilt(x: np.ndarray) -> np.ndarray:
     return -np.log1p(-np.clip(x, 0, 1) * (BASE - 1) / BASE) / math.log(BASE)
 
 
-def doubt(more: np.ndarray, less: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, steps: int = 48) -> np.ndarray:
+def doubt(more: np.ndarray, less: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, steps: int = 32) -> np.ndarray:
     """Log-likelihood that pairs lose if their similarity is at least ``ALIKE``, from counts of larger and smaller registers."""
     u = n_a / (n_a + n_b)
     top = np.minimum(n_a, n_b) / np.maximum(n_a, n_b)
@@ -167,7 +169,7 @@ def screened(pairs: DataFrame, found: DataFrame) -> DataFrame:
 
     for end, sketch in (("a", "x"), ("b", "y")):
         facts = found.select(F.col("cid").alias(end), F.col("n").alias(f"n_{end}"), F.col("sketch").alias(sketch))
-        pairs = attach(pairs, facts, [end], "inner")
+        pairs = attach(pairs, facts.hint("merge"), [end], "inner")  # sketches of all classes don't pass the driver
     return pairs.filter(f"100L * least(n_a, n_b) >= {ALIKE}L * greatest(n_a, n_b)").mapInArrow(read, "a long, b long")
 
 
@@ -236,7 +238,7 @@ def leader_pairs(members: DataFrame, turn: int) -> DataFrame:
 
 def packed(members: DataFrame, found: DataFrame) -> DataFrame:
     """Stored blocks of at most ``BLOCK`` members of one bucket, in the order of their labels."""
-    full = attach(members, found.select("cid", "n", "sketch"), ["cid"], "inner")
+    full = attach(members, found.select("cid", "n", "sketch").hint("merge"), ["cid"], "inner")
     laid = full.repartitionByRange(shuffle_parts(members.sparkSession), "key", "label", "cid").sortWithinPartitions("key", "label", "cid")
     names = ["cids", "labels", "sizes", "sketches"]
     schema = "key long, place long, low long, high long, n0 int, n1 int, cids binary, labels binary, sizes binary, sketches binary"
@@ -285,29 +287,43 @@ def packed(members: DataFrame, found: DataFrame) -> DataFrame:
 
 def block_pairs(blocks: DataFrame) -> DataFrame:
     """Pairs (a, b) of members of two labels that share a bucket and may link by their sketches, each once."""
-    names = ["cids", "labels", "sizes", "sketches"]
+    names, kinds = ["cids", "labels", "sizes", "sketches"], (np.int64, np.int64, np.int32, np.uint8)
+
+    def read(b: pa.RecordBatch, r: int, end: str) -> list[np.ndarray]:
+        return [np.frombuffer(b.column(f"{c}_{end}")[r].as_buffer(), t) for c, t in zip(names, kinds, strict=True)]
+
+    def met_first(key: int, own: bool, one: list[np.ndarray], two: list[np.ndarray]) -> tuple[np.ndarray, ...] | None:
+        """Ends, sizes and register counts of the pairs of two blocks whose first common band is this one."""
+        fits = one[1][:, None] != two[1][None, :]
+        n, m = one[2].astype(np.int64)[:, None], two[2].astype(np.int64)[None, :]
+        fits &= 100 * np.minimum(n, m) >= ALIKE * np.maximum(n, m)
+        i, j = np.nonzero(np.triu(fits, 1) if own else fits)
+        if not len(i):
+            return None
+        x, y = one[3].reshape(-1, REGISTERS)[i], two[3].reshape(-1, REGISTERS)[j]
+        first = (x == y).reshape(-1, BANDS, ROWS).all(2).argmax(1) == key >> 48
+        i, j, x, y = i[first], j[first], x[first], y[first]
+        return one[0][i], two[0][j], one[2][i], two[2][j], (x > y).sum(1), (x < y).sum(1)
+
+    def judged(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        a, b, n_a, n_b, more, less = (np.concatenate(c) for c in zip(*held, strict=True))
+        keep = doubt(more, less, n_a.astype(float), n_b.astype(float)) <= DOUBT
+        return pa.record_batch({"a": pa.array(a[keep]), "b": pa.array(b[keep])})
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        many = 0
         for b in batches:
-            a_out, b_out = [], []
             for r in range(b.num_rows):
-                one, two = ([np.frombuffer(b.column(f"{c}_{e}")[r].as_buffer(), t) for c, t in zip(names, (np.int64, np.int64, np.int32, np.uint8), strict=True)] for e in "ab")
-                fits = one[1][:, None] != two[1][None, :]
-                n, m = one[2].astype(np.int64)[:, None], two[2].astype(np.int64)[None, :]
-                fits &= 100 * np.minimum(n, m) >= ALIKE * np.maximum(n, m)
-                if b.column("own")[r].as_py():
-                    fits = np.triu(fits, 1)
-                i, j = np.nonzero(fits)
-                if not len(i):
-                    continue
-                x, y = one[3].reshape(-1, REGISTERS)[i], two[3].reshape(-1, REGISTERS)[j]
-                first = (x == y).reshape(-1, BANDS, ROWS).all(2).argmax(1) == b.column("key")[r].as_py() >> 48
-                i, j, x, y = i[first], j[first], x[first], y[first]
-                keep = _screen(x, y, one[2][i], two[2][j])
-                a_out.append(one[0][i[keep]])
-                b_out.append(two[0][j[keep]])
-            none = [np.empty(0, np.int64)]
-            yield pa.record_batch({"a": pa.array(np.concatenate(a_out or none)), "b": pa.array(np.concatenate(b_out or none))})
+                found = met_first(b.column("key")[r].as_py(), b.column("own")[r].as_py(), read(b, r, "a"), read(b, r, "b"))
+                if found is not None:
+                    held.append(found)
+                    many += len(found[0])
+                if many >= JUDGED:
+                    yield judged(held)
+                    held, many = [], 0
+        if held:
+            yield judged(held)
 
     ends = lambda side: [F.col(f"{side}.{c}").alias(f"{c}_{side}") for c in names]
     a, b = blocks.alias("a"), blocks.alias("b")
