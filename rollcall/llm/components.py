@@ -1,11 +1,15 @@
-"""Connected components by alternating large and small stars; nothing but a yes or no reaches the driver."""
+"""Connected components by alternating large and small stars; nothing but a yes or no reaches the driver.
+
+Each round is a written table, not a checkpoint: a checkpoint keeps the size that its plan was estimated to have, and estimates of joins
+of joins are products, whose digits double with every round until they fill the driver. A file has the size it has.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import cut, snug
+from rollcall.llm.common import discard, new_path
 from rollcall.operators.lookup import attach
 
 
@@ -18,7 +22,14 @@ def _settled(now: DataFrame) -> bool:
 
 def stars(edges: DataFrame) -> DataFrame:
     """``edges`` (u, v; longs) as (u, v): each node that is not its component's smallest, with the smallest. Stored."""
-    now = snug(cut(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()))
+    spark = edges.sparkSession
+
+    def keep(rows: DataFrame) -> tuple[DataFrame, str]:
+        path = new_path(spark, "stars")
+        rows.distinct().write.parquet(path)
+        return spark.read.parquet(path), path
+
+    now, path = keep(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
     while not _settled(now):
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -27,5 +38,7 @@ def stars(edges: DataFrame) -> DataFrame:
         )
         root = large.groupBy("u").agg(F.min("v").alias("m"))
         small = attach(large, root, ["u"], "inner").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = snug(cut(small.union(root.select("u", F.col("m").alias("v"))).distinct()))
+        before = path
+        now, path = keep(small.union(root.select("u", F.col("m").alias("v"))))
+        discard(spark, before)
     return now
