@@ -54,13 +54,22 @@ WHERE f.linked IS NULL OR o_orderkey%4<>3
 
 FX["fx_source_raw"] = """
 SELECT CAST(o_orderkey AS STRING) AS record_id, '' AS redcap_repeat_instrument, 0 AS redcap_repeat_instance,
- CASE WHEN o_orderkey%7=0 THEN '' ELSE ' 40 ' END AS age, concat('  ', upper(o_orderpriority), ' ') AS first_name,
- concat('http://q/',CAST(o_orderkey AS STRING)) AS survey_queue_link, CASE WHEN o_orderkey%9=0 THEN 'NaN' ELSE 'x' END AS note, '' AS finding
+ CASE WHEN o_orderkey%7=0 THEN '' WHEN o_orderkey%31=0 THEN 'n.a.' WHEN o_orderkey%37=0 THEN '40.5' ELSE ' 40 ' END AS age,
+ CASE WHEN o_orderkey%13=0 THEN NULL ELSE concat('  ', upper(o_orderpriority), ' ') END AS first_name,
+ concat('http://q/',CAST(o_orderkey AS STRING)) AS survey_queue_link,
+ CASE WHEN o_orderkey%9=0 THEN 'NaN' WHEN o_orderkey%11=0 THEN NULL ELSE 'x' END AS note, '' AS finding
 FROM orders LEFT JOIN (SELECT min(o_orderkey) AS linked FROM orders GROUP BY o_custkey) f ON f.linked=o_orderkey
 WHERE f.linked IS NULL OR o_orderkey%4<>3
 UNION ALL
+SELECT CAST(o_orderkey AS STRING), '', 1, '41', 'second', concat('http://a/',CAST(o_orderkey AS STRING)), 'y', ''
+FROM orders LEFT JOIN (SELECT min(o_orderkey) AS linked FROM orders GROUP BY o_custkey) f ON f.linked=o_orderkey
+WHERE o_orderkey%17=0 AND (f.linked IS NULL OR o_orderkey%4<>3)
+UNION ALL
+SELECT ' ', '', 0, '', 'nobody', concat('http://n/',CAST(r_regionkey AS STRING)), '', '' FROM region
+UNION ALL
 SELECT CAST(l_orderkey AS STRING), CASE WHEN l_linenumber%3=0 THEN 'labs' ELSE 'visit' END,
- CAST(row_number() OVER (PARTITION BY l_orderkey, l_linenumber%3=0 ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice) AS INT), '', '', '', '', concat('p',CAST(l_partkey AS STRING))
+ CAST(row_number() OVER (PARTITION BY l_orderkey, l_linenumber%3=0 ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice) AS INT), '',
+ CASE WHEN l_linenumber%2=0 THEN NULL ELSE 'later' END, '', CASE WHEN l_linenumber%3=0 THEN NULL ELSE concat('r',CAST(l_linenumber AS STRING)) END, concat('p',CAST(l_partkey AS STRING))
 FROM lineitem
 """
 
@@ -75,7 +84,7 @@ SELECT CAST(1000000+c_custkey AS STRING) AS cuimc_id,
  concat(' ',upper(c_mktsegment)) AS first_local,
  CASE WHEN c_custkey%21=0 THEN '' WHEN c_custkey%9=0 THEN concat('FAM',CAST(c_custkey%40 AS STRING)) ELSE concat('New',CAST(c_custkey AS STRING)) END AS last_local,
  CASE WHEN c_custkey%33=0 THEN '' ELSE concat(CAST(1950+c_custkey%13 AS STRING),'-01-15') END AS dob,
- '' AS last_child, '' AS child_first, '' AS dob_child
+ '' AS last_child, '' AS child_first, '' AS dob_child, concat('s',CAST(c_custkey%3 AS STRING)) AS site
 FROM customer
 """
 
@@ -84,6 +93,8 @@ SELECT concat('E',CAST(c_custkey AS STRING)) AS empi, concat('M',CAST(c_custkey
  CASE c_custkey%4 WHEN 0 THEN 'P' WHEN 1 THEN 'UI' WHEN 2 THEN 'X' ELSE 'P' END AS facility_code FROM customer
 UNION ALL
 SELECT concat('E2',CAST(c_custkey AS STRING)), concat('M',CAST(c_custkey AS STRING)), 'UI' FROM customer WHERE c_custkey%7=0
+UNION ALL
+SELECT concat('M',CAST(c_custkey AS STRING)), 'old', 'X' FROM customer WHERE c_custkey%15=2
 """
 
 FX["fx_provider"] = """
@@ -157,6 +168,8 @@ FX["fx_payload"] = """
 SELECT c_custkey+CASE WHEN c_custkey%50=0 THEN 10000000 ELSE 0 END AS cuimc_id,
  CASE WHEN c_custkey%4=0 THEN '' ELSE concat('new',CAST(c_custkey AS STRING)) END AS mrn, '1' AS local_batch_upload
 FROM customer WHERE c_custkey%2=0
+UNION ALL SELECT c_custkey, 'again', '1' FROM customer WHERE c_custkey%32=0
+UNION ALL SELECT CAST(NULL AS BIGINT), concat('nokey',CAST(r_regionkey AS STRING)), '1' FROM region
 """
 
 FX["fx_delete_ids"] = """
@@ -217,11 +230,31 @@ SELECT page_id, CASE page_id%6 WHEN 0 THEN '' WHEN 1 THEN '123' WHEN 2 THEN conc
 # Repeated uploads of one person in one batch.
 FX["fx_intake_twice"] = """
 SELECT * FROM fx_intake
-UNION ALL SELECT CAST(CAST(cuimc_id AS BIGINT)+5000000 AS STRING), mrn, first_local, last_local, dob, last_child, child_first, dob_child
+UNION ALL SELECT CAST(CAST(cuimc_id AS BIGINT)+5000000 AS STRING), mrn, first_local, last_local, dob, last_child, child_first, dob_child, site
 FROM fx_intake WHERE CAST(cuimc_id AS BIGINT)%30=0
 """
 
 
+# Registry as it is after an import of published rows: repeat rows below the base rows, without identity fields of their own.
+FX["fx_registry_rows"] = """
+SELECT cuimc_id, '' AS redcap_repeat_instrument, '' AS redcap_repeat_instance, mrn, cuimc_empi, record_id FROM fx_registry
+UNION ALL SELECT cuimc_id, 'visit', '1', '', '', '' FROM fx_registry WHERE cuimc_id%3=0
+UNION ALL SELECT cuimc_id, 'visit', '2', '', '', '' FROM fx_registry WHERE cuimc_id%6=0
+"""
+
+# Lines of an export and of an upload; some are cut off, as after a broken transfer.
+FX["fx_export_lines"] = """
+SELECT o_orderkey AS line_no, CASE WHEN o_orderkey%29=0 THEN substr(line, 1, length(line)-5) WHEN o_orderkey%41=0 THEN 'Gateway timeout' ELSE line END AS line
+FROM (SELECT o_orderkey, concat('{"record_id":"', CAST(o_orderkey AS STRING), '","age":', CASE WHEN o_orderkey%7=0 THEN 'null' ELSE '"40"' END,
+  ',"status":"', lower(o_orderstatus), '"}') AS line FROM orders) l
+"""
+
+FX["fx_upload_lines"] = """
+SELECT c_custkey AS line_no, CASE WHEN c_custkey%23=0 THEN concat('M',CAST(c_custkey AS STRING),',x') WHEN c_custkey%37=0 THEN concat(line, ',more') ELSE line END AS line
+FROM (SELECT c_custkey, concat(CAST(c_custkey AS STRING), ',M', CAST(c_custkey AS STRING), ',', lower(c_mktsegment)) AS line FROM customer) l
+"""
+
+
 def needed(sql: str, views: dict[str, str] = FX) -> list[str]:
     """Views and base tables a statement uses, directly or through other views, in order of use."""
     seen: list[str] = []
@@ -239,8 +272,8 @@ def needed(sql: str, views: dict[str, str] = FX) -> list[str]:
 
 
 def with_views(sql: str, views: dict[str, str]) -> str:
-    """Statement for DuckDB, where the base tables are views already."""
-    ctes = [f"{n} AS ({views[n].strip()})" for n in needed(sql, views) if n in views]
+    """Statement for DuckDB, where the base tables are views already; each view is worked out once."""
+    ctes = [f"{n} AS MATERIALIZED ({views[n].strip()})" for n in needed(sql, views) if n in views]
     body = sql.strip()
     return f"WITH {', '.join(ctes)} {body}" if ctes else body
 

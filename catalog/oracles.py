@@ -72,9 +72,20 @@ SELECT record_id, cuimc_id, step FROM (SELECT *, row_number() OVER (PARTITION BY
 O["full_scan"] = "SELECT * FROM fx_source_snapshot"
 O["projected_scan"] = "SELECT cuimc_id, mrn, cuimc_empi FROM fx_registry"
 O["filtered_scan"] = "SELECT record_id, previous_survey_complete FROM fx_survey WHERE run_date >= DATE '1996-01-01'"
+O["parse_export"] = """
+SELECT line_no, CASE WHEN ok THEN json_extract_string(line, '$.record_id') END AS record_id, CASE WHEN ok THEN coalesce(json_extract_string(line, '$.age'), '') END AS age,
+ CASE WHEN ok THEN json_extract_string(line, '$.status') END AS status, CASE WHEN NOT ok THEN line END AS _corrupt_record
+FROM (SELECT *, json_valid(line) AS ok FROM fx_export_lines) l
+"""
+O["parse_upload"] = """
+SELECT line_no, CASE WHEN len(c) = 3 THEN c[1] END AS cuimc_id, CASE WHEN len(c) = 3 THEN c[2] END AS mrn,
+ CASE WHEN len(c) = 3 THEN c[3] END AS first_local, CASE WHEN len(c) <> 3 THEN line END AS _corrupt_record
+FROM (SELECT *, string_split(line, ',') AS c FROM fx_upload_lines) l
+"""
 O["point_lookup"] = """
 SELECT record_id, redcap_repeat_instrument, redcap_repeat_instance, finding FROM fx_source_raw WHERE record_id = '18'
 """
+O["point_lookup_landed"] = O["point_lookup"]
 V["o_ranges"] = """
 SELECT CAST((rn-1)//50 AS BIGINT) AS range_no, lo, lead(lo) OVER (ORDER BY lo) AS hi FROM (
  SELECT lo, row_number() OVER (ORDER BY lo) AS rn FROM (SELECT DISTINCT CAST(record_id AS BIGINT) AS lo FROM fx_registry WHERE record_id <> '') a) b
@@ -100,13 +111,17 @@ O["registry_quarantine"] = """
 SELECT cuimc_id, 'bad_key' AS reason FROM fx_registry_raw WHERE try_cast(trim(cuimc_id) AS BIGINT) IS NULL
 """
 O["normalize_source"] = "SELECT * FROM o_source"
-O["collapse_source"] = """
-SELECT DISTINCT ON (record_id) record_id, age, first_name, survey_queue_link, note, finding FROM fx_source_raw
-ORDER BY record_id, redcap_repeat_instrument, redcap_repeat_instance
+def _first(col: str) -> str:
+    """First non-null value of a record in the order base row, repeats, values."""
+    return f"first({col} ORDER BY redcap_repeat_instrument, redcap_repeat_instance, {col}) FILTER ({col} IS NOT NULL) AS {col}"
+
+
+O["collapse_source"] = f"""
+SELECT record_id, {", ".join(_first(c) for c in ("age", "first_name", "survey_queue_link", "note", "finding"))} FROM fx_source_raw GROUP BY record_id
 """
-O["clean_age"] = """
-SELECT record_id, redcap_repeat_instrument, redcap_repeat_instance,
- CASE WHEN trim(age) = '' THEN CAST(999 AS BIGINT) ELSE CAST(trim(age) AS BIGINT) END AS age FROM fx_source_raw
+READ_AGE = "CASE WHEN trim(age) = '' THEN 999 WHEN regexp_matches(trim(age), '^[+-]?[0-9]+$') THEN CAST(trim(age) AS INT) END"
+O["clean_age"] = f"""
+SELECT record_id, redcap_repeat_instrument, redcap_repeat_instance, CAST({READ_AGE} AS BIGINT) AS age FROM fx_source_raw
 """
 O["parse_numbers"] = """
 SELECT event_id, try_cast(trim(num_text) AS BIGINT) AS num, coalesce(try_cast(trim(num_text) AS BIGINT), 0) AS num_or_zero FROM fx_numbers
@@ -170,7 +185,8 @@ SELECT record_id, cuimc_id, n_ids FROM (SELECT record_id, cuimc_id, count(*) OVE
 
 V["o_linked"] = """
 SELECT m.record_id, m.cuimc_id, l.link FROM o_mapping m
-LEFT JOIN (SELECT DISTINCT record_id, survey_queue_link AS link FROM fx_source_raw WHERE redcap_repeat_instrument = '') l
+LEFT JOIN (SELECT record_id, first(survey_queue_link ORDER BY redcap_repeat_instance, survey_queue_link) AS link FROM fx_source_raw
+ WHERE redcap_repeat_instrument = '' GROUP BY record_id) l
  ON l.record_id = m.record_id
 """
 O["link_enrichment"] = "SELECT record_id, cuimc_id, link AS r4_survey_queue_link FROM o_linked"
@@ -181,7 +197,7 @@ FROM (SELECT DISTINCT cuimc_id FROM o_mapping) k
 V["o_published"] = """
 SELECT l.cuimc_id, CASE WHEN r.redcap_repeat_instrument = '' THEN r.record_id ELSE '' END AS record_id,
  r.redcap_repeat_instrument, r.redcap_repeat_instance, CASE WHEN lower(trim(r.age)) = 'nan' THEN '' ELSE r.age END AS age,
- r.first_name, r.finding,
+ coalesce(r.first_name, '') AS first_name, r.finding,
  CASE WHEN r.redcap_repeat_instrument = '' THEN coalesce(l.link, '') ELSE '' END AS r4_survey_queue_link,
  CASE WHEN r.redcap_repeat_instrument = '' THEN '01/02/2024 00:00:00' ELSE '' END AS last_r4_pull, b.batch_id
 FROM fx_source_raw r JOIN o_linked l ON l.record_id = r.record_id JOIN o_batches b ON b.cuimc_id = l.cuimc_id
@@ -191,10 +207,12 @@ O["publish_quarantine"] = """
 SELECT record_id, redcap_repeat_instrument, redcap_repeat_instance, 'superseded' AS reason FROM fx_source_raw r
 WHERE NOT EXISTS (SELECT 1 FROM o_mapping m WHERE m.record_id = r.record_id)
 """
+V["o_unread"] = f"""
+SELECT record_id FROM (SELECT record_id, {_first("age")} FROM fx_source_raw GROUP BY record_id) a WHERE {READ_AGE} IS NULL AND trim(record_id) <> ''
+"""
 O["quarantine_all"] = """
 SELECT record_id, redcap_repeat_instrument, redcap_repeat_instance,
- CASE WHEN trim(record_id) = '' THEN 'blank_id' WHEN record_id IN (SELECT record_id FROM fx_source_raw WHERE redcap_repeat_instrument = ''
-   AND trim(age) <> '' AND lower(trim(age)) <> 'nan' AND TRY_CAST(trim(age) AS DOUBLE) IS NULL) THEN 'bad_age' ELSE 'superseded' END AS reason
+ CASE WHEN trim(record_id) = '' THEN 'blank_id' WHEN EXISTS (SELECT 1 FROM o_unread u WHERE u.record_id = r.record_id) THEN 'bad_age' ELSE 'superseded' END AS reason
 FROM fx_source_raw r WHERE NOT EXISTS (SELECT 1 FROM o_mapping m WHERE m.record_id = r.record_id)
 """
 V["o_lines"] = """
@@ -218,20 +236,24 @@ FROM (SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY cuimc_id, inst
 
 # --- upserts and deletes ---------------------------------------------------------------------------------
 
+# a repeated key counts with its last row in the order of its values
+V["o_payload"] = "SELECT cuimc_id, max(mrn) AS mrn, max(local_batch_upload) AS local_batch_upload FROM fx_payload GROUP BY cuimc_id"
 O["upsert_overwrite"] = """
-SELECT coalesce(p.cuimc_id, t.cuimc_id) AS cuimc_id, CASE WHEN p.cuimc_id IS NULL THEN t.mrn ELSE p.mrn END AS mrn,
+SELECT coalesce(p.cuimc_id, t.cuimc_id) AS cuimc_id, CASE WHEN p.local_batch_upload IS NULL THEN t.mrn ELSE p.mrn END AS mrn,
  coalesce(t.last_local, '') AS last_local, coalesce(p.local_batch_upload, '') AS local_batch_upload
-FROM fx_registry t FULL JOIN fx_payload p ON p.cuimc_id = t.cuimc_id
+FROM fx_registry t FULL JOIN o_payload p ON p.cuimc_id = t.cuimc_id
 """
 O["upsert_normal"] = """
 SELECT coalesce(p.cuimc_id, t.cuimc_id) AS cuimc_id, coalesce(nullif(p.mrn, ''), t.mrn, '') AS mrn,
  coalesce(t.last_local, '') AS last_local, coalesce(p.local_batch_upload, '') AS local_batch_upload
-FROM fx_registry t FULL JOIN fx_payload p ON p.cuimc_id = t.cuimc_id
+FROM fx_registry t FULL JOIN o_payload p ON p.cuimc_id = t.cuimc_id
 """
 O["upsert_patch"] = O["upsert_normal"]
+O["upsert_pruned"] = O["upsert_overwrite"]
 O["delete_by_ids"] = """
 SELECT cuimc_id, mrn FROM fx_registry t WHERE NOT EXISTS (SELECT 1 FROM fx_delete_ids x WHERE x.cuimc_id = t.cuimc_id)
 """
+O["delete_pruned"] = O["delete_by_ids"]
 O["delete_receipt"] = """
 SELECT x.cuimc_id, count(t.cuimc_id) AS n_rows FROM (SELECT DISTINCT cuimc_id FROM fx_delete_ids) x
 LEFT JOIN fx_registry t ON t.cuimc_id = x.cuimc_id GROUP BY x.cuimc_id
@@ -310,9 +332,9 @@ FROM fx_intake u
 O["intake_rejects"] = "SELECT cuimc_id, mrn, reason FROM o_judged WHERE reason IS NOT NULL"
 O["intake_accepted"] = f"""
 SELECT upload_id, m.top + row_number() OVER (ORDER BY last_local, first_local, dob, last_child, child_first, dob_child, upload_id) AS cuimc_id,
- mrn, last_local, first_local, strftime(CAST(dob AS DATE), '%m/%d/%Y') AS dob, last_child, child_first, dob_child, '1' AS local_batch_upload
+ mrn, last_local, first_local, strftime(CAST(dob AS DATE), '%m/%d/%Y') AS dob, last_child, child_first, dob_child, '1' AS local_batch_upload, site
 FROM (SELECT cuimc_id AS upload_id, {clean('mrn')} AS mrn, {clean('last_local')} AS last_local, {clean('first_local')} AS first_local, dob,
-  last_child, child_first, dob_child FROM o_judged WHERE reason IS NULL) a
+  last_child, child_first, dob_child, site FROM o_judged WHERE reason IS NULL) a
 CROSS JOIN (SELECT max(cuimc_id) AS top FROM fx_registry) m
 """
 O["intake_repeats"] = f"""
@@ -331,6 +353,11 @@ FROM fx_registry r LEFT JOIN (
 """
 O["crosswalk_filled"] = "SELECT cuimc_id, empi AS cuimc_empi FROM o_walked WHERE status = 'filled'"
 O["crosswalk_issues"] = "SELECT cuimc_id, mrn, status FROM o_walked WHERE status <> 'filled'"
+O["crosswalk_repeats"] = """
+SELECT r.cuimc_id, r.redcap_repeat_instrument, r.redcap_repeat_instance, r.mrn,
+ CASE WHEN r.redcap_repeat_instrument = '' AND w.status = 'filled' THEN w.empi ELSE r.cuimc_empi END AS cuimc_empi, r.record_id
+FROM fx_registry_rows r JOIN o_walked w ON w.cuimc_id = r.cuimc_id
+"""
 O["crosswalk_upsert"] = """
 SELECT r.cuimc_id, r.mrn, CASE WHEN w.status = 'filled' THEN w.empi ELSE r.cuimc_empi END AS cuimc_empi
 FROM fx_registry r JOIN o_walked w ON w.cuimc_id = r.cuimc_id
@@ -402,6 +429,7 @@ O["audit_id_mismatch"] = """
 SELECT m.cuimc_id, m.record_id, r.record_id AS stored_record_id, CASE WHEN r.record_id = '' THEN 'first_link' ELSE 'changed' END AS kind
 FROM o_mapping m JOIN fx_registry r ON r.cuimc_id = m.cuimc_id WHERE r.record_id <> m.record_id
 """
+O["audit_id_repeats"] = O["audit_id_mismatch"]
 O["verified_lookup"] = """
 SELECT q.request_id, CASE WHEN same THEN r.cuimc_id END AS cuimc_id, CASE WHEN same THEN r.record_id END AS record_id,
  CASE WHEN n <> 1 THEN 'not_one' WHEN same THEN 'verified' ELSE 'mismatch' END AS status
@@ -422,6 +450,10 @@ SELECT d.record_id, n.k + 1 AS send_no, CAST(d.run_date + CAST(n.k * 7 AS INT) A
 FROM o_due d CROSS JOIN (SELECT unnest([0, 1, 2])::BIGINT AS k) n
 WHERE NOT EXISTS (SELECT 1 FROM fx_survey_sent s WHERE s.record_id = d.record_id)
 """
+V["o_plan"] = O["alert_schedule"]
+O["alert_ledger"] = """
+SELECT record_id, send_no, send_date, CAST(CASE WHEN send_date <= '1996-06-30' THEN 1 ELSE 2 END AS BIGINT) AS run FROM o_plan WHERE send_date <= '1997-06-30'
+"""
 V["o_reset"] = """
 SELECT 'sent' AS ledger, CAST(s.alert_sent_id AS BIGINT) AS row_id, a.project_id FROM fx_alerts_sent s LEFT JOIN fx_alerts a ON a.alert_id = s.alert_id
 UNION ALL SELECT 'recurrence', CAST(r.recurrence_id AS BIGINT), a.project_id FROM fx_alerts_recurrence r LEFT JOIN fx_alerts a ON a.alert_id = r.alert_id

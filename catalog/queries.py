@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from rollcall.functions.text import clean, has_letter
 from rollcall.operators import (
     alerts,
     audit,
+    buckets,
     crosswalk,
     dedupe,
     dictionary,
@@ -24,7 +26,8 @@ from rollcall.operators import (
     publish,
     upsert,
 )
-from rollcall.schema import DECLINED, EMPI, INSTANCE, INSTRUMENT, KEY, MRN, NPI, OUTCOMES, RECORD
+from rollcall.plans import jobs
+from rollcall.schema import DECLINED, EMPI, INSTANCE, INSTRUMENT, KEY, MRN, NPI, OUTCOMES, RECORD, ROW
 from rollcall.session import cut
 from rollcall.sources import snapshots
 
@@ -70,12 +73,22 @@ def _winners(step: int) -> Query:
     return run
 
 
-def _published(spark: SparkSession, d: str) -> DataFrame:
+def _published(spark: SparkSession, d: str, framed: bool = False) -> DataFrame:
     source = view(spark, d, "fx_source_raw")
+    if framed:  # what landing does, in the checkpoint folder
+        source = cut(source.withColumn(ROW, F.monotonically_increasing_id()))
     mapping = publish.plan_batches(publish.add_links(cut(_mapping(spark, d).select(RECORD, KEY)), source))
+    if framed:
+        mapping = publish.plan_frames(source, cut(mapping))
     return publish.publish_rows(source, mapping, IGNORED, ALLOWED, STAMP)
 
 
+def _folder(spark: SparkSession, kind: str) -> str:
+    """A folder of its own for a stored table, shared by driver and executors."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared}/catalog/{kind}-{uuid.uuid4().hex}"
+
+
 # --- sources ---------------------------------------------------------------------------
 
 
@@ -101,6 +114,22 @@ def point_lookup(spark, d):
     return snapshots.one_record(view(spark, d, "fx_source_raw"), "18").select(RECORD, INSTRUMENT, INSTANCE, "finding")
 
 
+@query
+def point_lookup_landed(spark, d):
+    landed = snapshots.land(view(spark, d, "fx_source_raw"), _folder(spark, "source"), RECORD)
+    return snapshots.one_record(landed, "18").select(RECORD, INSTRUMENT, INSTANCE, "finding")
+
+
+@query
+def parse_export(spark, d):
+    return snapshots.parse_export(view(spark, d, "fx_export_lines"), [RECORD, "age", "status"])
+
+
+@query
+def parse_upload(spark, d):
+    return snapshots.parse_upload(view(spark, d, "fx_upload_lines"), [KEY, MRN, "first_local"])
+
+
 @query
 def range_boundaries(spark, d):
     return snapshots.range_boundaries(view(spark, d, "fx_registry"), ids_per_range=50)
@@ -293,7 +322,7 @@ def batch_lines(spark, d):
 
 @query
 def batch_payload(spark, d):
-    framed = publish.framed_lines(publish.payload_lines(_published(spark, d)))
+    framed = publish.framed_lines(publish.payload_lines(_published(spark, d, framed=True)))
     return framed.select("batch_id", KEY, "instrument", "instance", "framed")
 
 
@@ -319,6 +348,27 @@ def upsert_patch(spark, d):
     return upsert.upsert(_target(spark, d), view(spark, d, "fx_payload"), fill=True, patch=True)
 
 
+def _bucketed(spark: SparkSession, d: str, table: DataFrame) -> str:
+    """The table in eight buckets or so."""
+    path = _folder(spark, "registry")
+    buckets.create(table, path, rows_per_bucket=max(1, table.count() // 8))
+    return path
+
+
+@query
+def upsert_pruned(spark, d):
+    path = _bucketed(spark, d, _target(spark, d))
+    buckets.merge(spark, path, view(spark, d, "fx_payload"))
+    return buckets.read(spark, path)
+
+
+@query
+def delete_pruned(spark, d):
+    path = _bucketed(spark, d, view(spark, d, "fx_registry").select(KEY, MRN))
+    buckets.delete(spark, path, view(spark, d, "fx_delete_ids"))
+    return buckets.read(spark, path)
+
+
 @query
 def delete_by_ids(spark, d):
     return upsert.delete_keys(view(spark, d, "fx_registry"), view(spark, d, "fx_delete_ids")).select(KEY, MRN)
@@ -411,6 +461,12 @@ def crosswalk_upsert(spark, d):
     return upsert.upsert(table, crosswalk.filled(_walked(spark, d)), fill=True, patch=True)
 
 
+@query
+def crosswalk_repeats(spark, d):
+    rows = view(spark, d, "fx_registry_rows")
+    return jobs.on_base(rows, crosswalk.filled(crosswalk.crosswalk(rows, view(spark, d, "fx_patient_map"))))
+
+
 @query
 def provider_parse(spark, d):
     return providers.parse(view(spark, d, "fx_provider")).select(KEY, "first", "last")
@@ -483,6 +539,11 @@ def audit_id_mismatch(spark, d):
     return audit.id_mismatches(_mapping(spark, d), _registry(spark, d))
 
 
+@query
+def audit_id_repeats(spark, d):
+    return audit.id_mismatches(_mapping(spark, d), view(spark, d, "fx_registry_rows"))
+
+
 @query
 def verified_lookup(spark, d):
     return audit.verified_lookup(view(spark, d, "fx_lookup"), view(spark, d, "fx_registry")).select(
@@ -515,6 +576,16 @@ def alert_schedule(spark, d):
     )
 
 
+@query
+def alert_ledger(spark, d):
+    due = alerts.eligible(view(spark, d, "fx_survey"))
+    plan = cut(alerts.schedule(due, view(spark, d, "fx_survey_sent"), EVERY_DAYS))
+    ledger = spark.createDataFrame([], f"{RECORD} bigint, send_no int, send_date date, run bigint")
+    for day, run in (("1996-06-30", 1), ("1996-06-30", 1), ("1997-06-30", 2)):  # the first run is repeated
+        ledger = cut(alerts.ledger_after(plan, ledger, day, run))
+    return ledger.select(RECORD, F.col("send_no").cast("bigint").alias("send_no"), F.col("send_date").cast("string").alias("send_date"), "run")
+
+
 def _reset(part: int) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
         ledgers = [view(spark, d, f"fx_alerts{n}") for n in ("", "_sent", "_recurrence", "_sent_log")]
@@ -540,11 +611,5 @@ def file_manifest(spark, d):
 
 @query
 def stage_counts(spark, d):
-    return audit.stage_counts(
-        {
-            "registry": _registry(spark, d),
-            "source": _source(spark, d),
-            "mapping": cut(_mapping(spark, d)),
-            "duplicates": _duplicates(spark, d),
-        }
-    )
+    stages = {"registry": _registry(spark, d), "source": _source(spark, d), "mapping": _mapping(spark, d), "duplicates": _duplicates(spark, d)}
+    return audit.stored_and_counted(stages)[1]

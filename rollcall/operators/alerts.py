@@ -1,4 +1,4 @@
-"""Survey reminders: who gets one, when, and how a project's history is reset."""
+"""Survey reminders: who gets one, when, which were sent, and how a project's history is reset."""
 
 from __future__ import annotations
 
@@ -28,6 +28,26 @@ def schedule(
     )
 
 
+def new_sends(plan: DataFrame, ledger: DataFrame, day: str, run: int, key: str = RECORD) -> DataFrame:
+    """Ledger rows (record, send number, date, run) of the planned sends that are due on ``day`` and not in the ledger yet.
+
+    A send is known by record and number. What the same ``run`` put in before counts as not sent, so that a run
+    repeated after a failure gives the same rows, which replace its own.
+    """
+    sent = ledger.filter(F.col("run") != run).select(key, "send_no").distinct()
+    due = plan.filter(F.col("send_date").cast("date") <= F.lit(day).cast("date")).groupBy(key, "send_no").agg(F.min("send_date").alias("send_date"))
+    fresh = due.join(sent, [key, "send_no"], "left_anti")
+    return fresh.select(key, F.col("send_no").cast("int").alias("send_no"), F.col("send_date").cast("date").alias("send_date"), F.lit(run).cast("bigint").alias("run"))
+
+
+def ledger_after(plan: DataFrame, ledger: DataFrame, day: str, run: int, key: str = RECORD) -> DataFrame:
+    """The whole ledger after a run."""
+    kept = ledger.filter(F.col("run") != run).select(
+        key, F.col("send_no").cast("int").alias("send_no"), F.col("send_date").cast("date").alias("send_date"), F.col("run").cast("bigint").alias("run")
+    )
+    return kept.unionByName(new_sends(plan, ledger, day, run, key))
+
+
 def reset(
     alerts: DataFrame, sent: DataFrame, recurrence: DataFrame, sent_log: DataFrame, project_id: int
 ) -> dict[str, tuple[DataFrame, DataFrame]]:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.operators.lookup import attach
 from rollcall.operators.normalize import base_rows, differing
 from rollcall.schema import FOREIGN, KEY, LAB, MRN, OWN, RECORD
+from rollcall.session import cut
 
 
 def name_mismatches(source: DataFrame, mapping: DataFrame, registry: DataFrame) -> DataFrame:
@@ -77,10 +78,23 @@ def exactly_one(rows: DataFrame, probe: str, value: str) -> DataFrame:
     )
 
 
-def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
-    """One row per stage with its number of rows."""
-    out = None
+def counted(df: DataFrame, **more: Column) -> tuple[DataFrame, Observation]:
+    """``df`` and the number of its rows (``n_rows``), known once the frame has been stored: no pass of its own."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("n_rows"), *[c.alias(n) for n, c in more.items()]), seen
+
+
+def stage_counts(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """One row per stage with the number of rows that was observed when the stage was stored."""
+    return spark.createDataFrame(list(counts.items()), "stage string, n_rows bigint")
+
+
+def stored_and_counted(stages: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Each stage stored, and ``stage_counts`` of them; a stage is worked out once."""
+    kept, counts = {}, {}
     for name, df in stages.items():
-        one = df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("stage"), "n_rows")
-        out = one if out is None else out.unionByName(one)
-    return out
+        watched, seen = counted(df)
+        kept[name] = cut(watched)
+        counts[name] = seen.get["n_rows"]
+    spark = next(iter(stages.values())).sparkSession
+    return kept, stage_counts(spark, counts)

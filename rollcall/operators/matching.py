@@ -52,55 +52,49 @@ def known_pairs(registry: DataFrame) -> DataFrame:
 def tag_steps(source: DataFrame, registry: DataFrame) -> DataFrame:
     """Source records with the rule that claims them and the key it claims them by.
 
-    A rule sees only what the rules before it left over. Rows that cannot take part in a
-    lookup (blank key, or claimed already) get a key of their own, so that they spread over
-    the shuffle and meet nothing, and ``asks`` keeps any chance meeting from counting.
+    A rule sees only what the rules before it left over, and only the rows that can ask it: a claimed row, and one with a blank
+    key, is in no later shuffle. What a rule answered is stored, so that the rows it claimed and those it left are read, not
+    worked out twice. Looking up a shared name is safe: each side of a lookup is unique per key.
     """
     known = registry.filter(F.col(RECORD) != "").select(RECORD).distinct()
-    keys = registry_keys(registry).select("step", *_NAME_KEY).distinct()
+    keys = cut(registry_keys(registry).select("step", *_NAME_KEY).distinct())
     labs = keys.filter(F.col("step") == BY_LAB).select(F.col("k1").alias("_lab"))
     persons = keys.filter(F.col("step") != BY_LAB).select(F.col("step").alias("_kind"), *_NAME_KEY)
-
-    alone = F.concat(F.lit("\u0000"), F.col(RECORD))
-    t = source.join(known.withColumn("_known", F.lit(True)), RECORD, "left")
-    t = t.withColumn("_known", F.coalesce("_known", F.lit(False)))
-
-    asks_lab = ~F.col("_known") & (F.col(LAB) != "")
-    t = t.withColumn("_lab", F.when(asks_lab, F.col(LAB)).otherwise(alone))
-    t = attach(t, labs.withColumn("_hit", F.lit(True)), ["_lab"])
-    t = t.withColumn("_by_lab", asks_lab & F.coalesce("_hit", F.lit(False))).drop("_lab", "_hit")
+    hit = lambda facts: facts.withColumn("_hit", F.lit(True))
+    blank = F.lit("")
 
     adult = F.col("age") >= ADULT_AGE
     own = [F.when(adult, F.col(a)).otherwise(F.col(c)) for a, c in zip(FOREIGN, FOREIGN_CHILD)]
-    asks_name = ~F.col("_known") & ~F.col("_by_lab") & all_filled(*own)
-    t = t.withColumns(
-        {
-            "_asks": asks_name,
-            "_kind": F.when(adult, BY_ADULT).otherwise(BY_CHILD),
-            "k1": F.when(asks_name, own[0]).otherwise(alone),
-            "k2": own[1],
-            "k3": own[2],
-        }
-    )
-    t = attach(t, persons.withColumn("_hit", F.lit(True)), ["_kind", *_NAME_KEY])
-    named = F.col("_asks") & F.coalesce("_hit", F.lit(False))
-
-    step = (
-        F.when(F.col("_known"), KNOWN)
-        .when(F.col("_by_lab"), BY_LAB)
-        .when(named, F.col("_kind"))
-        .otherwise(NEW)
-    )
-    by_lab = F.col("step") == BY_LAB
-    used = F.col("step").isin(BY_ADULT, BY_CHILD)
-    return t.withColumn("step", step).select(
+    rows = source.select(
         RECORD,
         "updated",
-        "step",
-        F.when(by_lab, F.col(LAB)).when(used, F.col("k1")).otherwise("").alias("k1"),
-        F.when(used, F.col("k2")).otherwise("").alias("k2"),
-        F.when(used, F.col("k3")).otherwise("").alias("k3"),
+        F.col(LAB).alias("_lab"),
+        F.when(adult, BY_ADULT).otherwise(BY_CHILD).alias("_kind"),
+        *[c.alias(n) for c, n in zip(own, _NAME_KEY)],
+    )
+    by_id = cut(rows.join(hit(known), RECORD, "left"))
+    left = by_id.filter("_hit IS NULL").drop("_hit")
+    by_lab = cut(attach(left.filter("_lab <> ''"), hit(labs), ["_lab"]))
+    left = left.filter("_lab = ''").unionByName(by_lab.filter("_hit IS NULL").drop("_hit"))
+    asks = all_filled(*[F.col(n) for n in _NAME_KEY])
+    by_name = attach(left.filter(asks), hit(persons), ["_kind", *_NAME_KEY])
+
+    claimed = lambda df, step, *key: df.select(
+        RECORD, "updated", step.alias("step"), *[c.alias(n) for c, n in zip([*key, blank, blank, blank], _NAME_KEY)]
     )
+    named = F.col("_hit").isNotNull()
+    parts = [
+        claimed(by_id.filter("_hit"), F.lit(KNOWN)),
+        claimed(by_lab.filter("_hit"), F.lit(BY_LAB), F.col("_lab")),
+        claimed(
+            by_name, F.when(named, F.col("_kind")).otherwise(NEW), *[F.when(named, F.col(n)).otherwise("") for n in _NAME_KEY]
+        ),
+        claimed(left.filter(~asks), F.lit(NEW)),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def rule_winners(tagged: DataFrame, registry: DataFrame, steps: list[int]) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.functions.casts import to_age, to_key, to_number_or_zero, to_seconds
 from rollcall.functions.text import all_filled, blank_missing, has_letter, key_text
+from rollcall.operators.lookup import attach
 from rollcall.schema import (
     ADULT_AGE,
     FOREIGN,
@@ -21,6 +22,7 @@ from rollcall.schema import (
     SOURCE_MATCH_FIELDS,
     UPDATED,
 )
+from rollcall.session import cut
 
 # --- projections ---------------------------------------------------------------
 
@@ -106,18 +108,20 @@ def any_code(df: DataFrame, code: str, names: list[str]) -> Column:
 # --- collapse ----------------------------------------------------------------------
 
 
-def collapse(df: DataFrame, names: list[str], key: str = RECORD) -> DataFrame:
-    """One row per key with the first non-null value of each column.
-
-    Order is explicit: the base row, then repeats by instrument and instance, then the values themselves. A blank
-    is a value and wins over a later filled one. The aggregate combines before the
-    shuffle, so a record with very many repeats costs one partial row per input split.
+def first_rows(df: DataFrame, names: list[str], key: str = RECORD) -> DataFrame:
+    """The first row of each key, with ``_whole``: a base row without nulls. Such rows come first, then the order of ``_ranked``.
 
-    Nearly every record has a base row without nulls, and then that row is the answer.
-    Such rows go through one aggregate as a whole; only the others are compared column
-    by column.
+    Spark keeps one row per key and input split before the shuffle (a limit on the group's rank), so a record with very
+    many repeats costs next to nothing.
     """
     values = [n for n in names if n != key]
+    order = Window.partitionBy(key).orderBy(~F.col("_whole"), "_place", *values)
+    ranked = _ranked(df, values, key).withColumn("_rank", F.row_number().over(order))
+    return ranked.filter("_rank = 1").select(key, *values, "_whole")
+
+
+def _ranked(df: DataFrame, values: list[str], key: str) -> DataFrame:
+    """Key and values with ``_whole`` and ``_place``: base row, then repeats by instrument and instance."""
     number = to_number_or_zero(F.col(INSTANCE).cast("string"))
     on_base = is_base() & (number == 0)
     place = F.when(on_base, "").otherwise(
@@ -126,15 +130,39 @@ def collapse(df: DataFrame, names: list[str], key: str = RECORD) -> DataFrame:
     whole = on_base
     for n in values:
         whole = whole & F.col(n).isNotNull()
-    # rows of one place are ordered by their values, so the answer never follows row order
-    rows = df.select(key, *values, F.struct(place, *[F.col(n) for n in values]).alias("_at"), whole.alias("_whole"))
-    fields = ", ".join(f"`{n}`" for n in values)
-    grouped = rows.groupBy(key).agg(
-        F.expr(f"min_by(struct({fields}), _at) FILTER (WHERE _whole)").alias("_base"),
-        *[F.expr(f"min_by(`{n}`, _at) FILTER (WHERE NOT _whole AND `{n}` IS NOT NULL)").alias(n) for n in values],
-    )
-    has_base = F.col("_base").isNotNull()
-    return grouped.select(key, *[F.when(has_base, F.col(f"_base.`{n}`")).otherwise(F.col(n)).alias(n) for n in values])
+    return df.select(key, *values, whole.alias("_whole"), place.alias("_place"))
+
+
+def first_values(df: DataFrame, names: list[str], key: str = RECORD) -> DataFrame:
+    """First non-null value of each column by place, then by value: one rank per key and column, so one row of each crosses the shuffle."""
+    values = [n for n in names if n != key]
+    cells = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("string").alias("text")) for n in values])
+    long = _ranked(df, values, key).select(key, "_place", F.inline(cells)).filter("text IS NOT NULL")
+    order = Window.partitionBy(key, "name").orderBy("_place", "text")
+    found = long.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1")
+    # one entry per column at most
+    held = found.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("name", "text"))).alias("_held"))
+    kinds = dict(df.dtypes)
+    return held.select(key, *[F.col("_held")[n].cast(kinds[n]).alias(n) for n in values])
+
+
+def collapse(df: DataFrame, names: list[str], key: str = RECORD) -> DataFrame:
+    """One row per key with the first non-null value of each column. Stored.
+
+    Order is explicit: the base row, then repeats by instrument and instance, then the values themselves, so the answer never
+    follows row order. A blank is a value and wins over a later filled one.
+
+    Nearly every record has a base row without nulls, and then that row is the answer (``first_rows``). Only the keys
+    left over go through their rows again, column by column (``first_values``); a key whose values are all null keeps its row.
+    """
+    values = [n for n in names if n != key]
+    first = cut(first_rows(df, names, key))
+    open_ = first.filter("NOT _whole").select(key)
+    if open_.isEmpty():
+        return first.select(key, *values)
+    held = first_values(attach(df, open_, [key], "inner"), names, key)
+    rest = first.filter("NOT _whole").select(key).join(held, key, "left").select(key, *values)
+    return first.filter("_whole").select(key, *values).unionByName(rest)
 
 
 # --- the two sides of the match --------------------------------------------------------

@@ -1,8 +1,8 @@
-"""Dense global numbers and ordered look-back without a single-task window."""
+"""Dense global numbers, ordered look-back and places among bounds, without a single-task window."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.session import cut, shuffle_parts
@@ -74,3 +74,27 @@ def last_at_or_before(
         .filter("_probe")
         .select(on, F.coalesce("_seen", "_carry").alias(value))
     )
+
+
+#: Bounds that a plan may carry as one array of longs.
+MOST_BOUNDS = 1 << 17
+
+
+def place_in(value: Column, bounds: list[int]) -> Column:
+    """How many of the sorted ``bounds`` are not above ``value``; null for null.
+
+    A binary search over one constant array, in the stage that reads the rows: no join and no shuffle.
+    """
+    if len(bounds) > MOST_BOUNDS:
+        raise ValueError(f"{len(bounds)} bounds are more than {MOST_BOUNDS}")
+    if not bounds:
+        return F.when(value.isNotNull(), 0).cast("bigint")
+    array = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")  # folded into a constant
+    steps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
+
+    def further(at: Column, step: Column) -> Column:
+        ahead = at + step
+        return F.when((ahead <= len(bounds)) & (F.get(array, ahead - 1) <= value), ahead).otherwise(at)
+
+    found = F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0), further)
+    return F.when(value.isNotNull(), found).cast("bigint")

@@ -18,11 +18,17 @@ from rollcall.schema import (
     PULL_STAMP,
     RECORD,
     REGISTRY_LINK,
+    ROW,
     SOURCE_LINK,
 )
 from rollcall.session import cut
 
 BATCH = "batch_id"
+PLACE = "place"
+#: Place of a row in its batch, whether it is the first or the last one, and whether the batch is a large one.
+FRAME = [PLACE, "opens", "closes", "large"]
+#: Rows of a file of the payload; a batch of more of them is laid out in several.
+ROWS_PER_FILE = 250_000
 
 
 def add_links(mapping: DataFrame, source: DataFrame) -> DataFrame:
@@ -50,30 +56,51 @@ def plan_batches(mapping: DataFrame, keys_per_batch: int = KEYS_PER_BATCH) -> Da
     return mapping.join(numbered.select(KEY, batch.alias(BATCH)), KEY)
 
 
+def _number() -> Column:
+    return to_number_or_zero(F.col(INSTANCE).cast("string"))
+
+
+def plan_frames(source: DataFrame, planned: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """A planned mapping with first and last place of each batch and its number of rows; ``source`` is landed (``ROW``).
+
+    Only the four fields that make up a place are read and joined, so the framing of a batch is known before its wide rows
+    move. Of a batch nothing but one aggregate row is kept.
+    """
+    rows = source.select(key_text(F.col(RECORD)).alias(RECORD), F.col(INSTRUMENT).alias("_kind"), _number().alias("_number"), ROW)
+    place = F.struct(F.col(KEY).alias("key"), F.col("_kind").alias("instrument"), F.col("_number").alias("instance"), F.col(ROW).alias("row"))
+    placed = attach(rows, planned.select(RECORD, KEY, BATCH), [RECORD], "inner").select(BATCH, place.alias("_place"))
+    ends = placed.groupBy(BATCH).agg(
+        F.min("_place").alias("_first"), F.max("_place").alias("_last"), (F.count("*") > rows_per_file).alias("large")
+    )
+    return planned.join(ends, BATCH)
+
+
 def publish_rows(
     source: DataFrame, mapping: DataFrame, ignored: list[str], allowed: list[str], stamp: str
 ) -> DataFrame:
     """Source rows with registry id, link and run stamp, reduced to the registry's fields.
 
-    ``mapping`` carries record id, registry id and link, and the batch number if planned.
-    A record on several ids is published once per id. Repeat rows keep neither record id,
+    ``mapping`` carries record id, registry id and link, the batch number if planned, and the framing if that is planned
+    too; then the rows carry ``FRAME``. A record on several ids is published once per id. Repeat rows keep neither record id,
     link nor stamp. One pass over the wide rows: the only shuffle is the join to the mapping.
     """
-    sent = {RECORD, KEY, REGISTRY_LINK, PULL_STAMP, BATCH}
+    framed = "_first" in mapping.columns
+    sent = {RECORD, KEY, REGISTRY_LINK, PULL_STAMP, BATCH, *FRAME, "_first", "_last"}
     wide = drop_columns(source, ignored)
     wide = drop_columns(wide, [c for c in wide.columns if c in sent - {RECORD}])
     rows = wide.withColumn("_record", key_text(F.col(RECORD))).join(
         mapping.withColumnRenamed(RECORD, "_record"), "_record"
     )
     on_base = lambda c: F.when(is_base(), c).otherwise("")
-    rows = rows.drop("_record").withColumns(
-        {
-            RECORD: on_base(F.col(RECORD)),
-            REGISTRY_LINK: on_base(F.col(REGISTRY_LINK)),
-            PULL_STAMP: on_base(F.lit(stamp)),
-        }
-    )
-    return keep_columns(blank_nulls(rows), [*allowed, BATCH])
+    own = {
+        RECORD: on_base(F.col(RECORD)),
+        REGISTRY_LINK: on_base(F.col(REGISTRY_LINK)),
+        PULL_STAMP: on_base(F.lit(stamp)),
+    }
+    if framed:
+        place = F.struct(F.col(KEY).alias("key"), F.col(INSTRUMENT).alias("instrument"), _number().alias("instance"), F.col(ROW).alias("row"))
+        own |= {PLACE: place, "opens": place == F.col("_first"), "closes": place == F.col("_last")}
+    return keep_columns(blank_nulls(rows.withColumns(own).drop("_record")), [*allowed, BATCH, *FRAME])
 
 
 def superseded(source: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -110,7 +137,7 @@ def _row_order() -> list[Column]:
 
 def payload_lines(rows: DataFrame) -> DataFrame:
     """One JSON object per row with its batch and place; a batch of any size stays distributed."""
-    fields = [c for c in rows.columns if c != BATCH]
+    fields = [c for c in rows.columns if c not in {BATCH, *FRAME}]
     key, instrument, instance = _row_order()
     return rows.select(
         BATCH,
@@ -118,6 +145,7 @@ def payload_lines(rows: DataFrame) -> DataFrame:
         instrument.alias("instrument"),
         instance.alias("instance"),
         F.to_json(F.struct(*fields)).alias("line"),
+        *[c for c in FRAME if c in rows.columns],
     )
 
 
@@ -133,21 +161,28 @@ def receipts(lines: DataFrame) -> DataFrame:
 
 
 def framed_lines(lines: DataFrame) -> DataFrame:
-    """Lines with their framing: those of a batch, in the order of ``place``, are one JSON array of any size.
+    """Lines of framed rows with their framing: those of a batch, in the order of ``place``, are one JSON array of any size.
 
-    ``[`` stands before the first line, ``,`` before the others, ``]`` after the last. First and last come from one
-    aggregate row per batch, so no batch is ever gathered. Equal lines of one place differ by ``copy``.
+    ``[`` stands before the first line, ``,`` before the others, ``]`` after the last. Which ones these are was planned on the
+    narrow rows (``plan_frames``), so this is a projection.
     """
-    place = F.struct(KEY, "instrument", "instance", "line", F.col("_copy").alias("copy"))
-    placed = cut(lines.withColumn("_copy", F.monotonically_increasing_id())).withColumn("place", place)
-    ends = placed.groupBy(BATCH).agg(F.min("place").alias("_first"), F.max("place").alias("_last"))
-    framed = F.concat(
-        F.when(F.col("place") == F.col("_first"), "[").otherwise(","),
-        F.col("line"),
-        F.when(F.col("place") == F.col("_last"), "]").otherwise(""),
-    )
-    both = attach(placed, ends, [BATCH])
-    return both.select(BATCH, KEY, "instrument", "instance", "place", framed.alias("framed"))
+    framed = F.concat(F.when(F.col("opens"), "[").otherwise(","), F.col("line"), F.when(F.col("closes"), "]").otherwise(""))
+    return lines.select(BATCH, KEY, "instrument", "instance", PLACE, framed.alias("framed"))
+
+
+def in_files(rows: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """Framed rows laid out for writing: batches in order, some to a file, and a large batch over several.
+
+    The partition of a row is computed from its dense batch number, so nothing is sampled. The rows of a large batch are spread
+    over files of their own kind by place; ``place`` gives their order.
+    """
+    n_rows, n_large, n_batches = rows.agg(F.count("*"), F.count_if("large"), F.coalesce(F.max(BATCH), F.lit(1))).first()
+    parts = max(1, min(n_batches, -(-(n_rows - n_large) // rows_per_file)))
+    spread = -(-n_large // rows_per_file)
+    slot = F.floor((F.col(BATCH) - 1) * parts / n_batches)
+    if spread:
+        slot = F.when(F.col("large"), parts + F.pmod(F.xxhash64(BATCH, PLACE), F.lit(spread))).otherwise(slot)
+    return rows.repartitionById(parts + spread, slot.cast("int")).sortWithinPartitions(BATCH, PLACE)
 
 
 def in_batch_order(lines: DataFrame, parts: int | None = None) -> DataFrame:

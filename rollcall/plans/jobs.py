@@ -1,4 +1,4 @@
-"""The jobs: sync, duplicate review, intake, mapping audit, id crosswalks.
+"""The jobs: sync, duplicate review, intake, mapping audit, id crosswalks, dictionaries, alerts.
 
 Each takes frames and an output folder, writes its tables there and returns their paths.
 Stage counts are taken from what was written, so nothing wide is computed twice.
@@ -6,14 +6,15 @@ Stage counts are taken from what was written, so nothing wide is computed twice.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.operators import audit, crosswalk, dedupe, intake, matching, normalize, providers, publish, upsert
-from rollcall.schema import INSTANCE, INSTRUMENT, KEY, KEYS_PER_BATCH, NPI, PROVIDER, RECORD
+from rollcall.operators import alerts, audit, crosswalk, dedupe, dictionary, intake, matching, normalize, providers, publish, upsert
+from rollcall.schema import INSTANCE, INSTRUMENT, KEY, KEYS_PER_BATCH, NPI, PROVIDER, RECORD, ROW
 from rollcall.session import cut
-from rollcall.sources.sinks import write_batches, write_report, write_table
-from rollcall.sources.snapshots import one_record
+from rollcall.sources.sinks import write_counted, write_dictionary, write_report, write_table
+from rollcall.sources.snapshots import land, one_record
 
 
 def _back(df: DataFrame, path: str) -> DataFrame:
@@ -24,7 +25,7 @@ def _back(df: DataFrame, path: str) -> DataFrame:
 def sync(
     registry: DataFrame,
     source: DataFrame,
-    ignored: list[str],
+    ignored: list[str] | DataFrame,
     allowed: list[str],
     stamp: str,
     out: str,
@@ -32,58 +33,62 @@ def sync(
     keys_per_batch: int = KEYS_PER_BATCH,
     reserved_from: int | None = None,
     apply: bool = False,
+    rows_per_file: int = publish.ROWS_PER_FILE,
 ) -> dict[str, str]:
     """Link the source to the registry and prepare its batches.
 
-    Writes ``mapping``, ``rows`` (what is published, with its batch), ``batches`` (the same
-    as payload lines in batch order), ``receipts``, ``quarantine`` (source rows not
-    published, registry keys not readable) and ``stages``. With ``apply`` also ``registry``,
-    the full registry snapshot after the import. ``record_id`` limits the run to one record.
+    Both exports are parsed once and landed (``registry_in``, ``source_in``); every later step reads the landed columns it needs.
+    Writes ``mapping``, ``rows`` (what is published, with its batch and place), ``batches`` (the same as framed payload
+    lines: those of a batch, in the order of ``place``, are one JSON array), ``receipts``, ``quarantine`` (source rows not
+    published, registry keys not readable) and ``stages`` (row counts, observed while the tables were written). With ``apply``
+    also ``registry``, the full registry snapshot after the import. ``record_id`` limits the run to one record. ``ignored``
+    names fields, or is the table of flags (``read_flags``).
     """
-    if registry.isEmpty():
+    if isinstance(ignored, DataFrame):
+        ignored = [r.field_name for r in dictionary.ignored_names(ignored).collect()]
+    names = ("registry_in", "source_in", "mapping", "rows", "batches", "receipts", "quarantine", "stages")
+    paths = {n: f"{out}/{n}" for n in names}
+    table = land(registry, paths["registry_in"]).drop(ROW)
+    if table.isEmpty():
         raise ValueError("the registry snapshot is empty")
-    if record_id is not None:
-        source = one_record(source, record_id)
-    paths = {n: f"{out}/{n}" for n in ("mapping", "rows", "batches", "receipts", "quarantine", "stages")}
+    source = land(source if record_id is None else one_record(source, record_id), paths["source_in"])
+    counts: dict[str, int] = {}
 
-    people = normalize.index_registry(registry)
+    people = normalize.index_registry(table)
     records = normalize.index_source(source)
-    linked = matching.link(records, people, reserved_from)
-    write_table(publish.plan_batches(publish.add_links(cut(linked), source), keys_per_batch), paths["mapping"])
-    mapping = _back(registry, paths["mapping"])
-
-    write_table(publish.publish_rows(source, mapping.drop("step"), ignored, allowed, stamp), paths["rows"])
-    rows = _back(registry, paths["rows"])
-    write_batches(publish.payload_lines(rows), paths["batches"])
-    batches = _back(registry, paths["batches"])
-    write_table(publish.receipts(batches), paths["receipts"])
+    linked = cut(matching.link(records, people, reserved_from))
+    planned = cut(publish.plan_batches(publish.add_links(linked, source), keys_per_batch))
+    seen = write_counted(planned, paths["mapping"], new_ids=F.count_if(F.col("step") == matching.NEW))
+    counts |= {"mapping": seen["n_rows"], "new_ids": seen["new_ids"]}
+    mapping = _back(table, paths["mapping"])
+
+    framed = publish.plan_frames(source, mapping.drop("step"), rows_per_file)
+    published = cut(publish.publish_rows(source, framed, ignored, allowed, stamp))
+    write_table(publish.in_files(published, rows_per_file), paths["rows"])
+    rows = _back(table, paths["rows"])
+    lines = publish.payload_lines(rows)
+    counts["published_rows"] = write_counted(publish.framed_lines(lines), paths["batches"])["n_rows"]
+    counts["batches"] = write_counted(publish.receipts(lines), paths["receipts"])["n_rows"]
 
     late = publish.held_rows(source, mapping, normalize.source_quarantine(source))
-    keys = normalize.registry_quarantine(registry).select(F.col(KEY).cast("string").alias(KEY), "reason")
+    keys = normalize.registry_quarantine(table).select(F.col(KEY).cast("string").alias(KEY), "reason")
     held = late.select(RECORD, INSTRUMENT, INSTANCE, "reason")
-    write_table(held.unionByName(keys, allowMissingColumns=True), paths["quarantine"])
-
-    counts = {
-        "mapping": mapping,
-        "new_ids": mapping.filter(F.col("step") == matching.NEW),
-        "published_rows": batches,
-        "batches": _back(registry, paths["receipts"]),
-        "quarantine": _back(registry, paths["quarantine"]),
-    }
-    write_table(audit.stage_counts(counts), paths["stages"])
+    counts["quarantine"] = write_counted(held.unionByName(keys, allowMissingColumns=True), paths["quarantine"])["n_rows"]
+
+    write_table(audit.stage_counts(table.sparkSession, counts), paths["stages"])
     if apply:
         paths["registry"] = f"{out}/registry"
-        write_table(apply_rows(registry, rows), paths["registry"])
+        write_table(apply_rows(table, rows), paths["registry"])
     return paths
 
 
 def apply_rows(table: DataFrame, rows: DataFrame) -> DataFrame:
     """Registry table after an overwriting import of published rows, base and repeats."""
-    payload = rows.drop(publish.BATCH).withColumn(KEY, F.col(KEY).cast(table.schema[KEY].dataType))
+    payload = rows.drop(publish.BATCH, *publish.FRAME).withColumn(KEY, F.col(KEY).cast(table.schema[KEY].dataType))
     return upsert.upsert(table, payload, [KEY, INSTRUMENT, INSTANCE])
 
 
-def _on_base(registry: DataFrame, payload: DataFrame) -> DataFrame:
+def on_base(registry: DataFrame, payload: DataFrame) -> DataFrame:
     """Registry after a filling import by id: base rows take part, repeat rows stay as they are."""
     done = upsert.upsert(normalize.base_rows(registry), payload, fill=True, patch=True)
     if INSTRUMENT not in registry.columns:
@@ -144,7 +149,7 @@ def fill_enterprise_ids(registry: DataFrame, patient_map: DataFrame, out: str) -
     """Registry with the enterprise ids found, and the rows without one with their reason."""
     paths = {n: f"{out}/{n}" for n in ("registry", "issues")}
     walked = cut(crosswalk.crosswalk(registry, patient_map))
-    write_table(_on_base(registry, crosswalk.filled(walked)), paths["registry"])
+    write_table(on_base(registry, crosswalk.filled(walked)), paths["registry"])
     write_report(crosswalk.issues(walked), paths["issues"], [KEY])
     return paths
 
@@ -158,6 +163,46 @@ def fill_provider_ids(registry: DataFrame, named: DataFrame, npi_registry: DataF
     found = cut(providers.find_npi(providers.parse(named), npi_registry))
     hits = found.filter("status = 'one'").select(KEY, PROVIDER, NPI)
     payload = upsert.one_per_key(hits, [KEY], PROVIDER).select(KEY, NPI)
-    write_table(_on_base(registry, payload), paths["registry"])
+    write_table(on_base(registry, payload), paths["registry"])
     write_report(found, paths["searches"], [KEY, PROVIDER])
     return paths
+
+
+def merge_dictionaries(registry: DataFrame, source: DataFrame, flags: DataFrame, out: str, from_source: list[str] | None = None) -> dict[str, str]:
+    """The registry's dictionary with the fields of the source that it lacks, in order; what drifted apart; fields that are computed."""
+    paths = {n: f"{out}/{n}" for n in ("dictionary", "drift", "calculated")}
+    registry, source = cut(registry), cut(source)
+    merged = dictionary.merge(registry, source, from_source) if from_source else dictionary.merge(registry, source)
+    write_dictionary(merged, paths["dictionary"])
+    write_report(dictionary.drift(registry, source, dictionary.ignored_names(flags)), paths["drift"], ["issue", "field_name"])
+    write_report(dictionary.calculated(registry, source), paths["calculated"], ["form_name", "field_name"])
+    return paths
+
+
+def send_alerts(surveys: DataFrame, before: DataFrame, ledger: str, day: str, run: int, every_days: int) -> DataFrame:
+    """Put the sends that are due on ``day`` into the ledger folder as the rows of ``run`` and return them.
+
+    The ledger has one folder per run. A run that is repeated replaces its own folder with the same rows, so nobody is written to twice.
+    ``before`` names people who were alerted before the ledger began.
+    """
+    spark = surveys.sparkSession
+    schema = f"{RECORD} {dict(surveys.dtypes)[RECORD]}, send_no int, send_date date, run bigint"
+    try:
+        known = spark.read.schema(schema).parquet(ledger)
+    except AnalysisException:  # the first run finds no folder
+        known = spark.createDataFrame([], schema)
+    plan = alerts.schedule(alerts.eligible(surveys), before, every_days)
+    fresh = cut(alerts.new_sends(plan, known, day, run))
+    fresh.drop("run").write.mode("overwrite").parquet(f"{ledger}/run={run}")
+    return fresh
+
+
+def reset_alerts(ledgers: dict[str, DataFrame], project_id: int, out: str) -> dict[str, str]:
+    """What stays of the ledgers ``sent``, ``recurrence`` and ``sent_log`` when a project starts anew, and the rows taken out."""
+    split = alerts.reset(ledgers["alerts"], ledgers["sent"], ledgers["recurrence"], ledgers["sent_log"], project_id)
+    paths = {}
+    for name, (gone, kept) in split.items():
+        for kind, rows in (("removed", gone), ("kept", kept)):
+            paths[f"{name}_{kind}"] = f"{out}/{name}_{kind}"
+            write_table(rows, paths[f"{name}_{kind}"])
+    return paths

@@ -62,6 +62,10 @@ UPLOAD_DATE = "MM/dd/yyyy"
 RUN_STAMP = "%d/%m/%Y %H:%M:%S"
 
 
+#: Number of a landed row; stays the same however often the snapshot is read. Not a field of the exchanged files.
+ROW = "_row"
+
+
 def all_strings(names: list[str]) -> T.StructType:
     """Schema of a flat export: every field is a string."""
     return T.StructType([T.StructField(n, T.StringType()) for n in names])

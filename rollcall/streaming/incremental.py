@@ -51,3 +51,18 @@ def sync_arrivals(
         .start()
     )
     running.awaitTermination()
+
+
+def send_arrivals(
+    spark: SparkSession, folder: str, fields: list[str], send: Callable[[DataFrame, int], DataFrame], checkpoint: str
+) -> None:
+    """Alerts for survey states that arrive as files under ``folder/snapshot=<date>/``.
+
+    ``send(surveys, run)`` is ``jobs.send_alerts`` with its other arguments; the number of the micro-batch is the run, so a batch that is
+    repeated after a failure replaces its own sends.
+    """
+
+    def handle(batch: DataFrame, number: int) -> None:
+        send(batch, number)
+
+    sync_arrivals(spark, folder, fields, handle, checkpoint)

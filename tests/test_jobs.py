@@ -39,7 +39,7 @@ def test_sync_writes_mapping_batches_receipts_and_quarantine(spark, tmp_path):
     assert all(n == 1 for n in {k: len({r.batch_id for r in lines if r[KEY] == k}) for k in best}.values())
     assert sum(r.n_rows for r in read["receipts"].collect()) == len(lines)
     assert {r.n_keys for r in read["receipts"].filter("batch_id = 1").collect()} == {7}
-    body = json.loads(next(r.line for r in lines if r.instrument == "visit"))
+    body = json.loads(next(r.framed for r in lines if r.instrument == "visit").strip("[,]"))
     assert (body[RECORD], body["last_r4_pull"], set(body)) == ("", "", set(ALLOWED))
 
     held = {r[RECORD] for r in read["quarantine"].collect()}

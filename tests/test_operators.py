@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollcall.operators import alerts, audit, crosswalk, dedupe, dictionary, files, intake, providers, publish, upsert
-from rollcall.schema import INSTANCE, INSTRUMENT, INTAKE_FIELDS, KEY, MRN, OUTCOMES, RECORD, all_strings
+from rollcall.schema import INSTANCE, INSTRUMENT, INTAKE_FIELDS, KEY, MRN, OUTCOMES, RECORD, ROW, all_strings
 
 # --- duplicates -------------------------------------------------------------------------
 
@@ -144,6 +144,9 @@ def test_batches_hold_whole_ids_and_big_ones_stay_lines(spark):
     # id 7 holds a third of all rows
     copies = F.when(F.col(KEY) == 7, 60).otherwise(5)
     rows = plan.withColumn(INSTANCE, F.explode(F.sequence(F.lit(1), copies).cast("array<string>"))).withColumn(INSTRUMENT, F.lit("v"))
+    landed = rows.select(RECORD, INSTRUMENT, INSTANCE).withColumn(ROW, F.monotonically_increasing_id()).cache()
+    framed_plan = publish.plan_frames(landed, plan, rows_per_file=40)
+    rows = publish.publish_rows(landed, framed_plan.withColumn("r4_survey_queue_link", F.lit("")), [], [KEY, INSTRUMENT, INSTANCE], "now")
     lines = publish.payload_lines(rows)
     receipt = {r.batch_id: r for r in publish.receipts(lines).collect()}
     assert {b: r.n_rows for b, r in receipt.items()} == {1: 25, 2: 80, 3: 25, 4: 25, 5: 15}
@@ -152,6 +155,10 @@ def test_batches_hold_whole_ids_and_big_ones_stay_lines(spark):
     parsed = {b: json.loads("".join(r.framed for r in framed if r.batch_id == b)) for b in receipt}
     assert {b: len(p) for b, p in parsed.items()} == {1: 25, 2: 80, 3: 25, 4: 25, 5: 15}
     assert [p[INSTANCE] for p in parsed[1][:5]] == ["1", "2", "3", "4", "5"]
+    files = publish.in_files(rows, 40).withColumn("p", F.spark_partition_id())
+    spread = {r.batch_id: set(r.ps) for r in files.groupBy("batch_id").agg(F.collect_set("p").alias("ps")).collect()}
+    assert len(spread[2]) > 1 and all(len(spread[b]) == 1 and not spread[b] & spread[2] for b in (1, 3, 4, 5))
+    assert spread[1] <= spread[3] or max(spread[1]) <= min(spread[3])
     ordered = publish.in_batch_order(lines, 6).select("batch_id", KEY, F.spark_partition_id().alias("p"))
     assert ordered.filter(F.col(KEY) == 7).select("p").distinct().count() > 1
 
