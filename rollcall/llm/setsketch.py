@@ -5,8 +5,8 @@ r"""Near copies by SetSketch registers: banded, judged by joint likelihood, conf
    merge; two sets agree in a register about as often as they are alike. Equal sets are one class with one sketch.
 2. *Bands.* ``ROWS`` registers are one key, packed without loss. Two classes at the threshold share none of ``BANDS`` keys with a
    chance of 3e-7. A key that one class has alone is dropped.
-3. *Linking before comparing.* For ``ROUNDS`` rounds every class is tested with one class of another component only, the leader of one of its
-   buckets, so that a group of near copies is joined by a linear number of tests. Buckets of one component are finished.
+3. *Linking before comparing.* In a few rounds every class is tested with ``LEADERS`` classes of other components, the leaders of its
+   buckets in random orders, so that a group of near copies is joined by a linear number of tests. Buckets of one component are finished.
 4. *The rest, exactly.* The members of other buckets are sorted by key and component and packed into blocks of ``BLOCK`` sketches. All pairs
    of two components in blocks of one key are compared on registers inside a task; pairs of blocks that hold one component alone, or whose sizes
    are too far apart, are never met. A pair is compared in the first band that it shares, and nowhere else.
@@ -42,7 +42,12 @@ REGISTERS = ROWS * BANDS
 #: Least similarity in percent.
 ALIKE = 85
 DOUBT = 16.0
-ROUNDS = 2
+LIKELY = 2.0
+#: Rounds of linking before comparing, at most, and leaders that a member is tested with in one; a round is the last one if it leaves
+#: more than ``STALE`` of the members.
+ROUNDS = 5
+LEADERS = 4
+STALE = 0.9
 BLOCK = 256
 FAN = 512
 #: Up to this many pairs (two longs each) are broadcast to the stored sets.
@@ -153,18 +158,14 @@ def bands(found: DataFrame) -> DataFrame:
     return found.select("cid", "sketch").mapInArrow(read, "key long, cid long")
 
 
-def _screen(x: np.ndarray, y: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
-    """Which pairs of sketches may link."""
-    return doubt((x > y).sum(1), (x < y).sum(1), n_a.astype(float), n_b.astype(float)) <= DOUBT
-
-
-def screened(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose sketches leave a link possible."""
+def likely(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) that are likely to link by their sketches. What this leaves out is compared later."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x, y = (np.frombuffer(utf8(b.column(c))[0].tobytes(), np.uint8).reshape(-1, REGISTERS) for c in ("x", "y"))
-            keep = pa.array(_screen(x, y, b.column("n_a").to_numpy(), b.column("n_b").to_numpy()))
+            n_a, n_b = (b.column(c).to_numpy().astype(float) for c in ("n_a", "n_b"))
+            keep = pa.array(doubt((x > y).sum(1), (x < y).sum(1), n_a, n_b) <= LIKELY)
             yield pa.record_batch({"a": b.column("a").filter(keep), "b": b.column("b").filter(keep)})
 
     for end, sketch in (("a", "x"), ("b", "y")):
@@ -228,12 +229,15 @@ def _labelled(members: DataFrame, star: DataFrame | None) -> DataFrame:
 
 
 def leader_pairs(members: DataFrame, turn: int) -> DataFrame:
-    """One pair (a, b) for each member: with the leader of one of its buckets, of another label."""
-    order = F.struct(F.xxhash64("label", F.lit(turn)).alias("h"), "label", "cid")
-    leader = members.groupBy("key").agg(F.min(order).alias("lead"))
-    others = attach(members, leader, ["key"], "inner").filter("label <> lead.label")
-    one = others.groupBy("cid").agg(F.min("lead").alias("lead"))
-    return one.select(F.col("lead.cid").alias("a"), F.col("cid").alias("b"))
+    """Up to ``LEADERS`` pairs (a, b) for each member, with leaders of its buckets of other labels, each in a random order of its own."""
+    ways = range(LEADERS)
+    order = [F.struct(F.xxhash64("label", F.lit(turn * LEADERS + k)).alias("h"), "label", "cid") for k in ways]
+    leaders = members.groupBy("key").agg(*[F.min(o).alias(f"lead{k}") for k, o in enumerate(order)])
+    met = attach(members, leaders, ["key"], "inner")
+    other = lambda k: F.min(F.when(F.col("label") != F.col(f"lead{k}.label"), F.col(f"lead{k}")))
+    own = met.groupBy("cid").agg(*[other(k).alias(f"lead{k}") for k in ways])
+    pairs = own.select("cid", F.explode(F.array_distinct(F.array(*[F.col(f"lead{k}.cid") for k in ways]))).alias("a"))
+    return pairs.filter("a IS NOT NULL").select("a", F.col("cid").alias("b"))
 
 
 def packed(members: DataFrame, found: DataFrame) -> DataFrame:
@@ -353,11 +357,14 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     wanted = members.select("cid").distinct()
     sets = sets_of(docs, cut(found.select("cid", "k1", "k2").join(wanted, "cid", "left_semi")))
 
-    star = None
+    star, left = None, members.count()
     for turn in range(ROUNDS):
-        edges = confirmed(screened(leader_pairs(members, turn), found), sets)
+        edges = confirmed(likely(leader_pairs(members, turn), found), sets)
         star = stars(edges if star is None else edges.union(star))
         members = _labelled(members, star)
+        before, left = left, members.count()
+        if left > STALE * before or not left:
+            break
     star = stars(confirmed(block_pairs(packed(members, found)), sets).union(star))
 
     own = found.select("cid", "k1", "k2", "id").join(star.select(F.col("u").alias("cid"), "v"), "cid", "left")
