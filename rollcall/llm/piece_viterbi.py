@@ -84,11 +84,13 @@ class Pieces:
 
     def best_path(self, text: str) -> list[int]:
         """Ids of ``text`` (spaces as they are, nothing put in front)."""
-        sign = text.find(SPACE)
-        if sign >= 0:
-            here = [self.byte_id[b] for b in SPACE.encode()]
-            return self.best_path(text[:sign]) + here + self.best_path(text[sign + 1 :])
-        return self._path(text.replace(" ", SPACE))
+        first, *others = text.split(SPACE)
+        out = self._path(first.replace(" ", SPACE))
+        here = [self.byte_id[b] for b in SPACE.encode()] if others else []
+        for part in others:
+            out += here
+            out += self._path(part.replace(" ", SPACE))
+        return out
 
     def _path(self, text: str) -> list[int]:
         n = len(text)
