@@ -174,15 +174,19 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
     ).filter("id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
     fits = (F.length("text") > short).cast("int")
+    rows = rows.withColumn("digest", F.sha2(F.col("text").cast("binary"), 256))
+    # one row of each id, language and text: copies of an id take one place, whatever their number
     picked = (
-        rows.select("id", "lang", fits.alias("fits"))
-        .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("fits", F.xxhash64("id"), "id")))
+        rows.groupBy("lang", "id", "digest")
+        .agg(F.min(fits).alias("fits"))
+        .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("fits", F.xxhash64("id"), "id", "digest")))
         .filter(F.col("place") <= SAMPLE_TEXTS)
-        .select("id", "lang", "place")
+        .select("id", "lang", "digest", "place")
     )
     heads = (
-        rows.join(F.broadcast(picked), ["id", "lang"])
+        rows.join(F.broadcast(picked), ["id", "lang", "digest"])
         .select("lang", "place", F.substring("text", 1, SAMPLE_SYMBOLS).alias("text"))
+        .distinct()
         .collect()
     )
     out: dict[str, str] = {}
