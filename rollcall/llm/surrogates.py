@@ -1,7 +1,8 @@
 """Personal data replaced by keyed surrogates of the same type and form, distinct where the entities are.
 
 Detected: e-mail addresses, IPv4 addresses, card and account numbers (13 to 19 digits), telephone numbers, secrets after a
-naming word (``token = "..."``), and names after a title, which also tells the gender. A mention is reduced to its entity
+naming word (``token = "..."``), and names after a title, which also tells the gender; the words of such a name are replaced
+wherever else they stand in the same text. A mention is reduced to its entity
 (lower case, digits alone); the entity's surrogate is a keyed permutation of all strings of its form: a letter gives a letter
 of the same script, a digit a digit, everything else stays. Card numbers keep passing or failing the check digit, IPv4
 addresses stay in the unicast range, a telephone number keeps its country code, an e-mail address its last domain label, and equal domains get
@@ -35,17 +36,20 @@ BROADCAST_ENTITIES = 100_000
 #: From this attempt on a surrogate may be longer than its entity, so that no form runs out.
 WIDER = 8
 #: What a text with an entity holds; for Java.
-CUE = r"@|\d{3}|\d\.\d|(?i:token|secret|password|api.?key)|\b(?:Mr|Mrs|Ms|Miss|Sir|Lady|Herr|Frau|Señora?|Sra?|Monsieur|Madame|Mme|Господин|Госпожа|Κύριος|Κυρία)\b"
+CUE = r"(?U)@|\d{3}|\d\.\d|(?i:token|secret|password|api.?key)|\b(?:Mr|Mrs|Ms|Miss|Sir|Lady|Herr|Frau|Señora?|Sra?|Monsieur|Madame|Mme|Господин|Госпожа|Κύριος|Κυρία)\b"
 _MALE, _FEMALE = ("Mr", "Sir", "Herr", "Señor", "Sr", "Monsieur", "Господин", "Κύριος"), ("Mrs", "Ms", "Miss", "Lady", "Frau", "Señora", "Sra", "Madame", "Mme", "Госпожа", "Κυρία")
-_NAME = r"[^\W\d_a-zß-öø-ÿа-яё][^\W\d_]+(?:[-’'][^\W\d_]+)*"
-_FIND = re.compile(
-    r"(?P<email>[\w.+-]*\w@(?:[\w-]+\.)+[A-Za-z]{2,})"
-    r"|(?P<secret>(?<=[=:]\s\")[\w+/=-]{16,}(?=\")|(?<=[=:]\")[\w+/=-]{16,}(?=\"))"
+_NAME = r"[^\W\d_a-zß-öø-ÿа-яёα-ωϊ-ώά-ίΐΰ][^\W\d_]+(?:[-’'][^\W\d_]+)*"
+#: A local part has at most 64 characters, so a text without a gap is read in linear time.
+_EMAIL = r"(?P<email>[\w.+-]{0,63}\w@(?:[\w-]+\.)+[A-Za-z]{2,})|"
+_REST = (
+    r"(?P<secret>(?<=[=:]\s\")[\w+/=-]{16,}(?=\")|(?<=[=:]\")[\w+/=-]{16,}(?=\"))"
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d))"
     r"|(?P<card>(?<![\d+(-])\d(?:[ -]?\d){12,18}(?![\d-]))"
     r"|(?P<phone>(?<![\w+])(?!(?:19|20)\d\d[-./ ]\d\d?[-./ ]\d\d?\b)(?:\+\d{1,3}[ .-]?)?\(?\d{2,4}\)?(?:[ .-]\d{2,4}){1,3}(?![\w-]|\.\d)|(?<![\w+])\+\d{8,15}(?!\w))"
     r"|(?P<title>\b(?:" + "|".join(_MALE + _FEMALE) + r")\b\.?[ ](?P<name>" + _NAME + r"(?:[ ]" + _NAME + r"){0,2}))"
 )
+_FIND, _FIND_NO_EMAIL = re.compile(_EMAIL + _REST), re.compile("(?P<email>(?!))|" + _REST)
+_WORD = re.compile(r"[^\W\d_]+(?:[-’'][^\W\d_]+)*")
 _ALPHABETS = ("abcdefghijklmnopqrstuvwxyz", "àáâãäåæçèéêëìíîïñòóôõöøœùúûüýÿß", "абвгдежзийклмнопрстуфхцчшщъыьэюяё", "αβγδεζηθικλμνξοπρστυφχψω")
 _CLASS = {c: a for a in ("0123456789", *_ALPHABETS) for c in a}
 _GIVEN = {
@@ -154,8 +158,14 @@ def surrogate(kind: str, entity: str, attempt: int, key: bytes) -> str:
         script = _script(entity)
         names = _GIVEN[kind[-1], script].split()
         n, at = divmod(_draw(key, *tweak, entity), len(names))
-        syllables = _SYLLABLES[script].split()
-        return names[at] if attempt < 4 else f"{names[at]}-{syllables[n % len(syllables)]}" + (str(attempt) if attempt >= WIDER else "")
+        if attempt < 4:
+            return names[at]
+        # one syllable more at each attempt, so that many names are settled in few
+        syllables, out = _SYLLABLES[script].split(), ""
+        for _ in range(attempt - 3):
+            n, k = divmod(n, len(syllables))
+            out += syllables[k]
+        return f"{names[at]}-{out}"
     if re.fullmatch("[0-9a-f]+", entity):  # a secret in hexadecimal digits stays one
         size = len(entity + more)
         return f"{permute(int(entity + more, 16), 16**size, key, *tweak, size):0{size}x}"
@@ -175,9 +185,32 @@ def _refit(mention: str, entity: str) -> str:
     return "".join(out) + (rest.upper() if len(mention) > 1 and mention.isupper() else rest)
 
 
-def mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
-    """(begin, end, kind, entity) of each mention, in order; the words of a name one by one."""
-    for m in _FIND.finditer(text):
+def mentions(text: str) -> list[tuple[int, int, str, str]]:
+    """(begin, end, kind, entity) of each mention, in order; the words of a name one by one, and again wherever they stand without a title."""
+    found = list(_marked(text))
+    names: dict[str, tuple[str, str]] = {}
+    for begin, end, kind, entity in found:
+        if kind == "family" or kind.startswith("given"):
+            names.setdefault(text[begin:end], (kind, entity))
+            names.setdefault(text[begin:end].upper(), (kind, entity))
+    return sorted(found + list(_bare(text, found, names))) if names else found
+
+
+def _bare(text: str, found: list[tuple[int, int, str, str]], names: dict[str, tuple[str, str]]) -> Iterator[tuple[int, int, str, str]]:
+    """The words of ``names`` between the mentions found, also before an apostrophe."""
+    at = 0
+    for begin, end, _, _ in [*found, (len(text), len(text), "", "")]:
+        for m in _WORD.finditer(text, at, begin):
+            word = m[0]
+            if word not in names:
+                word = re.split("[’']", word, maxsplit=1)[0]
+            if word in names:
+                yield m.start(), m.start() + len(word), *names[word]
+        at = end
+
+
+def _marked(text: str) -> Iterator[tuple[int, int, str, str]]:
+    for m in (_FIND if "@" in text else _FIND_NO_EMAIL).finditer(text):
         kind, said = m.lastgroup, m[0]
         if kind == "name":
             kind = "title"
