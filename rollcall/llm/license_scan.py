@@ -131,12 +131,10 @@ class Scanner:
         if hi:
             yield words[lo:hi]
 
-    def ranked(self, block: str) -> list[tuple[int, int]]:
-        """(bytes saved, template) from the best down, those that save anything."""
+    def saved(self, block: str, template: int) -> int:
+        """Bytes that the template as a dictionary saves on a candidate block."""
         raw = block.encode()
-        alone = len(self.plain.compress(raw))
-        saved = [(alone - len(c.compress(raw)), k) for k, c in enumerate(self.given)]
-        return sorted((x for x in saved if x[0] > 0), key=lambda x: (-x[0], -len(self.words[x[1]]), x[1]))
+        return len(self.plain.compress(raw)) - len(self.given[template].compress(raw))
 
     def wording(self, have: list[str], template: int) -> tuple[int, int, list[str], list[str]] | None:
         """First and last aligned word, missing words, added words of the best confirmed part; None if there is none."""
@@ -163,16 +161,34 @@ class Scanner:
                     best = first, last, missing, added
         return best
 
-    def stretches(self, have: list[str], template: int) -> Iterator[tuple[int, int, list[str], list[str]]]:
-        """Confirmed parts of a block for one template, wherever enough of its words stand close together."""
+    def pieces(self, have: list[str], template: int) -> Iterator[tuple[int, int]]:
+        """Parts of a block where enough of the template's words stand close together, each of twice their room at most.
+
+        A block of any length is cut into such candidates, so a short notice in a long block is compressed beside its own surroundings.
+        """
         want, known = self.words[template], self.sets[template]
         size = len(want) + _room(len(want))
         held = [0, *accumulate(w in known for w in have)]
+        lo = hi = -1
         for k, w in enumerate(have):
             end = min(len(have), k + size)
-            if w in known and held[end] - held[k] >= WORDS * len(want):
-                if len(known.difference(have[k:end])) <= (1 - WORDS) * len(want) and (found := self.wording(have[k:end], template)) is not None:
-                    yield k + found[0], k + found[1], found[2], found[3]
+            if w in known and held[end] - held[k] >= WORDS * len(want) and len(known.difference(have[k:end])) <= (1 - WORDS) * len(want):
+                if lo >= 0 and end - lo <= 2 * size:
+                    hi = end
+                    continue
+                if lo >= 0:
+                    yield lo, hi
+                lo, hi = k, end
+        if lo >= 0:
+            yield lo, hi
+
+    def stretches(self, have: list[str], template: int) -> Iterator[tuple[int, int, list[str], list[str]]]:
+        """Confirmed parts of a candidate for one template."""
+        want, known = self.words[template], self.sets[template]
+        size = len(want) + _room(len(want))
+        for k, w in enumerate(have):
+            if w in known and (found := self.wording(have[k : k + size], template)) is not None:
+                yield k + found[0], k + found[1], found[2], found[3]
 
     def scan(self, text: str) -> list[tuple[int, int, str, int, int, list[str], list[str]]]:
         """(begin, end, licence, template, bytes saved, missing, added) of all statements, in order."""
@@ -182,12 +198,15 @@ class Scanner:
             if not words:
                 continue
             found = []
-            for rank, (saved, k) in enumerate(self.ranked(text[words[0][1] : words[-1][2]])):
-                for first, last, missing, added in self.stretches(have, k):
+            for lo, hi, k in ((lo, hi, k) for k in range(len(self.templates)) for lo, hi in self.pieces(have, k)):
+                saved = self.saved(text[words[lo][1] : words[hi - 1][2]], k)
+                for first, last, missing, added in self.stretches(have[lo:hi], k):
+                    first, last = first + lo, last + lo
                     end = words[last - 1][2]
                     if self.templates[k][1].startswith(TAG) and _MORE.match(text, end):
                         continue
                     common = len(self.words[k]) - len(missing)
+                    rank = (-saved, -len(self.words[k]), k)
                     found.append((len(missing) + len(added) - common, rank, first, last, k, saved, missing, added))
             taken = bytearray(len(words))
             for _, _, first, last, k, saved, missing, added in sorted(found):
