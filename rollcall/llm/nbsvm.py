@@ -25,6 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollcall.llm import words
 from rollcall.llm.common import free_name, slices, utf8
@@ -194,17 +195,20 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "sc
     """``docs`` with the probability of label 1 in a further column (a longer name if it is taken)."""
     name = free_name(docs.columns, name)
     held = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text_col)
 
-    @F.pandas_udf("double")
-    def ask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
         w = np.frombuffer(m.weights, np.float32)
-        for s in batches:
-            texts = pa.array(s, pa.large_string(), from_pandas=True)
-            margin = np.array([w[x].sum() / np.sqrt(max(1, len(x))) + m.bias for x in indicators(texts)])
-            yield pd.Series(1 / (1 + np.exp(-np.clip(m.slope * margin + m.shift, -30, 30))))
-
-    return docs.withColumn(name, ask(F.coalesce(F.col(text_col), F.lit(""))))
+        for b in batches:
+            for lo, hi in slices(b.column(place)):
+                part = b.slice(lo, hi - lo)
+                margin = np.array([w[x].sum() / np.sqrt(max(1, len(x))) + m.bias for x in indicators(part.column(place))])
+                p = 1 / (1 + np.exp(-np.clip(m.slope * margin + m.shift, -30, 30)))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p)], [*part.schema.names, name])
+
+    # whole rows pass in slices of about a megabyte; nothing waits for a column to come back
+    return docs.mapInArrow(ask, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def fold(id_col: Column, folds: int) -> Column:
