@@ -25,6 +25,7 @@ import os
 import re
 import struct
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-from rollcall.llm.common import shuffle_parts, slices
+from rollcall.llm.common import shuffle_parts, slices, utf8
 
 BLOCK = 1 << 14
 END = 1
@@ -50,7 +51,11 @@ _TAIL = re.compile(r"([\x00-;=-\xff]*[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-
 #: Lower-case letters that no normalisation changes.
 _LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
 _PLAIN = re.compile(f"[{_LETTERS}]+")
-_GAP = re.compile(r"[ \t\n\r\x0b\x0c]+")
+_GAPS = " \t\n\r\x0b\x0c"
+_IS_GAP = np.zeros(256, bool)
+_IS_GAP[[ord(c) for c in _GAPS]] = True
+#: Bytes of text that are encoded at once.
+SLICE = 4 << 20
 
 
 class _Memory:
@@ -121,14 +126,42 @@ class Encoder:
         self.pieces.new.update((k, stems.new[x] + stems.new[y]) for k, (x, y) in parts.items())
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text."""
+        ids, at = self.encode_column(pa.array(texts, pa.large_string()))
+        return [ids[x:y].tobytes() for x, y in zip(at[:-1], at[1:], strict=True)]
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and where each text's begin (one place more at the end).
+
+        Pieces are cut on the buffer and keep the gap behind them; each distinct one is looked up once and its ids are gathered.
+        """
         if not self.split:
-            return self._ask(texts)
-        rows = [_GAP.split(t) for t in texts]
-        self._learn({p for row in rows for p in row})
-        out = [b"".join(map(self.pieces.new.__getitem__, row)) for row in rows]
+            found = self._ask(texts.to_pylist())
+            size = np.array([len(x) // 4 for x in found], np.int64)
+            return np.frombuffer(b"".join(found), "<u4"), np.concatenate(([0], np.cumsum(size)))
+        data, at = utf8(texts)
+        ink = ~_IS_GAP[data]
+        starts = ink.copy()
+        starts[1:] &= ~ink[:-1]
+        starts[at[:-1][at[:-1] < len(data)]] = True
+        cut = np.append(np.flatnonzero(starts), len(data))
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(cut) - 1, [None, pa.py_buffer(cut), pa.py_buffer(np.ascontiguousarray(data))])
+        coded = pieces.dictionary_encode()
+        distinct = [p.decode().rstrip(_GAPS) for p in coded.dictionary.to_pylist()]
+        self._learn(set(distinct))
+        found = [self.pieces.new[p] for p in distinct]
         self.pieces.turn()
         self.stems.turn()
-        return out
+        flat = np.frombuffer(b"".join(found), "<u4")
+        size = np.array([len(x) // 4 for x in found], np.int64)
+        first = np.cumsum(size) - size
+        which = coded.indices.to_numpy()
+        each = size[which]
+        ends = np.cumsum(each)
+        total = int(ends[-1]) if len(ends) else 0
+        place = np.repeat(first[which] - (ends - each), each) + np.arange(total)
+        of_piece = np.concatenate(([0], ends))
+        return flat[place], of_piece[np.searchsorted(cut, at, "left")]
 
 
 @lru_cache(maxsize=2)
@@ -190,7 +223,6 @@ def write(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = _encoder(tokenizer, split), TaskContext.get().partitionId()
-        end = np.array([END], "<u4").tobytes()
         buffer, done, number = bytearray(), 0, 0
         begun: list[tuple[object, int, int]] = []  # documents not yet in a block: id, first, length
         ids_type = None
@@ -199,8 +231,8 @@ def write(
             nonlocal done, number, begun
             ids = np.frombuffer(bytes(buffer[: 4 * n]), "<u4")
             del buffer[: 4 * n]
-            own = [d for d in begun if d[1] < done + n]
-            begun = begun[len(own) :]
+            m = bisect_left(begun, done + n, key=lambda d: d[1])
+            own, begun = begun[:m], begun[m:]
             row = pa.record_batch(
                 {
                     "part": pa.array([part], pa.int32()),
@@ -219,13 +251,16 @@ def write(
         for b in batches:
             names, texts = b.column("id").to_pylist(), b.column("text")
             ids_type = b.column("id").type
-            for lo, hi in slices(texts):
-                for name, ids in zip(names[lo:hi], encoder.encode(texts[lo:hi].to_pylist()), strict=True):
-                    begun.append((name, done + len(buffer) // 4, len(ids) // 4 + 1))
-                    buffer += ids
-                    buffer += end
-                    while len(buffer) >= 4 * block:
-                        yield flush(block)
+            for lo, hi in slices(texts, SLICE):
+                ids, at = encoder.encode_column(texts[lo:hi])
+                size = np.diff(at) + 1
+                ended = np.full(len(ids) + len(size), END, "<u4")
+                ended[np.arange(len(ids)) + np.repeat(np.arange(len(size)), size - 1)] = ids
+                first = done + len(buffer) // 4 + np.cumsum(size) - size
+                begun += zip(names[lo:hi], first.tolist(), size.tolist(), strict=True)
+                buffer += ended.tobytes()
+                while len(buffer) >= 4 * block:
+                    yield flush(block)
         if buffer:
             yield flush(len(buffer) // 4)
 
