@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from rollcall.llm import fuse, screen
 from rollcall.llm.common import cut, free_name
+from rollcall.operators.lookup import attach
 
 
 def digest(text_col: str) -> Column:
@@ -112,7 +113,8 @@ def mark(
     )
     top = F.col(col["top"])
     judged = struct(top["id"], F.col(col["size"]), top["tag"] == F.col(col["tag"]))
-    again = rows.join(facts.filter(F.col(col["n"]) == 1), col["digest"]).select(*kept_cols, judged)
+    # a digest that a third of all rows have can be split in this join
+    again = attach(rows, facts.filter(F.col(col["n"]) == 1), [col["digest"]], "inner").select(*kept_cols, judged)
     if not facts.filter(F.col(col["n"]) > 1).isEmpty():  # equal digests, different bytes
         parted = groups.join(facts.filter(F.col(col["n"]) > 1).select(col["digest"]), col["digest"], "left_semi")
         more = rows.withColumn("_bytes", text).join(parted, [col["digest"], "_bytes"]).select(*kept_cols, judged)
