@@ -8,8 +8,8 @@
    whose sizes are too far apart, or where the tokens left after their positions cannot reach the needed overlap, are
    never opened. Short lists are paired directly, under the same tests for each pair.
 4. *Answers from similar sets.* A set that turned out to link with another one takes over all that is known of it: both
-   carry one label, and no pair of one label is looked at again. ``ROUNDS`` passes over the long lists test each set with
-   one neighbour in a random order, which joins the groups of near copies after a linear number of tests. Then all
+   carry one label, and no pair of one label is looked at again. Up to ``ROUNDS`` passes over the long lists test each set with
+   ``LEADERS`` others of its rows, which joins the groups of near copies after a linear number of tests. Then all
    block pairs that still hold two labels are opened, so that no link is lost.
    ``components`` works so: the links inside a group that has one label are not looked for. ``links`` and ``link_counts``
    leave this step out and test every pair of the opened blocks, so they give all links, at a cost of up to the square of a group.
@@ -29,24 +29,26 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm import fuse, screen, words
 from rollcall.llm.common import cut, free_name, shuffle_parts, slices, snug, utf8
 from rollcall.llm.components import stars
+from rollcall.llm.set_pairs import confirmed
+from rollcall.operators.lookup import attach
 
 SHINGLE = 5
-#: Threshold 3/4; the tests below use whole numbers.
+#: Least similarity in percent; the tests of sizes and places below have it as 3/4.
+ALIKE = 75
 SKETCH_BITS = 20
 SKETCH_PARTS = 64
 SHORT = 8
 BLOCK = 1024
-ROUNDS = 3
-#: Pairs to test (two longs each) up to this number are broadcast to the stored sets.
-BROADCAST_PAIRS = 200_000
-#: Sets of the ends with most pairs are broadcast if they take no more bytes; each pair then moves no set at all.
-BROADCAST_HUBS = 16 << 20
+#: Rounds over the long lists at most, and leaders that a set is tested with in one; a round is the last one if fewer than ``STALE`` of its pairs link.
+ROUNDS = 5
+LEADERS = 4
+STALE = 0.05
 _ENTRY = "token long, cid long, n int, pos int"
 
 
@@ -229,17 +231,21 @@ def partnered(blocks: DataFrame, opened: DataFrame) -> DataFrame:
     return some.drop("two", "x").distinct()
 
 
-def chain_pairs(blocks: DataFrame, turn: int) -> DataFrame:
-    """Neighbours of different labels in a random order of each block row of one size class."""
-    share = F.pmod(F.xxhash64("cid", F.lit(turn)), F.ceil(F.col("cnt") / BLOCK))
-    order = Window.partitionBy("token", "size", share).orderBy(F.xxhash64("cid", F.lit(turn + 1000)), "cid")
-    own = F.struct("cid", "n", "pos", "label")
-    met = blocks.select(own.alias("y"), F.lag(own).over(order).alias("x")).filter("x IS NOT NULL AND x.label <> y.label")
-    return (
-        met.filter(_can_link("x", "y"))
-        .select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b"))
-        .distinct()
-    )
+def leader_pairs(blocks: DataFrame, turn: int) -> DataFrame:
+    """Up to ``LEADERS`` pairs (a, b) for each set: with leaders of other labels from its rows, each in a random order of its own.
+
+    A row's leaders are one aggregate per token and size class; of all rows of a set one leader per order is taken, so the pairs of a group
+    grow with its members, not with their tokens.
+    """
+    ways = range(LEADERS)
+    own = [F.col(c) for c in ("label", "cid", "n", "pos")]
+    order = [F.struct(F.xxhash64("label", F.lit(turn * LEADERS + k)).alias("h"), *own) for k in ways]
+    leaders = blocks.groupBy("token", "size").agg(*[F.min(o).alias(f"lead{k}") for k, o in enumerate(order)])
+    met = attach(blocks.select("token", "size", *own, F.struct(*own).alias("y")), leaders, ["token", "size"], "inner")
+    fits = lambda k: (F.col("label") != F.col(f"lead{k}.label")) & _can_link(f"lead{k}", "y")
+    one = met.groupBy("cid").agg(*[F.min(F.when(fits(k), F.struct(f"lead{k}.h", F.col(f"lead{k}.cid").alias("cid")))).alias(f"best{k}") for k in ways])
+    pairs = one.select("cid", F.explode(F.array_distinct(F.array(*[F.col(f"best{k}.cid") for k in ways]))).alias("other")).filter("other IS NOT NULL")
+    return pairs.select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b")).distinct()
 
 
 def open_pairs(blocks: DataFrame) -> DataFrame:
@@ -286,51 +292,6 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return cut(read_sets.join(wanted, ["k1", "k2"]).select("cid", "tokens"))
 
 
-def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose sets link, as stored edges (u, v).
-
-    Each pair is turned so that ``a`` is the end with more pairs. If few sets stand on that side, they are broadcast; else, for
-    few pairs, only the sets that take part are shuffled; else all proposed sets are.
-    """
-
-    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yes = []
-            for x, y in zip(b.column("x"), b.column("y"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                yes.append(100 * both >= 75 * (len(x) + len(y) - both))
-            keep = pa.array(yes, pa.bool_())
-            yield pa.record_batch({"u": b.column("a").filter(keep), "v": b.column("b").filter(keep)})
-
-    pairs = snug(cut(pairs))
-    n = pairs.count()
-    ends = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).groupBy("cid").agg(F.count("*").alias("deg"))
-    deg = [ends.select(F.col("cid").alias(c), F.col("deg").alias(f"deg_{c}")) for c in ("a", "b")]
-    both = pairs.join(deg[0], "a").join(deg[1], "b")
-    more = F.expr("deg_a > deg_b OR deg_a = deg_b AND a < b")
-    first = F.when(more, F.struct("a", "b")).otherwise(F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
-    turned = cut(both.select(first.alias("pair")).select("pair.*"))
-    named = turned.select(F.col("a").alias("cid")).distinct()
-    hubs = sets.join(F.broadcast(named) if n <= BROADCAST_PAIRS else named, "cid", "left_semi")
-    if n <= BROADCAST_PAIRS and (hubs.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0) <= BROADCAST_HUBS:
-        held = pairs.sparkSession.sparkContext.broadcast({r["cid"]: bytes(r["tokens"]) for r in hubs.collect()})
-
-        def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                x = pa.array([held.value[c] for c in b.column("a").to_pylist()], pa.binary())
-                yield from test([pa.record_batch([b.column("a"), b.column("b"), x, b.column("y")], ["a", "b", "x", "y"])])
-
-        spokes = sets.select(F.col("cid").alias("b"), F.col("tokens").alias("y")).join(F.broadcast(turned), "b")
-        return cut(spokes.select("a", "b", "y").mapInArrow(look_up, "u long, v long"))
-    x, y = (sets.select(F.col("cid").alias(c), F.col("tokens").alias(t)) for c, t in (("a", "x"), ("b", "y")))
-    if n <= BROADCAST_PAIRS:  # then only the sets that take part move
-        met = x.join(F.broadcast(turned), "a").join(y.join(F.broadcast(turned), "b"), ["a", "b"])
-    else:
-        met = turned.join(x, "a").join(y, "b")
-    return cut(met.select("a", "b", "x", "y").mapInArrow(test, "u long, v long"))
-
-
 def _label(blocks: DataFrame, star: DataFrame | None) -> DataFrame:
     if star is None:
         return blocks.withColumn("label", F.col("cid"))
@@ -353,20 +314,20 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     star = None
     for turn in range(ROUNDS):
-        tested = chain_pairs(_label(blocks, star), turn)
-        if turn == 0:
-            tested = tested.union(direct).distinct()
-        edges = linked(tested, sets)
+        tested = cut(leader_pairs(_label(blocks, star), turn))
+        edges = confirmed(tested if turn else tested.union(direct).distinct(), sets, ALIKE)
         star = stars(edges if star is None else edges.union(star))
-    star = stars(linked(open_pairs(cut(_label(blocks, star))), sets).union(star))
+        if edges.count() < STALE * tested.count():
+            break
+    star = stars(confirmed(open_pairs(cut(_label(blocks, star))), sets, ALIKE).union(star))
 
     own = found.select("cid", "k1", "k2", "id").join(star.select(F.col("u").alias("cid"), "v"), "cid", "left")
     own = own.withColumn("label", F.coalesce("v", "cid"))
     least = own.groupBy("label").agg(F.min("id").alias("component_id"))
-    answer = own.join(least, "label").select("k1", "k2", "component_id")
+    answer = attach(own, least, ["label"]).select("k1", "k2", "component_id")
     n = F.col("n").cast("long").alias("n_shingles")
     empty = rows.filter("n = 0").select("id", n, F.col("id").alias("component_id"))
-    return rows.filter("n > 0").join(answer, ["k1", "k2"]).select("id", n, "component_id").union(empty)
+    return attach(rows.filter("n > 0"), answer, ["k1", "k2"], "inner").select("id", n, "component_id").union(empty)
 
 
 def _class_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -379,7 +340,7 @@ def _class_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     pairs = cut(short_pairs(index).union(open_pairs(blocks)).distinct())
     named = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
     sets = sets_of(docs, cut(found.select("cid", "k1", "k2").join(named, "cid", "left_semi")))
-    return rows, found, linked(pairs, sets)
+    return rows, found, confirmed(pairs, sets, ALIKE)
 
 
 def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -12,8 +12,9 @@ r"""Near copies by SetSketch registers: banded, judged by joint likelihood, conf
    are too far apart, are never met. A pair is compared in the first band that it shares, and nowhere else.
 5. *Likelihood.* A pair's larger, smaller and equal registers and the known set sizes give the joint likelihood of each similarity. Pairs for
    which the threshold is less likely than the best similarity by more than ``exp(-DOUBT)`` are dropped, a chance below 1e-7 at the threshold.
-6. *Confirmed.* Those left link if 100 * intersection >= 85 * union of the whole sets. The set of a class with many pairs is sent once
-   for each ``FAN`` of them and they stream past it.
+6. *Confirmed.* Those left link if 100 * intersection >= 85 * union of the whole sets (``set_pairs``). The set of a leader is sent once
+   for each ``FAN`` of its pairs and they stream past it; the pairs of two blocks stay one row, to which the sets of its members come, so
+   what moves grows with the members of a group, not with their pairs.
 
 Cases: null and empty texts have no shingles, link with nothing and are their own component. Repeated rows are one class. Rows with a null
 id take part; a component of which no row has an id has a null ``component_id``, and a row without an id is not kept. An empty table
@@ -31,9 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm import words
-from rollcall.llm.common import cut, shuffle_parts, slices, snug, utf8
+from rollcall.llm.common import cut, shuffle_parts, slices, utf8
 from rollcall.llm.components import stars
 from rollcall.llm.jaccard_join import class_key, sets_of, token_sets
+from rollcall.llm.set_pairs import confirmed, joined_lists
 from rollcall.operators.lookup import attach
 
 BASE, RATE = 1.1, 10.0
@@ -49,9 +51,6 @@ ROUNDS = 5
 LEADERS = 4
 STALE = 0.9
 BLOCK = 256
-FAN = 512
-#: Up to this many pairs (two longs each) are broadcast to the stored sets.
-BROADCAST_PAIRS = 100_000
 #: Pairs whose likelihood is worked out at once.
 JUDGED = 1 << 15
 #: Shingles that are hashed at once.
@@ -174,49 +173,6 @@ def likely(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return pairs.filter(f"100L * least(n_a, n_b) >= {ALIKE}L * greatest(n_a, n_b)").mapInArrow(read, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the distinct ``pairs`` (a, b) whose whole sets link, as stored edges (u, v)."""
-    pairs = snug(cut(pairs))
-    n = pairs.count()
-    ends = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).groupBy("cid").agg(F.count("*").alias("deg"))
-    for end in "ab":
-        pairs = attach(pairs, ends.select(F.col("cid").alias(end), F.col("deg").alias(f"deg_{end}")), [end])
-    hub = F.expr("deg_a > deg_b OR deg_a = deg_b AND a < b")
-    turned = pairs.select(
-        F.when(hub, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(hub, F.col("b")).otherwise(F.col("a")).alias("cid"), F.greatest("deg_a", "deg_b").alias("deg")
-    )
-    turned = cut(turned.select("hub", "cid", F.pmod(F.xxhash64("cid"), F.ceil(F.col("deg") / FAN)).alias("salt")))
-    hubs = turned.select("hub", "salt", F.col("hub").alias("cid")).distinct()
-    both = turned.withColumn("spoke", F.lit(True)).union(hubs.select("hub", "cid", "salt", F.lit(False)))
-    if n <= BROADCAST_PAIRS:  # then the sets stay where they are stored
-        met = sets.join(F.broadcast(both), "cid")
-    else:
-        met = attach(both, sets, ["cid"], "inner")
-
-    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, own = None, np.empty(0, np.uint64)
-        for b in batches:
-            u, v = [], []
-            for hub_, salt, cid, spoke, tokens in zip(
-                *[b.column(c).to_pylist() for c in ("hub", "salt", "cid", "spoke")], b.column("tokens"), strict=True
-            ):
-                have = np.frombuffer(tokens.as_buffer(), np.uint64)
-                if not spoke:
-                    at, own = (hub_, salt), have.copy()
-                    continue
-                if at != (hub_, salt):
-                    raise ValueError(f"set {hub_} is not stored")
-                shared = len(np.intersect1d(own, have, assume_unique=True))
-                if 100 * shared >= ALIKE * (len(own) + len(have) - shared):
-                    u.append(hub_)
-                    v.append(cid)
-            yield pa.record_batch({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
-
-    order = ["hub", "salt", "spoke", "cid"]
-    laid = met.select(*order, "tokens").repartition(shuffle_parts(pairs.sparkSession), "hub", "salt").sortWithinPartitions(*order)
-    return cut(laid.mapInArrow(test, "u long, v long"))
-
-
 def _labelled(members: DataFrame, star: DataFrame | None) -> DataFrame:
     """Members (key, cid) of the buckets that still hold two labels, with their label. Stored."""
     if star is not None:
@@ -290,7 +246,7 @@ def packed(members: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def block_pairs(blocks: DataFrame) -> DataFrame:
-    """Pairs (a, b) of members of two labels that share a bucket and may link by their sketches, each once."""
+    """Per pair of blocks the pairs of members (``a``, ``b``: lists of cids) of two labels that may link by their sketches, each pair once."""
     names, kinds = ["cids", "labels", "sizes", "sketches"], (np.int64, np.int64, np.int32, np.uint8)
 
     def read(b: pa.RecordBatch, r: int, end: str) -> list[np.ndarray]:
@@ -310,9 +266,13 @@ def block_pairs(blocks: DataFrame) -> DataFrame:
         return one[0][i], two[0][j], one[2][i], two[2][j], (x > y).sum(1), (x < y).sum(1)
 
     def judged(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        """One row for each pair of blocks with candidates."""
         a, b, n_a, n_b, more, less = (np.concatenate(c) for c in zip(*held, strict=True))
         keep = doubt(more, less, n_a.astype(float), n_b.astype(float)) <= DOUBT
-        return pa.record_batch({"a": pa.array(a[keep]), "b": pa.array(b[keep])})
+        block = np.repeat(np.arange(len(held)), [len(h[0]) for h in held])[keep]
+        at = np.concatenate(([0], np.flatnonzero(np.diff(block)) + 1, [len(block)])) if len(block) else np.array([0])
+        lists = lambda x: pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(x[keep]))
+        return pa.record_batch({"a": lists(a), "b": lists(b)})
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -343,7 +303,7 @@ def block_pairs(blocks: DataFrame) -> DataFrame:
     first = met.join(a.select("a.place", *ends("a")).withColumnRenamed("place", "one"), "one")
     cross = first.join(b.select("b.place", *ends("b")).withColumnRenamed("place", "two"), "two")
     cross = cross.select("key", F.lit(False).alias("own"), *[f"{c}_{e}" for e in "ab" for c in names])
-    return own.unionByName(cross).mapInArrow(compare, "a long, b long")
+    return own.unionByName(cross).mapInArrow(compare, "a array<long>, b array<long>")
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -359,13 +319,13 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     star, left = None, members.count()
     for turn in range(ROUNDS):
-        edges = confirmed(likely(leader_pairs(members, turn), found), sets)
+        edges = confirmed(likely(leader_pairs(members, turn), found), sets, ALIKE)
         star = stars(edges if star is None else edges.union(star))
         members = _labelled(members, star)
         before, left = left, members.count()
         if left > STALE * before or not left:
             break
-    star = stars(confirmed(block_pairs(packed(members, found)), sets).union(star))
+    star = stars(joined_lists(block_pairs(packed(members, found)), sets, ALIKE).union(star))
 
     own = found.select("cid", "k1", "k2", "id").join(star.select(F.col("u").alias("cid"), "v"), "cid", "left")
     own = own.withColumn("label", F.coalesce("v", "cid"))

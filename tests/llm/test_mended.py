@@ -9,7 +9,8 @@ import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rollcall.llm import cross_parse, license_scan, nbsvm, piece_viterbi, surrogates
+from rollcall.llm import cross_parse, exact_dedup, license_scan, nbsvm, piece_viterbi, surrogates
+from tests.test_skew import final_plan, splitting  # noqa: F401
 
 
 def test_long_runs_of_the_space_sign():
@@ -99,3 +100,13 @@ def test_scores_keep_rows_and_columns(spark):
     assert got.columns == ["doc_id", "text", "score", "score_"]
     rows = {r.doc_id: r for r in got.collect()}
     assert (rows[2].text, rows[2].score, rows[2].score_) == (None, "y", rows[3].score_) and 0 <= rows[1].score_ <= 1
+
+
+def test_a_hot_text_is_split(splitting):  # noqa: F811
+    hot = F.when(F.col("id") % 2 == 0, "the same text everywhere").otherwise(F.concat(F.lit("text "), F.col("id") % 9_000))
+    docs = splitting.range(0, 60_000, numPartitions=8).select(F.col("id").alias("doc_id"), hot.alias("text"))
+    marked = exact_dedup.mark(docs, exact_dedup.by_range(docs, 3), with_text=False)
+    assert "skew=true" in final_plan(marked)
+    kept = marked.filter("dedup.kept")
+    assert kept.count() == docs.select("text").distinct().count()
+    assert kept.filter("dedup.group_size = 30000").first().doc_id == 59_998

@@ -17,7 +17,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rollcall.llm import conversation_repair as repair
-from rollcall.llm import importance, setsketch, words
+from rollcall.llm import importance, set_pairs, setsketch, words
 from rollcall.llm.common import utf8
 from tests.llm import brute
 
@@ -264,8 +264,8 @@ def test_comparing_alone_finds_the_same(spark, monkeypatch):
     monkeypatch.setattr(setsketch, "ROUNDS", 1)
     monkeypatch.setattr(setsketch, "LIKELY", -1.0)
     monkeypatch.setattr(setsketch, "BLOCK", 4)
-    monkeypatch.setattr(setsketch, "FAN", 2)
-    monkeypatch.setattr(setsketch, "BROADCAST_PAIRS", 0)
+    monkeypatch.setattr(set_pairs, "FAN", 2)
+    monkeypatch.setattr(set_pairs, "BROADCAST_PAIRS", 0)
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.id: (r.n_shingles, r.component_id, r.kept) for r in setsketch.components(frame).collect()}
     assert got == plain_components(rows, setsketch.ALIKE)
