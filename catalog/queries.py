@@ -94,7 +94,10 @@ def _folder(spark: SparkSession, kind: str) -> str:
 
 @query
 def full_scan(spark, d):
-    return view(spark, d, "fx_source_snapshot")
+    """Every row of an export, written as JSON lines and read back by the reader."""
+    path, rows = _folder(spark, "export"), view(spark, d, "fx_source_snapshot")
+    rows.write.json(path)
+    return snapshots.read_export(spark, path, rows.columns, lines=True)
 
 
 @query

@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.operators import alerts, audit, crosswalk, dedupe, dictionary, intake, matching, normalize, providers, publish, upsert
+from rollcall.operators import alerts, audit, buckets, crosswalk, dedupe, dictionary, intake, matching, normalize, providers, publish, upsert
 from rollcall.schema import INSTANCE, INSTRUMENT, KEY, KEYS_PER_BATCH, NPI, PROVIDER, RECORD, ROW
 from rollcall.session import cut
 from rollcall.sources.sinks import write_counted, write_dictionary, write_report, write_table
@@ -84,8 +84,31 @@ def sync(
 
 def apply_rows(table: DataFrame, rows: DataFrame) -> DataFrame:
     """Registry table after an overwriting import of published rows, base and repeats."""
-    payload = rows.drop(publish.BATCH, *publish.FRAME).withColumn(KEY, F.col(KEY).cast(table.schema[KEY].dataType))
-    return upsert.upsert(table, payload, [KEY, INSTRUMENT, INSTANCE])
+    return upsert.upsert(table, _payload(rows, dict(table.dtypes)[KEY]), [KEY, INSTRUMENT, INSTANCE])
+
+
+def _payload(rows: DataFrame, kind: str) -> DataFrame:
+    return rows.drop(publish.BATCH, *publish.FRAME).withColumn(KEY, F.col(KEY).cast(kind))
+
+
+def keep_registry(registry: DataFrame, path: str, rows_per_bucket: int = buckets.ROWS) -> None:
+    """Store the registry in key buckets, for ``import_rows`` and ``remove_ids``."""
+    buckets.create(registry, path, KEY, rows_per_bucket)
+
+
+def import_rows(rows: DataFrame, path: str) -> list[int]:
+    """Overwriting import of published rows, base and repeats, into a stored registry; rewrites the touched buckets alone."""
+    spark = rows.sparkSession
+    kind = dict(buckets.read(spark, path).dtypes)[KEY]
+    return buckets.merge(spark, path, _payload(rows, kind), [KEY, INSTRUMENT, INSTANCE])
+
+
+def remove_ids(ids: DataFrame, path: str, out: str) -> list[int]:
+    """Take ids out of a stored registry, with a receipt of the rows that each removed; rewrites the touched buckets alone."""
+    spark = ids.sparkSession
+    named = buckets.touched(ids, buckets.bounds(spark, path))
+    write_report(upsert.delete_receipt(buckets.read(spark, path, named), ids), f"{out}/receipt", [KEY])
+    return buckets.delete(spark, path, ids)
 
 
 def on_base(registry: DataFrame, payload: DataFrame) -> DataFrame:

@@ -9,7 +9,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rollcall.operators import buckets, numbering, upsert
-from rollcall.schema import KEY
+from rollcall.plans import jobs
+from rollcall.schema import INSTANCE, INSTRUMENT, KEY
 
 SCHEMA = f"{KEY} long, mrn string, note string"
 
@@ -63,6 +64,26 @@ def test_deleting_a_whole_bucket_and_keys_out_of_order(spark, tmp_path):
     assert (rows["abc"], rows[""], rows["90"]) == ("z", "s", "u")
 
 
+def test_published_rows_into_a_stored_registry(spark, tmp_path):
+    names = [KEY, INSTRUMENT, INSTANCE, "q"]
+    make = lambda rows: spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
+    table = make([(str(k), "", "", "old") for k in range(1, 101)] + [("50", "v", "1", "keep"), ("50", "v", "2", "x")])
+    path = str(tmp_path / "registry")
+    jobs.keep_registry(table, path, rows_per_bucket=20)
+    rows = make([("50", "", "", ""), ("50", "v", "2", "new"), ("51", "v", "1", "new"), ("500", "", "", "added")]).withColumns({"batch_id": F.lit(1), "opens": F.lit(True)})
+    before = files(tmp_path / "registry")
+    named = jobs.import_rows(rows, path)
+    after = files(tmp_path / "registry")
+    assert {d for d in before if before[d] != after[d]} == {f"bucket={n}" for n in named} and len(named) < len(before)
+    want = jobs.apply_rows(table, rows)
+    assert sorted(map(tuple, buckets.read(spark, path).collect())) == sorted(map(tuple, want.collect()))
+    ids = spark.createDataFrame([("50",), ("7",), ("900",)], f"{KEY} string")
+    jobs.remove_ids(ids, path, str(tmp_path))
+    assert {r[KEY] for r in buckets.read(spark, path).collect()} == {str(k) for k in range(1, 101)} - {"50", "7"} | {"500"}
+    receipt = spark.read.option("header", True).csv(str(tmp_path / "receipt"))
+    assert {(r[KEY], r.n_rows) for r in receipt.collect()} == {("50", "3"), ("7", "1"), ("900", "0")}
+
+
 def test_empty_tables_and_payloads(spark, tmp_path):
     path = str(tmp_path / "a")
     buckets.create(table(spark, 0), path)
