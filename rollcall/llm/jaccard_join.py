@@ -154,26 +154,85 @@ def classes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
     )
 
 
+def repeated(found: DataFrame) -> DataFrame:
+    """Stored column ``key``: prefix tokens that two classes have at least.
+
+    Tokens cross the shuffle as packed arrays, each once or twice for a batch of classes, so a token that very many classes
+    share is no more in one task than there are batches; counts and classes stay behind.
+    """
+    parts = shuffle_parts(found.sparkSession)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            raw, _ = utf8(b.column("prefix"))
+            tokens, times = np.unique(np.frombuffer(raw.tobytes(), np.uint64), return_counts=True)
+            tokens = np.concatenate((tokens, tokens[times > 1]))
+            part = (words.mix(tokens) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            ends = np.cumsum(np.bincount(part, minlength=parts))
+            cells = [x.tobytes() for x in np.split(tokens[order], ends[:-1])]
+            yield pa.record_batch({"part": pa.array(range(parts), pa.int32()), "tokens": pa.array(cells, pa.binary())})
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.empty(0, np.uint64)]
+        for b in batches:
+            held.append(np.frombuffer(utf8(b.column("tokens"))[0].tobytes(), np.uint64))
+        every = np.sort(np.concatenate(held))
+        yield pa.record_batch({"key": pa.array(np.unique(every[1:][every[1:] == every[:-1]]).view(np.int64))})
+
+    packed = found.select("prefix").mapInArrow(pack, "part int, tokens binary")
+    return cut(packed.repartitionById(parts, F.col("part")).select("tokens").mapInArrow(meet, "key long"))
+
+
 def entries(found: DataFrame) -> DataFrame:
-    """Index entries of tokens that two classes share at least, with the length of their list."""
+    """Index entries of tokens that two classes share at least, with the length of their list.
+
+    A filter of the repeated tokens keeps the others from being written (up to ``screen.BROADCAST_BYTES``; beyond it the join does).
+    """
+    shared = repeated(found)
+    n = shared.count()
+    few = n * 9 // 8 * 1.5 <= screen.BROADCAST_BYTES
+    shards = max(1, -(-n // screen.SHARD_KEYS))
+    held = None
+    if few:
+        keyed = shared.withColumn("shard", F.pmod("key", F.lit(shards)).cast("int"))
+        made = {r["shard"]: (*tuple(r)[1:4], bytes(r["table"])) for r in screen.filters(keyed, ["shard"]).collect()}
+        held = found.sparkSession.sparkContext.broadcast(made)
+
+    def met(tokens: np.ndarray) -> np.ndarray:
+        if held is None:
+            return np.ones(len(tokens), bool)
+        keep = np.zeros(len(tokens), bool)
+        shard = tokens % shards
+        for k, f in held.value.items():
+            own = np.flatnonzero(shard == k)
+            keep[own] = fuse.might_hold(tokens[own].view(np.uint64), *f)
+        return keep
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            tokens, at = utf8(b.column("prefix"))
+            raw, at = utf8(b.column("prefix"))
+            tokens = np.frombuffer(raw.tobytes(), np.int64)
             size = np.diff(at) // 8
             row = np.repeat(np.arange(len(size)), size)
+            pos = (np.arange(len(row)) - (at[:-1] // 8)[row]).astype(np.int32)
+            keep = np.flatnonzero(met(tokens))
             yield pa.record_batch(
                 {
-                    "token": pa.array(np.frombuffer(tokens.tobytes(), np.int64)),
-                    "cid": pa.array(b.column("cid").to_numpy()[row]),
-                    "n": pa.array(b.column("n").to_numpy()[row]),
-                    "pos": pa.array((np.arange(len(row)) - (at[:-1] // 8)[row]).astype(np.int32)),
+                    "token": pa.array(tokens[keep]),
+                    "cid": pa.array(b.column("cid").to_numpy()[row[keep]]),
+                    "n": pa.array(b.column("n").to_numpy()[row[keep]]),
+                    "pos": pa.array(pos[keep]),
                 }
             )
 
     every = found.select("prefix", "cid", "n").mapInArrow(read, _ENTRY)
-    shared = every.groupBy("token").agg(F.count("*").alias("cnt")).filter("cnt > 1")
-    return cut(every.join(shared, "token"))
+    if few:
+        every = cut(every)
+    else:
+        every = attach(every, shared.select(F.col("key").alias("token")), ["token"], "inner")
+    lengths = every.groupBy("token").agg(F.count("*").alias("cnt")).filter("cnt > 1")
+    return cut(attach(every, lengths, ["token"], "inner").select("token", "cid", "n", "pos", "cnt"))
 
 
 def _can_link(a: str, b: str) -> Column:
