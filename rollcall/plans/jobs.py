@@ -14,7 +14,7 @@ from rollcall.operators import alerts, audit, buckets, crosswalk, dedupe, dictio
 from rollcall.schema import INSTANCE, INSTRUMENT, KEY, KEYS_PER_BATCH, NPI, PROVIDER, RECORD, ROW
 from rollcall.session import cut
 from rollcall.sources.sinks import write_counted, write_dictionary, write_report, write_table
-from rollcall.sources.snapshots import land, one_record
+from rollcall.sources.snapshots import land, one_record, range_boundaries, read_ranges
 
 
 def _back(df: DataFrame, path: str) -> DataFrame:
@@ -87,6 +87,29 @@ def apply_rows(table: DataFrame, rows: DataFrame) -> DataFrame:
     return upsert.upsert(table, _payload(rows, dict(table.dtypes)[KEY]), [KEY, INSTRUMENT, INSTANCE])
 
 
+def sync_database(
+    registry: DataFrame,
+    url: str,
+    table: str,
+    ignored: list[str] | DataFrame,
+    allowed: list[str],
+    stamp: str,
+    out: str,
+    tasks: int = 64,
+    unreadable: str | None = None,
+    options: dict[str, str] | None = None,
+    **more: object,
+) -> dict[str, str]:
+    """``sync`` of a source that is a database table, read by ranges of the record ids that the registry knows.
+
+    The ids are dealt into ``tasks`` ranges of equal size, so each connection reads about as many known records; ids below the first, missing and
+    unreadable ones have a range of their own, so every row is read once. ``options`` go to the connection, ``more`` to ``sync``.
+    """
+    cuts = range_boundaries(registry, tasks=tasks)
+    source = read_ranges(registry.sparkSession, url, table, cuts, RECORD, unreadable, **(options or {}))
+    return sync(registry, source, ignored, allowed, stamp, out, **more)
+
+
 def _payload(rows: DataFrame, kind: str) -> DataFrame:
     return rows.drop(publish.BATCH, *publish.FRAME).withColumn(KEY, F.col(KEY).cast(kind))
 

@@ -225,5 +225,5 @@ def range_predicates(boundaries: DataFrame, column: str = RECORD, unreadable: st
 def read_ranges(
     spark: SparkSession, url: str, table: str, boundaries: DataFrame, column: str = RECORD, unreadable: str | None = None, **options: str
 ) -> DataFrame:
-    """Source table read range by range and united; ``unreadable`` as in ``range_predicates``. No job calls it."""
+    """Source table read range by range and united; ``unreadable`` as in ``range_predicates``. ``jobs.sync_database`` starts with it."""
     return read_jdbc(spark, url, table, range_predicates(boundaries, column, unreadable), **options)

@@ -117,6 +117,32 @@ def test_sync_lands_once_and_writes_arrays(spark, tmp_path):
     assert stages["new_ids"] == read["mapping"].filter("step = 5").count()
 
 
+def test_sync_of_a_table_read_by_ranges(spark, tmp_path, monkeypatch):
+    registry, source = random_case(13)
+    table = source_frame(spark, source).withColumn("survey_queue_link", F.lit("l"))
+    asked = []
+
+    def read_jdbc(spark_, url, name, predicates, **options):
+        asked.append((url, name, predicates, options))
+        parts = [table.filter(p) for p in predicates]
+        whole = parts[0]
+        for p in parts[1:]:
+            whole = whole.unionByName(p)
+        return whole
+
+    monkeypatch.setattr(snapshots, "read_jdbc", read_jdbc)
+    allowed = [KEY, RECORD, INSTRUMENT, INSTANCE, "first_name"]
+    people = registry_frame(spark, registry)
+    odd = f"NOT {RECORD} RLIKE '^[0-9]+$'"
+    paths = jobs.sync_database(people, "jdbc:none", "records", [], allowed, "now", str(tmp_path / "a"), tasks=4, unreadable=odd, options={"fetchsize": "9"})
+    (url, name, predicates, options), = asked
+    assert (url, name, options) == ("jdbc:none", "records", {"fetchsize": "9"}) and 4 <= len(predicates) <= 6
+    assert spark.read.parquet(paths["source_in"]).count() == len(source)
+    other = jobs.sync(people, table, [], allowed, "now", str(tmp_path / "b"))
+    rows = lambda p: sorted(map(tuple, spark.read.parquet(p["mapping"]).collect()))
+    assert rows(paths) == rows(other)
+
+
 # --- counts, skipping, listing ---------------------------------------------------------------
 
 
