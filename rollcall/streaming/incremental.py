@@ -11,6 +11,7 @@ from rollcall.functions.text import key_text
 from rollcall.operators.lookup import attach
 from rollcall.operators.normalize import blank_nulls
 from rollcall.schema import RECORD, all_strings
+from rollcall.sources.snapshots import CORRUPT
 
 SNAPSHOT = "snapshot"
 
@@ -32,16 +33,24 @@ def sync_arrivals(
     fields: list[str],
     handle: Callable[[DataFrame, int], None],
     checkpoint: str,
+    quarantine: str | None = None,
 ) -> None:
     """Hand each micro-batch of new files under ``folder/snapshot=<date>/`` to ``handle``.
 
-    Files hold JSON lines. The run ends when all files present have been handled. A batch
+    Files hold JSON lines. A cut-off line ends the run, or with ``quarantine`` goes to the folder of its batch there
+    (snapshot, raw text) and gives no row. The run ends when all files present have been handled. A batch
     repeated after a failure gets the same number, and the sync overwrites, so ``handle``
     writing to a path with that number is safe to repeat.
     """
-    stream = spark.readStream.schema(all_strings([*fields, SNAPSHOT])).json(folder)
+    names = [*fields, SNAPSHOT] if quarantine is None else [*fields, SNAPSHOT, CORRUPT]
+    reader = spark.readStream.schema(all_strings(names)).option("columnNameOfCorruptRecord", CORRUPT)
+    stream = reader.option("mode", "FAILFAST" if quarantine is None else "PERMISSIVE").json(folder)
 
     def each(batch: DataFrame, number: int) -> None:
+        if quarantine is not None:
+            held = batch.filter(F.col(CORRUPT).isNotNull()).select(SNAPSHOT, F.col(CORRUPT).alias("raw"), fields[0])
+            held.write.mode("overwrite").parquet(f"{quarantine}/batch={number}")
+            batch = batch.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
         handle(newest_rows(blank_nulls(batch)), number)
 
     running = (

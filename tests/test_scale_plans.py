@@ -13,7 +13,7 @@ from rollcall.plans import jobs
 from rollcall.schema import INSTANCE, INSTRUMENT, KEY, LAB, RECORD, ROW
 from rollcall.session import cut
 from rollcall.sources import sinks, snapshots
-from rollcall.streaming.incremental import send_arrivals
+from rollcall.streaming.incremental import send_arrivals, sync_arrivals
 from tests.people import random_case, registry_frame, source_frame
 
 SF = "/root/testdata/sf0.01"
@@ -200,6 +200,18 @@ def test_cut_off_uploads_are_set_aside(spark, tmp_path):
     assert [r.raw for r in held.collect()] == ["8,M2,Ng"]
 
 
+def test_cut_off_lines_that_arrive(spark, tmp_path):
+    (day := tmp_path / "in" / "snapshot=2024-01-01").mkdir(parents=True)
+    (day / "a.json").write_text('{"record_id":"1","x":"y"}\n{"record_id":"2",\n{"record_id":"3"}\n')
+    seen = []
+    handle = lambda rows, number: seen.extend((number, r[RECORD], r.x) for r in rows.collect())
+    sync_arrivals(spark, str(tmp_path / "in"), [RECORD, "x"], handle, str(tmp_path / "ck"), str(tmp_path / "q"))
+    assert sorted(seen) == [(0, "1", "y"), (0, "3", "")]
+    assert [(r.raw, r.batch) for r in spark.read.parquet(str(tmp_path / "q")).collect()] == [('{"record_id":"2",', 0)]
+    with pytest.raises(Exception, match="(?i)malformed|failed"):
+        sync_arrivals(spark, str(tmp_path / "in"), [RECORD, "x"], handle, str(tmp_path / "ck2"))
+
+
 # --- alerts, dictionaries -----------------------------------------------------------------------------
 
 
