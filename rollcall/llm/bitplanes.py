@@ -55,7 +55,7 @@ _GAPS = " \t\n\r\x0b\x0c"
 _IS_GAP = np.zeros(256, bool)
 _IS_GAP[[ord(c) for c in _GAPS]] = True
 #: Bytes of text that are encoded at once.
-SLICE = 4 << 20
+SLICE = 8 << 20
 
 
 class _Memory:
