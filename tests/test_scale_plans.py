@@ -33,6 +33,28 @@ def test_first_rows_are_limited_before_the_shuffle(spark):
     assert "SortAggregate" not in plan_of(normalize.first_values(raw, [RECORD, "age", "note"]))
 
 
+def test_whole_rows_are_neither_sorted_nor_moved(spark):
+    rows = [("1", "", "", "a"), ("2", "", "", "b"), ("2", "v", "1", None), ("3", "v", "1", "c"), ("4", "", "", None), (None, "", "", "d")]
+    df = spark.createDataFrame(rows, f"{RECORD} string, {INSTRUMENT} string, {INSTANCE} string, x string")
+    first, open_ = normalize.whole_rows(df, [RECORD, "x"])
+    assert not any(x in plan_of(first) for x in ("Sort", "Window", "Exchange"))
+    assert {tuple(r) for r in first.collect()} == {("1", "a"), ("2", "b"), (None, "d")}
+    assert {r[0] for r in open_.collect()} == {"3", "4"}
+    more = df.unionByName(spark.createDataFrame([("1", "", "", "0"), (None, "", "", "0")], df.schema))
+    first, open_ = normalize.whole_rows(more, [RECORD, "x"])
+    assert {tuple(r) for r in first.collect()} == {("1", "0"), ("2", "b"), (None, "0")} and open_.count() == 2
+
+
+def test_links_are_aggregated_for_mapped_records_alone(spark):
+    rows = [(str(k), "", i, f"l{k}{i}") for k in range(9) for i in ("1", "0")]
+    source = spark.createDataFrame(rows, f"{RECORD} string, {INSTRUMENT} string, {INSTANCE} string, survey_queue_link string")
+    mapping = spark.createDataFrame([("3", 1), ("3", 2), ("x", 3)], f"{RECORD} string, {KEY} long")
+    linked = publish.add_links(mapping, source)
+    plan = plan_of(linked)
+    assert "Join" in plan[plan.rindex("SortAggregate") :]
+    assert sorted(tuple(r) for r in linked.select(KEY, "r4_survey_queue_link").collect()) == [(1, "l30"), (2, "l30"), (3, None)]
+
+
 def test_collapse_by_rule(spark):
     rows = [
         ("1", "", "", None, "b"), ("1", "v", "2", "late", "x"), ("1", "v", "1", "early", "x"),  # null in the base row
