@@ -23,7 +23,6 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
@@ -31,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from rollcall.llm import words
-from rollcall.llm.common import free_name, slices, utf8
+from rollcall.llm.common import slices, utf8
 
 SHINGLE = 5
 HASHES = 64
@@ -186,25 +185,26 @@ def matches(
     return out.select(F.col("id").alias(id_col), F.col("item").alias(item_id_col), "n_item", "n_shared")
 
 
-def _holds(held: Broadcast):
-    @F.pandas_udf("boolean")
-    def holds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _without(held: Broadcast, at: int):
+    """Batches without the rows whose text, column ``at``, holds an item; no text becomes a Python string."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()  # what the worker's last task left
         index = Search(held.value)
-        for s in batches:
-            hit = np.zeros(len(s), bool)
-            hit[[m[0] for m in index.find(pa.array(s, pa.large_string(), from_pandas=True))]] = True
-            yield pd.Series(hit)
+        for b in batches:
+            stay = np.ones(b.num_rows, bool)
+            stay[[m[0] for m in index.find(b.column(at))]] = False
+            yield b if stay.all() else b.filter(pa.array(stay))
 
-    return holds
+    return keep
 
 
 def without_items(
     docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text"
 ) -> DataFrame:
     """``docs`` without the rows that hold a test item."""
-    flag = free_name(docs.columns, "_held")
+    at = [c.lower() for c in docs.columns].index(text_col.lower())
     out = docs
     for _, texts in _item_blocks(items, item_id_col, item_text_col):
-        holds = _holds(docs.sparkSession.sparkContext.broadcast(texts))
-        out = out.withColumn(flag, holds(F.coalesce(F.col(text_col), F.lit("")))).filter(~F.col(flag)).drop(flag)
+        out = out.mapInArrow(_without(docs.sparkSession.sparkContext.broadcast(texts), at), docs.schema)
     return out

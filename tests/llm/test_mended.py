@@ -9,7 +9,7 @@ import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rollcall.llm import cross_parse, exact_dedup, license_scan, nbsvm, piece_viterbi, surrogates
+from rollcall.llm import cross_parse, decontaminate, exact_dedup, license_scan, nbsvm, piece_viterbi, surrogates
 from tests.test_skew import final_plan, splitting  # noqa: F401
 
 
@@ -110,3 +110,13 @@ def test_a_hot_text_is_split(splitting):  # noqa: F811
     kept = marked.filter("dedup.kept")
     assert kept.count() == docs.select("text").distinct().count()
     assert kept.filter("dedup.group_size = 30000").first().doc_id == 59_998
+
+
+def test_items_are_taken_out_of_arrow_batches(spark):
+    item = "one two three four five six seven"
+    rows = [(1, f"before {item} after", "x"), (2, None, "y"), (3, "nothing of that", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    left = decontaminate.without_items(docs, spark.createDataFrame([(9, item), (8, None)], "item_id long, text string"))
+    assert sorted(map(tuple, left.collect()), key=str) == sorted(rows[1:], key=str)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
