@@ -13,10 +13,13 @@
    block pairs that still hold two labels are opened, so that no link is lost.
    ``components`` works so: the links inside a group that has one label are not looked for. ``links`` and ``link_counts``
    leave this step out and test every pair of the opened blocks, so they give all links, at a cost of up to the square of a group.
-5. A tested pair is decided on the whole sets: 100 * intersection >= 75 * union.
+5. *Parity.* A class has a bitmap in which each of its tokens turns one bit over. Every bit in which two bitmaps differ stands for a
+   token that only one of the sets holds, so two sets whose bitmaps differ in more than a seventh of their sizes together
+   cannot link; only pairs that pass go on. It is a bound, not a sketch: it drops no link.
+6. A tested pair is decided on the whole sets: 100 * intersection >= 75 * union.
 
 Blocks and their pairs have bounded size (``BLOCK``), so a token that a third of all rows share is many small tasks. Sets are
-kept as 64-bit shingle hashes; only sets that the index proposes are stored.
+kept as 64-bit shingle hashes; only sets of pairs that pass 5, or that meet in long lists, are stored.
 
 Cases: null and empty texts have no shingles, link with nothing and are their own component. Repeated rows are one class.
 A null id counts as missing: a component's id is the smallest id that is not null. An empty table gives an empty result.
@@ -35,7 +38,7 @@ from pyspark.sql import functions as F
 from rollcall.llm import fuse, screen, words
 from rollcall.llm.common import cut, free_name, shuffle_parts, slices, snug, utf8
 from rollcall.llm.components import stars
-from rollcall.llm.set_pairs import confirmed
+from rollcall.llm.set_pairs import BROADCAST_PAIRS, confirmed
 from rollcall.operators.lookup import attach
 
 SHINGLE = 5
@@ -71,6 +74,15 @@ def prefix_length(n: int) -> int:
     return n - -(-3 * n // 4) + 1 if n else 0
 
 
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """Bitmap of a set in longs, of two to four bits a token; a longer one folds to the next shorter by an exclusive or of its halves."""
+    size = 64
+    while size < 2 * len(tokens):
+        size *= 2
+    odd = np.bincount((words.mix(tokens) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
@@ -128,28 +140,37 @@ def facts(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
 
 
 def classes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """Stored (cid, k1, k2, n, id, prefix): distinct sets with their smallest id and ordered prefix."""
+    """Stored (cid, k1, k2, n, id, prefix, bits): distinct sets with their smallest id, ordered prefix and ``parity``."""
     held = docs.sparkSession.sparkContext.broadcast(counts)
     kind = dict(docs.dtypes)["id"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows, prefixes = [], []
+            rows, prefixes, bits = [], [], [np.empty(0, np.int64)]
             for tokens in token_sets(b.column("text")):
                 common = held.value[(tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
                 order = np.lexsort((tokens, common))[: prefix_length(len(tokens))]
                 prefixes.append(tokens[order].tobytes())
+                bits.append(parity(tokens))
                 rows.append((len(tokens), *class_key(tokens)))
             n, k1, k2 = zip(*rows, strict=True) if rows else ((), (), ())
+            at = pa.array(np.cumsum([len(x) for x in bits]), pa.int32())
             yield pa.record_batch(
-                {"id": b.column("id"), "n": pa.array(n, pa.int32()), "k1": pa.array(k1, pa.int64()), "k2": pa.array(k2, pa.int64()), "prefix": pa.array(prefixes, pa.binary())}
+                {
+                    "id": b.column("id"),
+                    "n": pa.array(n, pa.int32()),
+                    "k1": pa.array(k1, pa.int64()),
+                    "k2": pa.array(k2, pa.int64()),
+                    "prefix": pa.array(prefixes, pa.binary()),
+                    "bits": pa.ListArray.from_arrays(at, pa.array(np.concatenate(bits))),
+                }
             )
 
     return cut(
-        docs.mapInArrow(read, f"id {kind}, n int, k1 long, k2 long, prefix binary")
+        docs.mapInArrow(read, f"id {kind}, n int, k1 long, k2 long, prefix binary, bits array<long>")
         .filter("n > 0")
         .groupBy("k1", "k2", "n")
-        .agg(F.min("id").alias("id"), F.first("prefix").alias("prefix"))
+        .agg(F.min("id").alias("id"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
         .withColumn("cid", F.monotonically_increasing_id())
     )
 
@@ -243,6 +264,32 @@ def _can_link(a: str, b: str) -> Column:
     )
 
 
+def _alike(a: str, b: str) -> Column:
+    """Parity test of two sets (n, bits): false only if they cannot link.
+
+    Sets that may link by size have bitmaps of one length, or one of twice the other, which is folded; others give null, no pair either.
+    """
+    x, y = (
+        f"IF(size({p}.bits) > size({q}.bits), zip_with(slice({p}.bits, 1, size({q}.bits)), slice({p}.bits, size({q}.bits) + 1, size({q}.bits)), (g, h) -> g ^ h), {p}.bits)"
+        for p, q in ((a, b), (b, a))
+    )
+    return F.expr(f"7L * aggregate(zip_with({x}, {y}, (g, h) -> bit_count(g ^ h)), 0, (g, h) -> g + h) <= {a}.n + {b}.n")
+
+
+def maps_of(found: DataFrame, pairs: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Stored (cid, k1, k2, n, bits) of the classes in ``pairs`` (a, b) and ``blocks``."""
+    ids = cut(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).union(blocks.select("cid")).distinct())
+    few = ids.count() <= BROADCAST_PAIRS  # then the classes stay where they are stored
+    return snug(cut(found.select("cid", "k1", "k2", "n", "bits").join(F.broadcast(ids) if few else ids, "cid", "left_semi")))
+
+
+def likely(pairs: DataFrame, maps: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) that pass the parity test of ``maps`` (cid, n, bits)."""
+    for end in "ab":
+        pairs = attach(pairs, maps.select(F.col("cid").alias(end), F.struct("n", "bits").alias(f"_{end}")), [end], "inner")
+    return pairs.filter(_alike("_a", "_b")).select("a", "b")
+
+
 def short_pairs(index: DataFrame) -> DataFrame:
     few = index.filter(F.col("cnt") <= SHORT)
     a, b = few.alias("a"), few.alias("b")
@@ -307,18 +354,19 @@ def leader_pairs(blocks: DataFrame, turn: int) -> DataFrame:
     return pairs.select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b")).distinct()
 
 
-def open_pairs(blocks: DataFrame) -> DataFrame:
-    """Entry pairs of different labels in all block pairs that cannot be skipped."""
+def open_pairs(blocks: DataFrame, maps: DataFrame) -> DataFrame:
+    """Entry pairs of different labels in all block pairs that cannot be skipped, as far as they pass the parity test of ``maps``."""
     pairs = block_pairs(blocks, labelled=True)
-    e = blocks.select("token", "block", "cid", "n", "pos", "label")
+    e = attach(blocks.select("token", "block", "cid", "n", "pos", "label"), maps.select("cid", "bits"), ["cid"], "inner")
     first = pairs.join(e.withColumnRenamed("block", "one"), ["token", "one"])
-    first = first.select("token", "one", "two", F.struct("cid", "n", "pos", "label").alias("x"))
-    second = e.select("token", F.col("block").alias("two"), F.struct("cid", "n", "pos", "label").alias("y"))
+    first = first.select("token", "one", "two", F.struct("cid", "n", "pos", "label", "bits").alias("x"))
+    second = e.select("token", F.col("block").alias("two"), F.struct("cid", "n", "pos", "label", "bits").alias("y"))
     a, b = first.alias("f"), second.alias("s")
     met = a.join(
         b,
         F.expr("f.token = s.token AND f.two = s.two AND f.x.label <> s.y.label AND (f.one < f.two OR f.x.cid < s.y.cid)")
-        & _can_link("f.x", "s.y"),
+        & _can_link("f.x", "s.y")
+        & _alike("f.x", "s.y"),
     )
     return met.select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct()
 
@@ -368,17 +416,20 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     long_ = cut(in_blocks(index))
     opened = block_pairs(long_, labelled=False)
     blocks = cut(partnered(long_, opened))
+    maps = maps_of(found, direct, blocks)
+    direct = snug(cut(likely(direct, maps)))
     named = direct.select(F.col("a").alias("cid")).union(direct.select("b")).union(blocks.select("cid")).distinct()
-    sets = sets_of(docs, cut(found.select("cid", "k1", "k2").join(named, "cid", "left_semi")))
+    sets = sets_of(docs, cut(maps.select("cid", "k1", "k2").join(named, "cid", "left_semi")))
 
     star = None
     for turn in range(ROUNDS):
-        tested = cut(leader_pairs(_label(blocks, star), turn))
+        met = cut(leader_pairs(_label(blocks, star), turn))
+        tested = likely(met, maps)
         edges = confirmed(tested if turn else tested.union(direct).distinct(), sets, ALIKE)
         star = stars(edges if star is None else edges.union(star))
-        if edges.count() < STALE * tested.count():
+        if edges.count() < STALE * met.count():
             break
-    star = stars(confirmed(open_pairs(cut(_label(blocks, star))), sets, ALIKE).union(star))
+    star = stars(confirmed(open_pairs(cut(_label(blocks, star)), maps), sets, ALIKE).union(star))
 
     own = found.select("cid", "k1", "k2", "id").join(star.select(F.col("u").alias("cid"), "v"), "cid", "left")
     own = own.withColumn("label", F.coalesce("v", "cid"))
@@ -396,7 +447,9 @@ def _class_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     index = entries(found)
     long_ = cut(in_blocks(index))
     blocks = cut(_label(partnered(long_, block_pairs(long_, labelled=False)), None))
-    pairs = cut(short_pairs(index).union(open_pairs(blocks)).distinct())
+    direct = cut(short_pairs(index))
+    maps = maps_of(found, direct, blocks)
+    pairs = cut(likely(direct, maps).union(open_pairs(blocks, maps)).distinct())
     named = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
     sets = sets_of(docs, cut(found.select("cid", "k1", "k2").join(named, "cid", "left_semi")))
     return rows, found, confirmed(pairs, sets, ALIKE)
