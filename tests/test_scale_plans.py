@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from catalog.fixtures import view
 from rollcall.operators import alerts, audit, files, matching, normalize, publish
+from rollcall.operators.numbering import number_rows
 from rollcall.plans import jobs
 from rollcall.schema import INSTANCE, INSTRUMENT, KEY, LAB, RECORD, ROW
 from rollcall.session import cut
@@ -45,6 +46,30 @@ def test_whole_rows_are_neither_sorted_nor_moved(spark):
     assert {tuple(r) for r in first.collect()} == {("1", "0"), ("2", "b"), (None, "0")} and open_.count() == 2
 
 
+def test_few_numbered_rows_are_stored_in_few_parts(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "150")
+    try:
+        out = number_rows(spark.range(3000, 0, -1).withColumnRenamed("id", "k"), ["k"])
+        assert out.rdd.getNumPartitions() < 50
+        assert [tuple(r) for r in out.orderBy("k").collect()] == [(k, k) for k in range(1, 3001)]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_keys_without_base_rows_are_found_without_a_join(spark):
+    rows = [("1", "", "", "a"), ("2", "v", "1", "b"), ("3", "", "0", None), ("1", "v", "2", None)]
+    df = spark.createDataFrame(rows, f"{RECORD} string, {INSTRUMENT} string, {INSTANCE} string, x string")
+    joins = []
+    held, normalize.attach = normalize.attach, lambda *a, **k: joins.append(a) or held(*a, **k)
+    try:
+        first, open_ = normalize.whole_rows(df, [RECORD, "x"])
+    finally:
+        normalize.attach = held
+    assert not joins
+    assert [tuple(r) for r in first.collect()] == [("1", "a")] and {r[0] for r in open_.collect()} == {"2", "3"}
+
+
 def test_links_are_aggregated_for_mapped_records_alone(spark):
     rows = [(str(k), "", i, f"l{k}{i}") for k in range(9) for i in ("1", "0")]
     source = spark.createDataFrame(rows, f"{RECORD} string, {INSTRUMENT} string, {INSTANCE} string, survey_queue_link string")

@@ -14,6 +14,12 @@ def values(spark, fn, cells):
     return [r.v for r in df.select("i", fn(F.col("c")).alias("v")).orderBy("i").collect()]
 
 
+def test_texts_with_white_space_in_odd_places(spark):
+    cells = [" ", "~ ", " !", "a\u00a0", "\u3000 a", " a\t ", "\x1f nan \x85", "é", " é ", "a b", "nan nan", "banana", " \u2003NaN", "NAN\x1c", None, "\x7f"]
+    assert values(spark, text.strip, cells) == [c if c is None else c.strip() for c in cells]
+    assert values(spark, text.blank_missing, cells) == ["" if c is None or c.strip().lower() == "nan" else c for c in cells]
+
+
 def test_strip_is_pythons_strip(spark):
     cells = [" a ", "\t\nB b\r", " x　", "", "  ", "in side", " \x1cé\x1f"]
     assert values(spark, text.strip, cells) == [c.strip() for c in cells]
