@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from rollcall.llm import words
-from rollcall.llm.common import slices, utf8
+from rollcall.llm.common import slices, tidy, utf8
 
 SHINGLE = 5
 HASHES = 64
@@ -181,7 +181,7 @@ def matches(
                     ["id", "item", "n_item", "n_shared"],
                 )
 
-        out = out.union(rows.mapInArrow(search, schema))
+        out = out.union(rows.mapInArrow(tidy(search), schema))
     return out.select(F.col("id").alias(id_col), F.col("item").alias(item_id_col), "n_item", "n_shared")
 
 
@@ -189,14 +189,13 @@ def _without(held: Broadcast, at: int):
     """Batches without the rows whose text, column ``at``, holds an item; no text becomes a Python string."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pa.default_memory_pool().release_unused()  # what the worker's last task left
         index = Search(held.value)
         for b in batches:
             stay = np.ones(b.num_rows, bool)
             stay[[m[0] for m in index.find(b.column(at))]] = False
             yield b if stay.all() else b.filter(pa.array(stay))
 
-    return keep
+    return tidy(keep)
 
 
 def without_items(

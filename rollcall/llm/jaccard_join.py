@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm import fuse, screen, words
-from rollcall.llm.common import cut, free_name, shuffle_parts, slices, snug, utf8
+from rollcall.llm.common import cut, free_name, shuffle_parts, slices, snug, tidy, utf8
 from rollcall.llm.components import stars
 from rollcall.llm.set_pairs import BROADCAST_PAIRS, confirmed
 from rollcall.operators.lookup import attach
@@ -128,11 +128,11 @@ def facts(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
             {"part": pa.array(list(total), pa.int32()), "counts": pa.array([press.compress(x.tobytes()) for x in total.values()], pa.binary())}
         )
 
-    read_rows = cut(docs.mapInArrow(read, f"id {kind}, n int, k1 long, k2 long, part int, counts binary"))
+    read_rows = cut(docs.mapInArrow(tidy(read), f"id {kind}, n int, k1 long, k2 long, part int, counts binary"))
     sketched = read_rows.filter("part IS NOT NULL").select("part", "counts", F.spark_partition_id().alias("task"))
     for keys in (("part", "task"), ("part",)):  # first within some tasks' results, then all of a part
         salt = [F.pmod(F.hash(F.col(k)), F.lit(64)) for k in keys[1:]]
-        sketched = sketched.repartition(shuffle_parts(docs.sparkSession), "part", *salt).select("part", "counts").mapInArrow(add, "part int, counts binary").withColumn("task", F.lit(0))
+        sketched = sketched.repartition(shuffle_parts(docs.sparkSession), "part", *salt).select("part", "counts").mapInArrow(tidy(add), "part int, counts binary").withColumn("task", F.lit(0))
     counts = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.int64)
     for row in sketched.collect():
         counts[row["part"]] += np.frombuffer(zstandard.ZstdDecompressor().decompress(row["counts"]), np.int64)
@@ -167,7 +167,7 @@ def classes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
             )
 
     return cut(
-        docs.mapInArrow(read, f"id {kind}, n int, k1 long, k2 long, prefix binary, bits array<long>")
+        docs.mapInArrow(tidy(read), f"id {kind}, n int, k1 long, k2 long, prefix binary, bits array<long>")
         .filter("n > 0")
         .groupBy("k1", "k2", "n")
         .agg(F.min("id").alias("id"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
@@ -201,8 +201,8 @@ def repeated(found: DataFrame) -> DataFrame:
         every = np.sort(np.concatenate(held))
         yield pa.record_batch({"key": pa.array(np.unique(every[1:][every[1:] == every[:-1]]).view(np.int64))})
 
-    packed = found.select("prefix").mapInArrow(pack, "part int, tokens binary")
-    return cut(packed.repartitionById(parts, F.col("part")).select("tokens").mapInArrow(meet, "key long"))
+    packed = found.select("prefix").mapInArrow(tidy(pack), "part int, tokens binary")
+    return cut(packed.repartitionById(parts, F.col("part")).select("tokens").mapInArrow(tidy(meet), "key long"))
 
 
 def entries(found: DataFrame) -> DataFrame:
@@ -247,7 +247,7 @@ def entries(found: DataFrame) -> DataFrame:
                 }
             )
 
-    every = found.select("prefix", "cid", "n").mapInArrow(read, _ENTRY)
+    every = found.select("prefix", "cid", "n").mapInArrow(tidy(read), _ENTRY)
     if few:
         every = cut(every)
     else:
@@ -395,7 +395,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             k1, k2, tokens = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.record_batch({"k1": pa.array(k1, pa.int64()), "k2": pa.array(k2, pa.int64()), "tokens": pa.array(tokens, pa.binary())})
 
-    read_sets = docs.mapInArrow(read, "k1 long, k2 long, tokens binary").groupBy("k1", "k2").agg(F.first("tokens").alias("tokens"))
+    read_sets = docs.mapInArrow(tidy(read), "k1 long, k2 long, tokens binary").groupBy("k1", "k2").agg(F.first("tokens").alias("tokens"))
     return cut(read_sets.join(wanted, ["k1", "k2"]).select("cid", "tokens"))
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.llm import words
-from rollcall.llm.common import free_name, slices, utf8
+from rollcall.llm.common import free_name, slices, tidy, utf8
 
 #: Hash buckets: the lower half for byte trigrams, the upper half for words and word pairs.
 BUCKETS = 1 << 18
@@ -180,7 +180,7 @@ def fit(
         return pd.DataFrame([fit_rows(found, pdf["_label"].to_numpy(), of_class)])
 
     fitted = (
-        rows.mapInArrow(extract, f"_id {kind}, _label int, _found binary")
+        rows.mapInArrow(tidy(extract), f"_id {kind}, _label int, _found binary")
         .withColumn("_all", F.lit(0))
         .groupBy("_all")
         .applyInPandas(train, "weights binary, bias double, slope double, shift double")
@@ -208,7 +208,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "sc
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p)], [*part.schema.names, name])
 
     # whole rows pass in slices of about a megabyte; nothing waits for a column to come back
-    return docs.mapInArrow(ask, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    return docs.mapInArrow(tidy(ask), T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def fold(id_col: Column, folds: int) -> Column:

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
-from rollcall.llm.common import slices
+from rollcall.llm.common import HELD, slices, tidy
 
 SPACE = "▁"
 UNKNOWN = 10.0
@@ -197,6 +197,7 @@ class Merges(Pieces):
 
 @lru_cache(maxsize=1)
 def _pieces(path: str) -> Pieces:
+    HELD["pieces"] = _pieces.cache_clear
     model = sentencepiece_model_pb2.ModelProto()
     model.ParseFromString(sentencepiece.SentencePieceProcessor(model_file=path).serialized_model_proto())
     if model.trainer_spec.model_type != model.trainer_spec.BPE:
@@ -227,7 +228,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
                     ["id", "n_pieces", "ids", "round_trip"],
                 )
 
-    found = rows.mapInArrow(run, f"id {kind}, n_pieces long, ids array<int>, round_trip boolean")
+    found = rows.mapInArrow(tidy(run, "pieces"), f"id {kind}, n_pieces long, ids array<int>, round_trip boolean")
     return found.select(F.col("id").alias(id_col), "n_pieces", "ids", "round_trip")
 
 

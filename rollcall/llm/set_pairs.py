@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import cut, shuffle_parts, snug
+from rollcall.llm.common import cut, shuffle_parts, snug, tidy
 from rollcall.operators.lookup import attach
 
 #: Pairs that one copy of a set serves.
@@ -62,7 +62,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     order = ["hub", "salt", "spoke", "cid"]
     laid = met.select(*order, "tokens").repartition(shuffle_parts(pairs.sparkSession), "hub", "salt").sortWithinPartitions(*order)
-    return cut(laid.mapInArrow(test, "u long, v long"))
+    return cut(laid.mapInArrow(tidy(test), "u long, v long"))
 
 
 def joined_lists(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -103,4 +103,4 @@ def joined_lists(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     # a row's sets come first, its pairs last
     laid = both.repartition(shuffle_parts(lists.sparkSession), "row").sortWithinPartitions("row", F.col("cid").asc_nulls_last())
-    return cut(laid.select("cid", "tokens", "a", "b").mapInArrow(test, "u long, v long"))
+    return cut(laid.select("cid", "tokens", "a", "b").mapInArrow(tidy(test), "u long, v long"))
