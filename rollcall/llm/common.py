@@ -10,9 +10,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from rollcall.operators.audit import counted
+
 #: Text handed to numpy at once, in bytes; one longer text is still taken whole.
 SLICE_BYTES = 1 << 20
-
+#: Narrow rows that one task reads from a stored frame.
+ROWS = 100_000
 
 #: What a worker holds from one task to the next, by the kind of work it is for, with the function that lets go of it.
 HELD: dict[str, Callable[[], None]] = {}
@@ -68,9 +71,21 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def snug(df: DataFrame, rows: int = 100_000) -> DataFrame:
-    """A stored frame in no more partitions than its rows need, so that small ones do not shuffle in many tiny files."""
-    return df.coalesce(max(1, -(-df.count() // rows)))
+def stored(df: DataFrame) -> tuple[DataFrame, int]:
+    """``cut`` of ``df``, and its number of rows, observed while it is stored."""
+    seen, observed = counted(df)
+    return cut(seen), observed.get["n_rows"]
+
+
+def parts_of(rows: int) -> int:
+    """Partitions that so many narrow rows need."""
+    return max(1, -(-rows // ROWS))
+
+
+def snug(df: DataFrame) -> DataFrame:
+    """``cut`` of a narrow frame, read in no more partitions than its rows need: each task of a shuffle writes files, however few its rows."""
+    found, n = stored(df)
+    return found.coalesce(parts_of(n))
 
 
 def shuffle_parts(spark: SparkSession) -> int:

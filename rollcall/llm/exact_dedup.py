@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.llm import fuse, screen
-from rollcall.llm.common import cut, free_name
+from rollcall.llm.common import cut, free_name, snug
 from rollcall.operators.lookup import attach
 
 
@@ -54,7 +54,7 @@ def ask_snapshots(entries: DataFrame, filters: DataFrame) -> DataFrame:
 
 def suspects(docs: DataFrame, text_col: str, generation: Column, shard_keys: int = screen.SHARD_KEYS) -> DataFrame:
     """Digests that occur in more than one row, each once, with ``key``; stored."""
-    entries = cut(
+    entries = snug(
         docs.select(digest(text_col).alias("digest"), F.coalesce(generation.cast("int"), F.lit(0)).alias("generation"))
         .groupBy("digest", "generation")
         .agg(F.count("*").alias("size"))
@@ -71,7 +71,7 @@ def suspects(docs: DataFrame, text_col: str, generation: Column, shard_keys: int
         .filter(F.col("generation") < F.col("_later"))
         .select("digest")
     )
-    return cut(inside.union(across).distinct().withColumn("key", key_of(F.col("digest"))))
+    return snug(inside.union(across).distinct().withColumn("key", key_of(F.col("digest"))))
 
 
 def mark(

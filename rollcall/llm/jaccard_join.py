@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm import fuse, screen, words
-from rollcall.llm.common import cut, free_name, shuffle_parts, slices, snug, tidy, utf8
+from rollcall.llm.common import cut, free_name, parts_of, shuffle_parts, slices, snug, stored, tidy, utf8
 from rollcall.llm.components import stars
 from rollcall.llm.set_pairs import BROADCAST_PAIRS, confirmed
 from rollcall.operators.lookup import attach
@@ -202,7 +202,7 @@ def repeated(found: DataFrame) -> DataFrame:
         yield pa.record_batch({"key": pa.array(np.unique(every[1:][every[1:] == every[:-1]]).view(np.int64))})
 
     packed = found.select("prefix").mapInArrow(tidy(pack), "part int, tokens binary")
-    return cut(packed.repartitionById(parts, F.col("part")).select("tokens").mapInArrow(tidy(meet), "key long"))
+    return snug(packed.repartitionById(parts, F.col("part")).select("tokens").mapInArrow(tidy(meet), "key long"))
 
 
 def entries(found: DataFrame) -> DataFrame:
@@ -249,11 +249,11 @@ def entries(found: DataFrame) -> DataFrame:
 
     every = found.select("prefix", "cid", "n").mapInArrow(tidy(read), _ENTRY)
     if few:
-        every = cut(every)
+        every = snug(every)
     else:
         every = attach(every, shared.select(F.col("key").alias("token")), ["token"], "inner")
     lengths = every.groupBy("token").agg(F.count("*").alias("cnt")).filter("cnt > 1")
-    return cut(attach(every, lengths, ["token"], "inner").select("token", "cid", "n", "pos", "cnt"))
+    return snug(attach(every, lengths, ["token"], "inner").select("token", "cid", "n", "pos", "cnt"))
 
 
 def _can_link(a: str, b: str) -> Column:
@@ -278,9 +278,10 @@ def _alike(a: str, b: str) -> Column:
 
 def maps_of(found: DataFrame, pairs: DataFrame, blocks: DataFrame) -> DataFrame:
     """Stored (cid, k1, k2, n, bits) of the classes in ``pairs`` (a, b) and ``blocks``."""
-    ids = cut(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).union(blocks.select("cid")).distinct())
-    few = ids.count() <= BROADCAST_PAIRS  # then the classes stay where they are stored
-    return snug(cut(found.select("cid", "k1", "k2", "n", "bits").join(F.broadcast(ids) if few else ids, "cid", "left_semi")))
+    ids, n = stored(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).union(blocks.select("cid")).distinct())
+    ids = ids.coalesce(parts_of(n))
+    few = n <= BROADCAST_PAIRS  # then the classes stay where they are stored
+    return snug(found.select("cid", "k1", "k2", "n", "bits").join(F.broadcast(ids) if few else ids, "cid", "left_semi"))
 
 
 def likely(pairs: DataFrame, maps: DataFrame) -> DataFrame:
@@ -412,24 +413,24 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows, counts = facts(docs)
     found = classes(docs, counts)
     index = entries(found)
-    direct = cut(short_pairs(index))
+    direct = snug(short_pairs(index))
     long_ = cut(in_blocks(index))
     opened = block_pairs(long_, labelled=False)
-    blocks = cut(partnered(long_, opened))
+    blocks = snug(partnered(long_, opened))
     maps = maps_of(found, direct, blocks)
-    direct = snug(cut(likely(direct, maps)))
+    direct = snug(likely(direct, maps))
     named = direct.select(F.col("a").alias("cid")).union(direct.select("b")).union(blocks.select("cid")).distinct()
-    sets = sets_of(docs, cut(maps.select("cid", "k1", "k2").join(named, "cid", "left_semi")))
+    sets = sets_of(docs, snug(maps.select("cid", "k1", "k2").join(named, "cid", "left_semi")))
 
     star = None
     for turn in range(ROUNDS):
-        met = cut(leader_pairs(_label(blocks, star), turn))
+        met = snug(leader_pairs(_label(blocks, star), turn))
         tested = likely(met, maps)
         edges = confirmed(tested if turn else tested.union(direct).distinct(), sets, ALIKE)
         star = stars(edges if star is None else edges.union(star))
         if edges.count() < STALE * met.count():
             break
-    star = stars(confirmed(open_pairs(cut(_label(blocks, star)), maps), sets, ALIKE).union(star))
+    star = stars(confirmed(open_pairs(snug(_label(blocks, star)), maps), sets, ALIKE).union(star))
 
     own = found.select("cid", "k1", "k2", "id").join(star.select(F.col("u").alias("cid"), "v"), "cid", "left")
     own = own.withColumn("label", F.coalesce("v", "cid"))
@@ -446,12 +447,12 @@ def _class_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     found = classes(docs, counts)
     index = entries(found)
     long_ = cut(in_blocks(index))
-    blocks = cut(_label(partnered(long_, block_pairs(long_, labelled=False)), None))
-    direct = cut(short_pairs(index))
+    blocks = snug(_label(partnered(long_, block_pairs(long_, labelled=False)), None))
+    direct = snug(short_pairs(index))
     maps = maps_of(found, direct, blocks)
     pairs = cut(likely(direct, maps).union(open_pairs(blocks, maps)).distinct())
     named = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-    sets = sets_of(docs, cut(found.select("cid", "k1", "k2").join(named, "cid", "left_semi")))
+    sets = sets_of(docs, snug(found.select("cid", "k1", "k2").join(named, "cid", "left_semi")))
     return rows, found, confirmed(pairs, sets, ALIKE)
 
 
@@ -468,7 +469,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def link_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``id``, ``n_shingles`` and ``n_links``, the number of other documents it links with (copies too)."""
     rows, found, edges = _class_links(_scan(docs, id_col, text_col))
-    sizes = cut(rows.filter("n > 0").groupBy("k1", "k2").agg(F.count("*").alias("m")).join(found.select("k1", "k2", "cid"), ["k1", "k2"]))
+    sizes = snug(rows.filter("n > 0").groupBy("k1", "k2").agg(F.count("*").alias("m")).join(found.select("k1", "k2", "cid"), ["k1", "k2"]))
     ends = edges.select(F.col("u").alias("cid"), F.col("v").alias("other")).union(edges.select("v", "u"))
     more = ends.join(sizes.select(F.col("cid").alias("other"), "m"), "other").groupBy("cid").agg(F.sum("m").alias("more"))
     total = (F.col("m") - 1 + F.coalesce("more", F.lit(0))).cast("long").alias("n_links")
@@ -487,10 +488,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     key, flag, tag = (free_name(docs.columns, x) for x in ("_key", "_suspect", "_tag"))
     own = F.struct(F.col(id_col).alias("id"), F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256).alias("digest"))
     keyed = docs.withColumn(key, own)
-    found = cut(components(keyed, key, text_col))
+    found = snug(components(keyed, key, text_col))
     stay = found.filter("id <=> component_id OR n_shingles = 0").groupBy("id").agg(F.count("*").alias("n"), F.max("n_shingles").alias("size"))
     go = found.filter("NOT id <=> component_id AND n_shingles > 0").select("id").union(stay.filter("n > 1 AND size > 0").select("id"))
-    keys = cut(go.select(F.xxhash64("id").alias("key")).distinct())
+    keys = snug(go.select(F.xxhash64("id").alias("key")).distinct())
     flagged = screen.flag(keyed, keys, F.xxhash64(F.col(key)), flag)
     rows = cut(flagged.filter(flag).withColumn(tag, F.monotonically_increasing_id()))
     kept = stay.select(F.col("id").alias(key), F.col("size").alias("_size"))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import cut, shuffle_parts, snug, tidy
+from rollcall.llm.common import cut, parts_of, shuffle_parts, snug, stored, tidy
 from rollcall.operators.lookup import attach
 
 #: Pairs that one copy of a set serves.
@@ -25,8 +25,8 @@ def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the distinct ``pairs`` (a, b) with 100 * intersection >= percent * union of their whole sets, as stored edges (u, v)."""
-    pairs = snug(cut(pairs))
-    n = pairs.count()
+    pairs, n = stored(pairs)
+    pairs = pairs.coalesce(parts_of(n))
     ends = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).groupBy("cid").agg(F.count("*").alias("deg"))
     for end in "ab":
         pairs = attach(pairs, ends.select(F.col("cid").alias(end), F.col("deg").alias(f"deg_{end}")), [end])
@@ -34,7 +34,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     turned = pairs.select(
         F.when(hub, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(hub, F.col("b")).otherwise(F.col("a")).alias("cid"), F.greatest("deg_a", "deg_b").alias("deg")
     )
-    turned = cut(turned.select("hub", "cid", F.pmod(F.xxhash64("cid"), F.ceil(F.col("deg") / FAN)).alias("salt")))
+    turned = cut(turned.select("hub", "cid", F.pmod(F.xxhash64("cid"), F.ceil(F.col("deg") / FAN)).alias("salt")).coalesce(parts_of(n)))
     hubs = turned.select("hub", "salt", F.col("hub").alias("cid")).distinct()
     both = turned.withColumn("spoke", F.lit(True)).union(hubs.select("hub", "cid", "salt", F.lit(False)))
     if n <= BROADCAST_PAIRS:  # then the sets stay where they are stored
@@ -62,7 +62,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     order = ["hub", "salt", "spoke", "cid"]
     laid = met.select(*order, "tokens").repartition(shuffle_parts(pairs.sparkSession), "hub", "salt").sortWithinPartitions(*order)
-    return cut(laid.mapInArrow(tidy(test), "u long, v long"))
+    return snug(laid.mapInArrow(tidy(test), "u long, v long"))
 
 
 def joined_lists(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -103,4 +103,4 @@ def joined_lists(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     # a row's sets come first, its pairs last
     laid = both.repartition(shuffle_parts(lists.sparkSession), "row").sortWithinPartitions("row", F.col("cid").asc_nulls_last())
-    return cut(laid.select("cid", "tokens", "a", "b").mapInArrow(tidy(test), "u long, v long"))
+    return snug(laid.select("cid", "tokens", "a", "b").mapInArrow(tidy(test), "u long, v long"))
