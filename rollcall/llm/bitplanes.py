@@ -39,11 +39,12 @@ from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
 from rollcall.llm.common import shuffle_parts, slices, utf8
+from rollcall.llm.remembered import Remembered, cut_at
 
 BLOCK = 1 << 14
 END = 1
 BYTE, BIT = 0, 1
-#: Distinct pieces whose ids a worker remembers.
+#: Half of the distinct pieces whose ids a worker remembers.
 REMEMBERED = 300_000
 _HEAD = struct.Struct("<4sBBHII")
 #: A piece that ends in punctuation after a Latin letter or digit: where the tokenizer divides as well.
@@ -85,7 +86,7 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.split = split
-        self.pieces, self.stems = _Memory(REMEMBERED), _Memory(REMEMBERED)
+        self.pieces, self.stems = Remembered(2 * REMEMBERED), _Memory(REMEMBERED)
         to_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {ord(c): to_bytes.pre_tokenize_str(c)[0][0] for c in _LETTERS}
         self.model = self.tokenizer.model
@@ -114,16 +115,17 @@ class Encoder:
         whole = iter(self._whole([p for p, yes in zip(pieces, plain, strict=True) if not yes]))
         return [next(spelled if yes else whole) for yes in plain]
 
-    def _learn(self, keys: set[str]) -> None:
-        new = self.pieces.missing(keys)
-        parts = {}
-        for k in new:
+    def _learn(self, new: list[bytes]) -> list[bytes]:
+        parts = []
+        for k in (p.decode() for p in new):
             m = _TAIL.fullmatch(k)  # Latin-1 throughout, where lower() is what the tokenizer does; no "<" of a special token
-            parts[k] = (m[1].lower(), m[2]) if m else (k, "")
+            parts.append((m[1].lower(), m[2]) if m else (k, ""))
         stems = self.stems
-        asked = stems.missing({x for pair in parts.values() for x in pair})
+        asked = stems.missing({x for pair in parts for x in pair})
         stems.new.update(zip(asked, self._ask(asked), strict=True))
-        self.pieces.new.update((k, stems.new[x] + stems.new[y]) for k, (x, y) in parts.items())
+        found = [stems.new[x] + stems.new[y] for x, y in parts]
+        stems.turn()
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
@@ -133,7 +135,7 @@ class Encoder:
     def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text's begin (one place more at the end).
 
-        Pieces are cut on the buffer and keep the gap behind them; each distinct one is looked up once and its ids are gathered.
+        Pieces are cut on the buffer, from which the gaps are taken out; ids of distinct ones are gathered.
         """
         if not self.split:
             found = self._ask(texts.to_pylist())
@@ -143,25 +145,11 @@ class Encoder:
         ink = ~_IS_GAP[data]
         starts = ink.copy()
         starts[1:] &= ~ink[:-1]
-        starts[at[:-1][at[:-1] < len(data)]] = True
-        cut = np.append(np.flatnonzero(starts), len(data))
-        pieces = pa.Array.from_buffers(pa.large_binary(), len(cut) - 1, [None, pa.py_buffer(cut), pa.py_buffer(np.ascontiguousarray(data))])
-        coded = pieces.dictionary_encode()
-        distinct = [p.decode().rstrip(_GAPS) for p in coded.dictionary.to_pylist()]
-        self._learn(set(distinct))
-        found = [self.pieces.new[p] for p in distinct]
-        self.pieces.turn()
-        self.stems.turn()
-        flat = np.frombuffer(b"".join(found), "<u4")
-        size = np.array([len(x) // 4 for x in found], np.int64)
-        first = np.cumsum(size) - size
-        which = coded.indices.to_numpy()
-        each = size[which]
-        ends = np.cumsum(each)
-        total = int(ends[-1]) if len(ends) else 0
-        place = np.repeat(first[which] - (ends - each), each) + np.arange(total)
-        of_piece = np.concatenate(([0], ends))
-        return flat[place], of_piece[np.searchsorted(cut, at, "left")]
+        begin = at[:-1][at[:-1] < len(data)]
+        starts[begin] = ink[begin]
+        pieces = cut_at(data[ink], np.flatnonzero(starts[ink]))
+        ids = self.pieces.ids_of(pieces, self._learn)
+        return ids.flatten().to_numpy(), ids.offsets.to_numpy()[np.searchsorted(np.flatnonzero(starts), at, "left")]
 
 
 @lru_cache(maxsize=2)
