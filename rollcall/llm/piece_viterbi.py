@@ -14,8 +14,8 @@ In both, a character that is in no piece is written as its UTF-8 bytes (byte pie
 
 A space is written ``\\u2581`` and the text gets one in front, as the model files ask for. If in no piece that sign
 follows another character (checked against the file), no piece passes between a word and the space after it, so a
-text is encoded word by word and words met before are remembered; the result is that of the whole text. Line feeds divide in the
-same way if no piece holds one. The sign itself in a source text is written as bytes, so decoding gives back every text; this
+text is encoded word by word and words met before are remembered (``Remembered``); the result is that of the whole text. Line feeds divide in the
+same way if no piece holds one, and for a BPE model any two characters that no piece holds side by side. The sign itself in a source text is written as bytes, so decoding gives back every text; this
 alone differs from the library, which takes it for a space.
 
 Cases: null and empty texts have no ids. Repeated rows are encoded each. An empty table gives an empty result. Other columns
@@ -24,7 +24,6 @@ are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -39,12 +38,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
-from rollcall.llm.common import HELD, slices, tidy
+from rollcall.llm.common import HELD, slices, tidy, utf8
+from rollcall.llm.remembered import Remembered, cut_at
 
 SPACE = "▁"
 UNKNOWN = 10.0
-#: Words whose ids a worker remembers.
+#: Half of the words whose ids a worker remembers.
 REMEMBERED = 200_000
+#: Bytes of text that are encoded at once.
+SLICE = 4 << 20
 #: Characters of a text up to which its merges are found without a heap.
 SHORT = 64
 #: Stands for no match: size, score, id.
@@ -77,10 +79,9 @@ class Pieces:
                     self.single.add(piece)
         self.automaton.make_automaton()
         self.lowest = min(scores) - UNKNOWN
-        gap = r" *[^ \n]+|\n| +" if self.lines else r" *[^ ]+| +"
-        self.word = re.compile(gap if self.safe else r"[\s\S]+")
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.words = Remembered(2 * REMEMBERED if self.safe else 0)
+        self.table = pa.array(self.bytes_of, pa.large_binary())
+        self.parted = np.zeros(1 << 16, bool)
 
     def best_path(self, text: str) -> list[int]:
         """Ids of ``text`` (spaces as they are, nothing put in front)."""
@@ -120,28 +121,55 @@ class Pieces:
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian int32."""
-        if not text:
-            return b""
-        out = []
-        for w in self.word.findall(f" {text}"):
-            ids = self.new.get(w)
-            if ids is None:
-                ids = self.old.get(w)
-                if ids is None:
-                    ids = np.array(self.best_path(w), "<i4").tobytes()
-                if self.safe:
-                    self.new[w] = ids
-            out.append(ids)
-        if len(self.new) > REMEMBERED:
-            self.old, self.new = self.new, {}
-        return b"".join(out)
+        return self.encode_column(pa.array([text], pa.large_string()))[0].tobytes()
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids (int32) of all texts one after the other, and where each text's begin (one place more at the end).
+
+        Each text but an empty one gets a space in front. A word begins at the first of some spaces, at a line feed and after one.
+        """
+        data, at = utf8(texts)
+        full = at[:-1] < at[1:]
+        data = np.insert(data, at[:-1][full], ord(" "))
+        at = at + np.concatenate(([0], np.cumsum(full)))
+        starts = np.zeros(len(data) + 1, bool)
+        if self.safe:
+            gap = data == ord(" ")
+            starts[1:-1] = gap[1:] & ~gap[:-1]
+            if self.lines:
+                feed = data == ord("\n")
+                starts[:-1] |= feed
+                starts[1:] |= feed
+        starts[1:-1] |= self.parted[data[:-1].astype(np.uint16) << 8 | data[1:]]
+        starts[at] = True
+        first = np.flatnonzero(starts[:-1])
+        ids = self.words.ids_of(cut_at(data, first), self._learn)
+        return ids.flatten().to_numpy().view(np.int32), ids.offsets.to_numpy()[np.searchsorted(first, at, "left")]
+
+    def _learn(self, words: list[bytes]) -> list[bytes]:
+        return [np.array(self.best_path(w.decode()), "<i4").tobytes() for w in words]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))[1:]
 
+    def same(self, ids: np.ndarray, at: np.ndarray, texts: pa.Array) -> list[bool]:
+        """Whether the ids of each text (from its place in ``at``) decode to it."""
+        back, ends = utf8(self.table.take(pa.array(ids)))
+        data, begin = utf8(texts)
+        back, data, ends = memoryview(back), memoryview(data), ends[at].tolist()
+        return [back[x:y][1:] == data[v:w] for (x, y), (v, w) in zip(pairwise(ends), pairwise(begin.tolist()), strict=True)]
+
 
 class Merges(Pieces):
-    """The same for a BPE model."""
+    """The same for a BPE model. A word is also cut between any two characters that no piece holds side by side."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        #: By two neighbouring bytes: whether a character begins between them and no piece holds them so.
+        self.parted = np.repeat([(k & 0xC0) != 0x80 for k in range(256)], 256).reshape(256, 256).T.ravel()
+        for piece in self.automaton:
+            raw = np.frombuffer(piece.replace(SPACE, " ").encode(), np.uint8)
+            self.parted[raw[:-1].astype(np.uint16) << 8 | raw[1:]] = False
 
     def _path(self, text: str) -> list[int]:
         # a stretch of the text is named by the places of the character before it and of its last one
@@ -217,12 +245,10 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
         pieces = _pieces(model)
         for b in batches:
             texts = b.column("text")
-            for lo, hi in slices(texts):
-                own = texts[lo:hi].to_pylist()
-                found = [pieces.encode(t) for t in own]
-                same = [pieces.decode(np.frombuffer(x, "<i4").tolist()) == t.encode() for x, t in zip(found, own, strict=True)]
-                at = np.concatenate(([0], np.cumsum([len(x) // 4 for x in found]))).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(b"".join(found), "<i4")))
+            for lo, hi in slices(texts, SLICE):
+                found, at = pieces.encode_column(texts[lo:hi])
+                same = pieces.same(found, at, texts[lo:hi])
+                ids = pa.ListArray.from_arrays(pa.array(at), pa.array(found))
                 yield pa.record_batch(
                     [b.column("id")[lo:hi], pa.array(np.diff(at).astype(np.int64)), ids, pa.array(same, pa.bool_())],
                     ["id", "n_pieces", "ids", "round_trip"],
