@@ -46,7 +46,7 @@ UNKNOWN = 10.0
 #: Half of the words whose ids a worker remembers.
 REMEMBERED = 200_000
 #: Bytes of text that are encoded at once.
-SLICE = 4 << 20
+SLICE = 2 << 20
 #: Characters of a text up to which its merges are found without a heap.
 SHORT = 64
 #: Stands for no match: size, score, id.
